@@ -25,19 +25,24 @@ def manual_sums(sheet):
 
 
 def cross(manual, automated):
-    """Full outer join of two frames with one row per unit and month; missing is 0."""
-    amounts = MANUAL_COLUMNS + [system for _, _, system in RECON_SYSTEMS]
-    joined = manual.join(automated, ["ECO_Limpio", "MES_str"], "full")
-    return joined.na.fill(0.0, amounts)
+    """Full outer join of two frames with one row per unit and month; missing is 0. The
+    columns become ``m_pase``, ``a_pase`` and so on, since both sides name a system alike."""
+    def side(df, prefix, names):
+        return df.select("ECO_Limpio", "MES_str", *[
+            F.col(f"`{name}`").alias(f"{prefix}_{label.lower()}") for label, name in names])
+
+    left = side(manual, "m", [(label, column) for label, column, _ in RECON_SYSTEMS])
+    right = side(automated, "a", [(label, system) for label, _, system in RECON_SYSTEMS])
+    return left.join(right, ["ECO_Limpio", "MES_str"], "full").na.fill(0.0)
 
 
 def by_system(crossed):
     """One row per unit, month and system with both amounts, where either is positive."""
     rows = F.array(*[
         F.struct(
-            F.lit(i).alias("orden"), F.lit(label).alias("Concepto"),
-            cents(F.col(f"`{manual}`")).alias("manual"), cents(F.col(f"`{system}`")).alias("auto"))
-        for i, (label, manual, system) in enumerate(RECON_SYSTEMS)
+            F.lit(label).alias("Concepto"), cents(F.col(f"m_{label.lower()}")).alias("manual"),
+            cents(F.col(f"a_{label.lower()}")).alias("auto"))
+        for label, _, _ in RECON_SYSTEMS
     ])
     return (
         crossed.select("ECO_Limpio", "MES_str", F.inline(rows))

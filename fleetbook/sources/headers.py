@@ -107,36 +107,47 @@ def cell(position, default=None):
     return value if default is None else F.when(position.isNotNull(), F.coalesce(value, F.lit(default)))
 
 
-def _position(hits):
-    return F.nullif(F.array_position(hits, True), F.lit(0)).cast("int") - 1
+def _position(names, test):
+    return F.nullif(F.array_position(F.transform(names, test), True), F.lit(0)).cast("int") - 1
+
+
+def _first_found(names, tests):
+    return F.coalesce(*[_position(names, test) for test in tests])
+
+
+def _contains(text):
+    return lambda name: name.contains(text)
+
+
+def _equals(text):
+    return lambda name: name == text
 
 
 def find_contains(header, *candidates):
     """Position of the first column whose loosely reduced name contains the first
     candidate that occurs at all."""
-    names = F.transform(header, loose_header)
-    return F.coalesce(*[_position(F.transform(names, lambda n, k=k: n.contains(k))) for k in candidates])
+    return _first_found(F.transform(header, loose_header), [_contains(c) for c in candidates])
 
 
 def find_exact(header, *candidates):
     """Position of the column equal to the first candidate found, accents, case and
     signs aside."""
     names = F.transform(header, header_key)
-    return F.coalesce(*[
-        _position(F.transform(names, lambda n, k=k: n == header_key(F.lit(k)))) for k in candidates])
+    return _first_found(names, [_equals(header_key(F.lit(c))) for c in candidates])
 
 
 def find_equal(header, *names):
     """Position of the first of ``names`` that occurs literally."""
-    return F.coalesce(*[_position(F.transform(header, lambda n, k=k: n == k)) for k in names])
+    return _first_found(header, [_equals(F.lit(n)) for n in names])
 
 
 def find_eco(header):
     """Position of the unit column: ``ECO``, else some spelling of *No. económico*."""
     names = F.transform(header, header_key)
-    full = F.transform(names, lambda n: (n == "numeroeconomico") | (
-        n.contains("economico") & n.contains("no")))
-    return F.coalesce(_position(F.transform(names, lambda n: n == "eco")), _position(full))
+    return _first_found(names, [
+        _equals(F.lit("eco")),
+        lambda n: (n == "numeroeconomico") | (n.contains("economico") & n.contains("no")),
+    ])
 
 
 def preamble_value(raw, label, rows=5):
