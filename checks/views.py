@@ -12,18 +12,25 @@ from fleetbook.functions.text import product_type
 from fleetbook.operators.aggregates import pivot_systems
 from fleetbook.operators.filters import normalized_units, required
 from fleetbook.session import scratch_dir
-from fleetbook.vocabulary import CONCEPT_BY_SYSTEM, LEDGER_COLS, LEDGER_SCHEMA
+from fleetbook.vocabulary import CONCEPT_BY_SYSTEM, LEDGER_COLS
 
 YEAR_A, YEAR_B, MONTH = 1996, 1997, 3
 AS_OF = dt.date(1998, 6, 15)
 SINCE = dt.date(1997, 1, 1)
 
 
-_KEYED = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LEDGER_SCHEMA) + ", l_orderkey bigint, l_partkey bigint"
+_SPREAD = {"lineitem", "events"}
 
 
 def table(spark, sf, name):
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table. The fact tables are single small files, which one task would read
+    and parse; they are dealt out to all cores. Larger tables have enough splits of their
+    own and are left as they are."""
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in _SPREAD and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _unit(number):
@@ -31,8 +38,28 @@ def _unit(number):
     return prefix, (number % 1000).cast("string"), F.lpad((number % 1000).cast("string"), 3, "0")
 
 
+_STORED = {}
+
+
+def stored(spark, sf, name, make, *by):
+    """A frame written once per session into the shared scratch folder, as the landing
+    and ledger tables are in use: queries scan it with columns and filters pushed down,
+    and expressions that made it are not repeated in their plans."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORED:
+        path, frame = scratch_dir(spark, name), make(spark, sf)
+        frame.write.partitionBy(*by).parquet(path)
+        _STORED[key] = path, frame.schema
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
+
+
 def ledger_raw(spark, sf):
     """Vendor rows as text: units, dates, amounts and cards in every spelling."""
+    return stored(spark, sf, "ledger_raw", _ledger_raw)
+
+
+def _ledger_raw(spark, sf):
     li = table(spark, sf, "lineitem")
     pfx, num, p3 = _unit(F.col("l_suppkey"))
     line, part = F.col("l_linenumber"), F.col("l_partkey")
@@ -96,20 +123,10 @@ def batch(spark, sf):
         "Archivo_Origen", "l_orderkey", "l_partkey")
 
 
-_STORED = {}
-
-
 def ledger_keyed(spark, sf):
-    """Ledger rows with the order and part they came from. They are cleaned and written
-    once per session; reports then scan a stored ledger, as they would in use, with
-    filters and columns pushed into the scan."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _STORED:
-        path = scratch_dir(spark, "ledger")
-        rows = required(normalized_units(batch(spark, sf)))
-        rows.write.partitionBy("Sistema").parquet(path)
-        _STORED[key] = path
-    return spark.read.schema(_KEYED).parquet(_STORED[key])
+    """Ledger rows with the order and part they came from."""
+    return stored(
+        spark, sf, "ledger", lambda *at: required(normalized_units(batch(*at))), "Sistema")
 
 
 def ledger(spark, sf):
