@@ -76,6 +76,10 @@ _FUEL = ["PLACAS", "FECHA", "PRODUCTO", "CANTIDAD", "IMPORTE", "IDENTIFICADOR"]
 
 
 def _fuel_raw(spark, sf):
+    return v.stored(spark, sf, "fuel_raw", _make_fuel_raw)
+
+
+def _make_fuel_raw(spark, sf):
     """Fuel exports, one file per supplier, with one to three lines above the header."""
     s = v.table(spark, sf, "supplier")
     path = F.concat(F.lit("Supramax/f"), F.col("s_suppkey").cast("string"), F.lit(".csv"))
@@ -123,6 +127,10 @@ def _(spark, sf):
 
 
 def _tag_raw(spark, sf):
+    return v.stored(spark, sf, "tag_raw", _make_tag_raw)
+
+
+def _make_tag_raw(spark, sf):
     """Tag listings: header first, header in the fifth row, or none at all."""
     s = v.table(spark, sf, "supplier")
     key = F.col("s_suppkey")
@@ -173,6 +181,10 @@ _CARD = ["Folio", "Vehículo", "Fecha Transacción", "Mercancía", "Cantidad Mer
 
 
 def _card_raw(spark, sf):
+    return v.stored(spark, sf, "card_raw", _make_card_raw)
+
+
+def _make_card_raw(spark, sf):
     """Card exports by supplier, header in row 5. Odd files name no *Vehículo* column:
     there the unit is the eighth. Two thirds state the client above the header."""
     s = v.table(spark, sf, "supplier")
@@ -244,6 +256,10 @@ def _(spark, sf):
 
 
 def _toll_raw(spark, sf):
+    return v.stored(spark, sf, "toll_raw", _make_toll_raw)
+
+
+def _make_toll_raw(spark, sf):
     """Toll exports by supplier with three headers. Every tenth row has a fifth cell; in
     odd files it is blank, so the column does not count."""
     s, raw = v.table(spark, sf, "supplier"), v.ledger_raw(spark, sf)

@@ -31,13 +31,15 @@ def extend_header(header, width):
 def first_row_headers(raw):
     """Header frame of files whose first record is the header: unique, stripped names,
     and ``kept``, the positions of all columns except extra ones that are blank in
-    every row."""
-    head = raw.filter("row_idx = 0").select(
-        "path", F.col("row_idx").alias("header_row"), F.col("cells").alias("own"))
-    widths = raw.groupBy("path").agg(F.max(F.size("cells")).alias("width"))
+    every row. Reading ``raw`` three times is cheap where it is stored (see
+    ``ragged.land``)."""
+    first = F.when(F.col("row_idx") == 0, F.col("cells"))
+    files = raw.groupBy("path").agg(
+        F.get(F.collect_list(first), F.lit(0)).alias("own"), F.max(F.size("cells")).alias("width"))
     names = F.transform(extend_header(dedupe_headers(F.col("own")), F.col("width")), strip)
-    headers = head.join(widths, "path").select(
-        "path", "header_row", names.alias("header"), F.size("own").alias("own_width"))
+    headers = files.filter("own is not null").select(
+        "path", F.lit(0).cast("bigint").alias("header_row"), names.alias("header"),
+        F.size("own").alias("own_width"))
     # Only rows longer than their header hold extra cells; the distinct positions of the
     # filled ones are at most the file's width.
     filled = (

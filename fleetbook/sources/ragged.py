@@ -14,6 +14,8 @@ import itertools
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+
 RAW_SCHEMA = "path string, row_idx bigint, cells array<string>"
 _ARROW = pa.schema([("path", pa.string()), ("row_idx", pa.int64()), ("cells", pa.list_(pa.string()))])
 _DELIMITERS = ",;\t|"
@@ -180,3 +182,11 @@ def read_ragged(spark, path, skip_blank=True, whole_limit=WHOLE_LIMIT):
     if not has_large:
         return whole
     return whole.unionByName(parse_lines(spark, path, skip_blank, whole_limit))
+
+
+def land(spark, raw):
+    """The raw rows, written once. Headers are resolved in several passes over them;
+    without this each pass would parse every file again."""
+    path = scratch_dir(spark, "landed")
+    raw.write.parquet(path)
+    return spark.read.schema(RAW_SCHEMA).parquet(path)
