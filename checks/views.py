@@ -20,13 +20,18 @@ SINCE = dt.date(1997, 1, 1)
 
 
 _SPREAD = {"lineitem", "events"}
+_SCHEMAS = {}
 
 
 def table(spark, sf, name):
     """A test table. The fact tables are single small files, which one task would read
     and parse; they are dealt out to all cores. Larger tables have enough splits of their
     own and are left as they are."""
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[key]).parquet(path)
     cores = spark.sparkContext.defaultParallelism
     if name in _SPREAD and df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)

@@ -4,6 +4,7 @@ which periods are replaced."""
 from pyspark.sql import functions as F
 
 from ..functions.dates import year_month
+from ..session import scratch_dir
 from ..vocabulary import LEDGER_COLS, LEDGER_SCHEMA, SYSTEMS
 from .dedup import dedup_ledger
 from .merge import new_by_id, new_by_natural_key
@@ -76,6 +77,10 @@ class LedgerTable:
         rows = rows.filter(F.col("Sistema") == system)
         if partial:
             return self.merge(rows, by_id)
+        # Used three times below, so it is written once to shared storage.
+        path = scratch_dir(self.spark, "period")
+        rows.write.parquet(path)
+        rows = self.spark.read.schema(rows.schema).parquet(path)
         texts = [month_text(*m) for m in months]
         inside = year_month("Fecha").isin(texts)
         self._write(rows.filter(inside), "overwrite")

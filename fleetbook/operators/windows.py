@@ -29,30 +29,28 @@ def off_hours_flags(df, start, position, unit="ECO"):
 
     The first rows come from a pre-aggregated minimum and are joined back on day, class
     and position. A window per unit and day would hold all rows of a busy unit in one task.
+    Rows outside the three classes take no part in the shuffle.
     """
-    day = F.to_date(start)
-    weekday = F.weekday(start)
+    weekday, hour = F.weekday(start), hour_fraction(F.col(start))
     kind = (
         F.when(weekday == 6, F.lit("D"))
-        .when((weekday == 5) & (hour_fraction(F.col(start)) >= 16), F.lit("S"))
-        .when((weekday < 5) & (hour_fraction(F.col(start)) >= 20), F.lit("N"))
+        .when((weekday == 5) & (hour >= 16), F.lit("S"))
+        .when((weekday < 5) & (hour >= 20), F.lit("N"))
     )
-    tagged = df.withColumns({"_day": day, "_kind": kind})
+    tagged = df.withColumns({"_day": F.to_date(start), "_kind": kind})
+    off = tagged.filter("_kind is not null")
     first = (
-        tagged.filter("_kind is not null")
-        .groupBy(unit, "_day", "_kind").agg(F.min(F.struct(*position)).alias("_p"))
+        off.groupBy(unit, "_day", "_kind").agg(F.min(F.struct(*position)).alias("_p"))
         .select(unit, "_day", "_kind", "_p.*", F.lit(1).alias("_first"))
     )
-    flagged = tagged.join(first, [unit, "_day", "_kind", *position], "left")
+    flagged = off.join(first, [unit, "_day", "_kind", *position], "left").unionByName(
+        tagged.filter("_kind is null"), allowMissingColumns=True)
 
     def flag(code):
         return F.when((F.col("_kind") == code) & F.col("_first").isNotNull(), 1).otherwise(0)
 
-    return flagged.withColumns({
-        "Es_Domingo_Aux": flag("D"),
-        "Es_Sabado_Tarde_Aux": flag("S"),
-        "Es_Semana_Noche_Aux": flag("N"),
-    }).select(*df.columns, "Es_Domingo_Aux", "Es_Sabado_Tarde_Aux", "Es_Semana_Noche_Aux")
+    flags = {"Es_Domingo_Aux": flag("D"), "Es_Sabado_Tarde_Aux": flag("S"), "Es_Semana_Noche_Aux": flag("N")}
+    return flagged.withColumns(flags).select(*df.columns, *flags)
 
 
 def prefer_layout(files, col="path"):
