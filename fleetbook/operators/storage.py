@@ -35,20 +35,29 @@ class LedgerTable:
 
     def add_columns(self, *names):
         """Add the nullable text columns that are missing."""
-        missing = [n for n in names if n not in self.spark.table(self.name).columns]
+        missing = [n for n in names if n not in self._columns()]
         if missing:
             columns = ", ".join(f"`{n}` string" for n in missing)
             self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({columns})")
         return self
 
+    def _table(self):
+        """The table as stored now. Other sessions write to it too, a stream's batches run
+        in one of their own, and a session keeps the file list of its last read."""
+        self.spark.catalog.refreshTable(self.name)
+        return self.spark.table(self.name)
+
+    def _columns(self):
+        return self.spark.table(self.name).columns
+
     def read(self):
-        return self.spark.table(self.name).select(*LEDGER_COLS)
+        return self._table().select(*LEDGER_COLS)
 
     def touched_by(self, batch):
         """Stored rows of the (system, month) partitions a batch falls into; the join on
         the partition columns lets Spark prune the others at run time."""
         months = self._with_month(batch).select(*PARTITIONS).distinct()
-        return self.spark.table(self.name).join(months, PARTITIONS, "left_semi").select(*LEDGER_COLS)
+        return self._table().join(months, PARTITIONS, "left_semi").select(*LEDGER_COLS)
 
     def append(self, rows):
         self._write(rows, "append")
@@ -93,7 +102,7 @@ class LedgerTable:
     def backup_and_dedup(self, tag, location=None):
         """Copy the table, then rewrite it from the copy without duplicate rows."""
         copy = f"{self.name}_backup_{tag}"
-        writer = self.spark.table(self.name).write.partitionBy(*PARTITIONS).format("parquet")
+        writer = self._table().write.partitionBy(*PARTITIONS).format("parquet")
         if location:
             writer = writer.option("path", location)
         writer.saveAsTable(copy)
@@ -123,15 +132,14 @@ class LedgerTable:
         known = set(_STORED)
         return [
             (F.col(c) if c in rows.columns else F.lit(None).cast("string")).alias(c)
-            for c in self.spark.table(self.name).columns if c not in known]
+            for c in self._columns() if c not in known]
 
     def _table_order(self):
-        return [F.col(c) for c in self.spark.table(self.name).columns]
+        return [F.col(c) for c in self._columns()]
 
     def _empty(self, system, text):
-        columns = [c for c in self.spark.table(self.name).columns if c not in PARTITIONS]
-        nothing = ", ".join(f"CAST(NULL AS {t}) AS `{c}`" for c, t in self.spark.table(self.name).dtypes
-                            if c in columns)
+        kinds = self.spark.table(self.name).dtypes
+        nothing = ", ".join(f"CAST(NULL AS {t}) AS `{c}`" for c, t in kinds if c not in PARTITIONS)
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.name} PARTITION (Sistema = '{system}', anio_mes = '{text}') "
             f"SELECT {nothing} WHERE false")
