@@ -60,11 +60,11 @@ def expand_tabbed(df):
 
 def pick_table(stats, preferred):
     """Best of candidate tables ``(name, has_eco, rows_with_eco, columns)``: the first
-    preferred name that has a unit column, else most units, then most columns."""
+    preferred name that has a unit column, else most units, then most columns. Equal ones
+    go by ``position`` where the frame has it, else by name."""
     names = F.array(*[F.lit(n) for n in preferred])
     rank = F.nullif(F.array_position(names, F.col("name")), F.lit(0))
-    best = F.struct(
-        -F.coalesce(rank, F.lit(len(preferred) + 1)),
-        F.when(rank.isNull(), F.col("rows_with_eco")).otherwise(0),
-        F.when(rank.isNull(), F.col("columns")).otherwise(0))
-    return stats.filter("has_eco").agg(F.max_by("name", best).alias("name")).filter("name is not null")
+    last = "position" if "position" in stats.columns else "name"
+    order = [
+        rank.asc_nulls_last(), F.col("rows_with_eco").desc(), F.col("columns").desc(), F.col(last)]
+    return stats.filter("has_eco").orderBy(*order).limit(1).select("name")
