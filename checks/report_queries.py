@@ -2,9 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fleetbook.functions.dates import year_month
-from fleetbook.functions.text import strip_float
-from fleetbook.operators import aggregates, filters, joins, windows
+from fleetbook.operators import aggregates, joins
 from fleetbook.plans import cards, dashboard, recon, trips, yoy
 from fleetbook.sources.maps import json_map
 
@@ -394,8 +392,6 @@ _TAGS = "SELECT key, arg_max(value, s_suppkey) AS value FROM tags {where} GROUP
 
 
 def _tags(spark, sf, where):
-    from fleetbook.functions.text import clean_tag
-
     s = v.tag_json(spark, sf).filter(where)
     rows = s.select("s_suppkey", F.explode(F.from_json("json", "map<string,string>")).alias("key", "value"))
     return aggregates.last_tags(rows, "key", "value", "s_suppkey")

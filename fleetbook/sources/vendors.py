@@ -10,7 +10,7 @@ from ..functions.text import drop_trailing_dots, product_type, strip
 from ..operators.filters import required, valid_eco
 from ..vocabulary import CONCEPT_BY_SYSTEM
 from .headers import (
-    cell, find_contains, find_equal, find_exact, first_row_headers, fixed_headers, marker_headers,
+    cell, find_contains, find_equal, first_row_headers, fixed_headers, marker_headers,
     rows_below,
 )
 
