@@ -1,6 +1,7 @@
 """Session settings and the shared scratch folder."""
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -37,11 +38,25 @@ def tune(spark):
     return spark
 
 
+_LOCAL = {}
+
+
+def shared_dir(spark):
+    """The folder for intermediate tables that all executors share: the one the cluster
+    names in ``spark.checkpoint.dir``, else the context's checkpoint folder. Only a session
+    in local mode, as in tests, may go without; it gets a temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        return base
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="fleetbook-")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+    return _LOCAL[app]
+
+
 def scratch_dir(spark, label):
-    """A new folder below the checkpoint folder the cluster names (shared by all
-    executors). Only where none is set, as in tests, a local folder is made."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="fleetbook-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return os.path.join(base, f"{label}-{uuid.uuid4().hex[:12]}")
+    """A new folder name below the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
