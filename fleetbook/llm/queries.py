@@ -1,6 +1,6 @@
 """The registered queries of the corpus operators, each over its whole table."""
 
-from fleetbook.llm import minhash
+from fleetbook.llm import minhash, quality
 from fleetbook.llm.tables import read
 
 QUERIES = {}
@@ -17,3 +17,8 @@ def query(name):
 @query("op2_minhash")
 def op2(spark, sf):
     return minhash.near_duplicates(read(spark, sf, "documents"))
+
+
+@query("op3_quality")
+def op3(spark, sf):
+    return quality.classify(read(spark, sf, "documents"), read(spark, sf, "labels"))
