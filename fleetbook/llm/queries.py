@@ -1,6 +1,6 @@
 """The registered queries of the corpus operators, each over its whole table."""
 
-from fleetbook.llm import minhash, quality
+from fleetbook.llm import minhash, quality, reshard, topk
 from fleetbook.llm.tables import read
 
 QUERIES = {}
@@ -22,3 +22,30 @@ def op2(spark, sf):
 @query("op3_quality")
 def op3(spark, sf):
     return quality.classify(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
+@query("op5_reshard")
+def op5(spark, sf):
+    return reshard.digest(reshard.reshard(read(spark, sf, "documents").select("doc_id", "text")))
+
+
+@query("op10_topk")
+def op10(spark, sf):
+    vectors = read(spark, sf, "embeddings")
+    return topk.top_k(vectors, topk.asked(vectors))
+
+
+SQL["op10_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
