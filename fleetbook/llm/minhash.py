@@ -11,10 +11,10 @@ link where ``100 * |intersection| >= 85 * |union|``.
    with one of them, its centre, chosen differently in each band: rows grow with members,
    not with pairs. The packed bits estimate the similarity, corrected for chance
    agreement; pairs far below the threshold go. The rest are confirmed on the full sets.
-3. Components of confirmed links. Buckets that still hold several components have their
-   other pairs estimated in tiles of bounded size, and those that pass are confirmed as
-   well. So no pair that shares a band key is left out, and pairs inside a component, which
-   cannot change the result, are never listed.
+3. Components of confirmed links. Buckets that still hold several components have the
+   pairs between those estimated, and confirmed on the full sets, inside tiles of bounded
+   size; only links leave a tile. So no pair that shares a band key is left out, and pairs
+   inside a component, which cannot change the result, are not looked at.
 
 Defined cases: null or empty texts have an empty set and link with nothing, not even with
 each other; rows without a doc_id are returned as their own (component null, kept); rows
@@ -34,6 +34,7 @@ HASHES, BITS = 192, 2            # minima per document, low bits kept of each
 BANDS, ROWS = 25, 5              # a pair at 0.85 shares no band with probability 4e-7
 LONGS = HASHES * BITS // 64
 TILE = 2048                      # most members a side of a tile
+TILE_SHINGLES = 2_000_000        # and about the most shingles
 #: Least estimated similarity of a candidate: four standard errors below the threshold.
 _P = 1 / (1 << BITS)
 _AGREE = _P + (1 - _P) * PERCENT / 100
@@ -104,11 +105,11 @@ def _sign(batches):
 
 def _confirm(batches):
     """Pairs of texts that link by their full sets."""
-    last = (None, None)
+    last = None, None
     for batch in batches:
         keep = []
         for i in range(batch.num_rows):
-            key = batch["a"][i].as_py(), batch["ath"][i].as_py()
+            key = batch["a"][i].as_py()
             if last[0] != key:
                 last = key, _sets(batch["text_a"].slice(i, 1))[0]
             x, y = last[1], _sets(batch["text_b"].slice(i, 1))[0]
@@ -131,36 +132,46 @@ def similarity(a, b):
 
 
 def _tile(keys, frame):
-    """Pairs of one tile that may link and lie in different components."""
+    """Links of one tile between different components. A pair is looked at only in the
+    first band that both share, so once in all tiles; components that a link joins are
+    one for the rest of the tile."""
     import pandas as pd
 
     i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-    left, right = frame[frame["block"] == i], frame[frame["block"] == j]
-    sig_r = np.stack(right["sig"].to_numpy()).view(np.uint64)
-    n_r, c_r, rep_r = (right[c].to_numpy() for c in ("n", "component", "rep"))
-    found = []
-    for n, c, rep, sig in zip(left["n"], left["component"], left["rep"], left["sig"]):
-        at = np.flatnonzero((c_r != c) & (100 * np.minimum(n, n_r) >= PERCENT * np.maximum(n, n_r)) & ((rep_r > rep) | (i != j)))
-        if len(at):
-            x = sig_r[at] ^ np.asarray(sig).view(np.uint64)
-            same = np.bitwise_count(~(x | x >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum(axis=1, dtype=np.int64)
-            found += [(min(rep, r), max(rep, r)) for r in rep_r[at[same >= LEAST_AGREEING]].tolist()]
+    band, same_block = int(frame["band"].iloc[0]), i == j
+    frame = frame.sort_values("rep", ignore_index=True)
+    side = frame["block"].to_numpy()
+    left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+    sig = np.stack(frame["sig"].to_numpy()).view(np.uint64)
+    bands = np.stack(frame["bands"].to_numpy())
+    n, rep, label = (frame[c].to_numpy() for c in ("n", "rep", "component"))
+    label = label.copy()
+    sets, found = {}, []
+
+    def full(k):
+        if k not in sets:
+            sets[k] = _sets(pa.array([frame["text"].iloc[k]]))[0]
+        return sets[k]
+
+    for k in left:
+        others = right[right > k] if same_block else right
+        others = others[(label[others] != label[k]) & (100 * np.minimum(n[others], n[k]) >= PERCENT * np.maximum(n[others], n[k]))]
+        x = sig[others] ^ sig[k]
+        same = np.bitwise_count(~(x | x >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum(axis=1, dtype=np.int64)
+        others = others[same >= LEAST_AGREEING]
+        for m in others[(bands[others] == bands[k]).argmax(axis=1) == band]:
+            if label[m] != label[k]:
+                both = len(np.intersect1d(full(k), full(m), assume_unique=True))
+                if 100 * both >= PERCENT * (n[k] + n[m] - both):
+                    found.append((min(rep[k], rep[m]), max(rep[k], rep[m])))
+                    label[label == label[m]] = label[k]
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _confirmed(pairs, classes, docs):
+def _confirmed(pairs, have):
     """Pairs (a, b) of class representatives that link by their full sets."""
-    key = classes.select("rep", "th")
-    pairs = pairs.join(key.select(F.col("rep").alias("a"), F.col("th").alias("ath")), "a").join(
-        key.select(F.col("rep").alias("b"), F.col("th").alias("bth")), "b")
-    pairs = stage(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id"), F.col("ath").alias("th")).union(
-        pairs.select("b", "bth")).distinct()
-    have = stage(docs.join(wanted, ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"]), "texts")
-    a = have.select(F.col("doc_id").alias("a"), F.col("th").alias("ath"), F.col("text").alias("text_a"))
-    b = have.select(F.col("doc_id").alias("b"), F.col("th").alias("bth"), F.col("text").alias("text_b"))
-    return pairs.join(a, ["a", "ath"]).join(b, ["b", "bth"]).select("a", "ath", "text_a", "b", "text_b").mapInArrow(
-        _confirm, "a long, b long")
+    a, b = (have.select(F.col("rep").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+    return pairs.join(a, "a").join(b, "b").select("a", "text_a", "b", "text_b").mapInArrow(_confirm, "a long, b long")
 
 
 def _alike(a, b):
@@ -177,12 +188,18 @@ def _grouped(docs):
         .select("f1", "f2", F.col("n_shingles").alias("n"), F.col("low.doc_id").alias("rep"),
                 F.col("low.th").alias("th"), "bands", "sig"), "classes")
 
-    entries = classes.select("rep", "n", F.explode("bands").alias("key"))
+    entries = classes.select("rep", "n", F.posexplode("bands").alias("band", "key"))
     # Small rows per bucket with several members: its size and the centre of its star.
     buckets = entries.groupBy("key").agg(
         F.count("*").alias("size"), F.min(F.struct(F.xxhash64("rep", "key").alias("h"), "rep", "n")).alias("c")
     ).filter("size > 1").select("key", "size", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n"))
     shared = stage(entries.join(buckets, "key"), "buckets")
+    # The texts of all that share a bucket. The list of them grows with the input, so it
+    # is joined by a merge at every size.
+    wanted = classes.join(shared.select("rep").distinct(), "rep", "left_semi").select(F.col("rep").alias("doc_id"), "th")
+    have = stage(
+        docs.join(wanted.hint("merge"), ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id"])
+        .select(F.col("doc_id").alias("rep"), "text"), "texts")
     sig = classes.select("rep", "sig")
     star = (
         shared.filter("rep <> centre").filter(_alike("n", "centre_n"))
@@ -190,23 +207,23 @@ def _grouped(docs):
         .join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
         .join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
         .filter(agreeing(F.col("sa"), F.col("sb")) >= LEAST_AGREEING).select("a", "b"))
-    links = stage(_confirmed(star, classes, docs), "links")
+    links = stage(_confirmed(star, have), "links")
     found = components(links)
 
     # Buckets of three and more whose members are not all connected yet.
     labelled = shared.filter("size > 2").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep"))
-    open_ = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    blocks = F.expr(f"cast(ceil(size / {TILE}) as int)")
+    open_ = labelled.groupBy("key").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"),
+        F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_SHINGLES)).cast("int").alias("blocks")
+    ).filter("x <> y").select("key", "blocks")
     members = (
-        labelled.join(open_.select("key"), "key", "left_semi").join(sig, "rep")
-        .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", "rep", "n", "component", "sig", "block", F.least("block", "other").alias("i"),
-                F.greatest("block", "other").alias("j")))
-    more = members.groupBy("key", "i", "j").applyInPandas(_tile, "a long, b long").distinct()
-    more = stage(more.join(links, ["a", "b"], "left_anti"), "more")
-    extra = stage(_confirmed(more, classes, docs), "links")
+        labelled.join(open_, "key").join(classes.select("rep", "sig", "bands"), "rep").join(have, "rep")
+        .withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("key", "band", "rep", "n", "component", "sig", "bands", "text", "block",
+                F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
+    extra = stage(members.groupBy("key", "i", "j").applyInPandas(_tile, "a long, b long"), "links")
     links = links.union(extra).distinct()
     if not extra.isEmpty():
         found = components(links)

@@ -1,6 +1,6 @@
 """The registered queries of the corpus operators, each over its whole table."""
 
-from fleetbook.llm import minhash, quality, reshard, topk
+from fleetbook.llm import minhash, pii, quality, reshard, topk
 from fleetbook.llm.tables import read
 
 QUERIES = {}
@@ -49,3 +49,8 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 5
 """
+
+
+@query("op7_pii")
+def op7(spark, sf):
+    return pii.find(read(spark, sf, "documents"))
