@@ -1,6 +1,6 @@
 """The registered queries of the corpus operators, each over its whole table."""
 
-from fleetbook.llm import minhash, pii, quality, reshard, topk
+from fleetbook.llm import lengths, minhash, pii, quality, reshard, topk, warc
 from fleetbook.llm.tables import read
 
 QUERIES = {}
@@ -54,3 +54,23 @@ WHERE rank <= 5
 @query("op7_pii")
 def op7(spark, sf):
     return pii.find(read(spark, sf, "documents"))
+
+
+@query("op1_warc")
+def op1(spark, sf):
+    return warc.round_trip(read(spark, sf, "pages"))
+
+
+SQL["op1_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+     g AS (SELECT h, min(page_id) AS low FROM p WHERE strlen(h) >= 100 GROUP BY h)
+SELECT p.page_id, strlen(p.h) AS payload_bytes, sha256(p.h) AS payload_digest,
+       CASE WHEN g.low <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.low <> p.page_id THEN g.low END AS refers_to, true AS verified
+FROM p LEFT JOIN g ON p.h = g.h
+"""
+
+
+@query("op8_lengths")
+def op8(spark, sf):
+    return lengths.token_histogram(read(spark, sf, "documents"))
