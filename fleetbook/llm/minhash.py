@@ -4,17 +4,9 @@ Rules: A-Z is lower-cased; words are runs of anything but space and control char
 to 13; a document's set holds its distinct runs of five words as 64-bit hashes. Documents
 link where ``100 * |intersection| >= 85 * |union|``.
 
-1. One pass over the texts writes a small row per document: set size, a 128-bit
-   fingerprint of the set, keys of the bands of full minima, and the low bits of all minima
-   packed into longs. Copies (equal sets) then count once, as a class.
-2. Classes that share a band key are candidates. Every bucket first compares its members
-   with one of them, its centre, chosen differently in each band: rows grow with members,
-   not with pairs. The packed bits estimate the similarity, corrected for chance
-   agreement; pairs far below the threshold go. The rest are confirmed on the full sets.
-3. Components of confirmed links. Buckets that still hold several components have the
-   pairs between those estimated, and confirmed on the full sets, inside tiles of bounded
-   size; only links leave a tile. So no pair that shares a band key is left out, and pairs
-   inside a component, which cannot change the result, are not looked at.
+One pass over the texts writes a small row per document: set size, a 128-bit fingerprint of
+the set, keys of the bands of full minima, and the low bits of all minima packed into longs.
+Copies (equal sets) then count once, as a class; ``linking`` finds the links of classes.
 
 Defined cases: null or empty texts have an empty set and link with nothing, not even with
 each other; rows without a doc_id are returned as their own (component null, kept); rows
@@ -25,157 +17,36 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from fleetbook.llm import words
-from fleetbook.llm.components import components
+from fleetbook.llm import linking, words
 from fleetbook.llm.tables import stage, texts
 
-SHINGLE, PERCENT = 5, 85
-HASHES, BITS = 192, 2            # minima per document, low bits kept of each
-BANDS, ROWS = 25, 5              # a pair at 0.85 shares no band with probability 4e-7
-LONGS = HASHES * BITS // 64
-TILE = 2048                      # most members a side of a tile
-TILE_SHINGLES = 2_000_000        # and about the most shingles
-#: Least estimated similarity of a candidate: four standard errors below the threshold.
-_P = 1 / (1 << BITS)
-_AGREE = _P + (1 - _P) * PERCENT / 100
-LEAST = PERCENT / 100 - 4 * (_AGREE * (1 - _AGREE) / HASHES) ** 0.5 / (1 - _P)
-#: The same as a number of agreeing minima.
-LEAST_AGREEING = int(np.floor((_P + (1 - _P) * LEAST) * HASHES))
+SHINGLE = 5
+_SIGNED = "doc_id long, th long, n_shingles long, f1 long, f2 long, bands array<long>, sig array<long>"
 
-_ODD = np.random.default_rng(85).integers(0, 1 << 64, HASHES, dtype=np.uint64) | np.uint64(1)
-_SIGNED = ("doc_id long, th long, n_shingles long, f1 long, f2 long, bands array<long>, sig array<long>")
 
-
-def _sets(column):
+def shingle_sets(column):
+    """The sets of an Arrow text column, each sorted."""
     hashes, bounds = words.word_hashes(column)
     return [words.shingles_of(hashes[a:b], SHINGLE) for a, b in zip(bounds[:-1], bounds[1:])]
 
 
-def _lists(values):
-    """A matrix of 64-bit numbers as an Arrow list column."""
-    n, width = values.shape
-    flat = pa.array(np.ascontiguousarray(values).reshape(-1).view(np.int64))
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), flat)
-
-
-def signatures(sets):
-    """Minima of every set under all hashes; a row of ones for an empty set."""
-    sizes = np.array([len(s) for s in sets])
-    out = np.full((len(sets), HASHES), np.uint64(0xFFFFFFFFFFFFFFFF))
-    full = np.flatnonzero(sizes)
-    if len(full):
-        flat = np.concatenate([sets[i] for i in full])
-        starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-        buffer = np.empty_like(flat)
-        for k, odd in enumerate(_ODD):
-            np.multiply(flat, odd, out=buffer)
-            out[full, k] = np.minimum.reduceat(buffer, starts)
-    return words.mix(out)
-
-
-def band_keys(minima):
-    keys = np.empty((len(minima), BANDS), np.uint64)
-    for band in range(BANDS):
-        acc = np.full(len(minima), band + 1, np.uint64)
-        for row in range(ROWS):
-            acc = words.mix(acc * np.uint64(0x9E3779B97F4A7C15) + minima[:, band * ROWS + row])
-        keys[:, band] = acc
-    return keys
-
-
-def pack(minima):
-    """The low bits of all minima, side by side in longs."""
-    low = (minima & np.uint64((1 << BITS) - 1)).reshape(len(minima), LONGS, -1)
-    shifts = np.arange(low.shape[2], dtype=np.uint64) * np.uint64(BITS)
-    return np.bitwise_or.reduce(low << shifts, axis=2)
+#: A pair at 0.85 shares none of the 25 bands of 5 with probability 4e-7.
+SCHEME = linking.Scheme(sets=shingle_sets, percent=85, hashes=192, bands=25, rows=5, seed=85)
 
 
 def _sign(batches):
     for batch in batches:
         for part in words.slices(batch, "text", 1 << 21):
-            sets = _sets(part["text"])
-            minima = signatures(sets)
-            sums = [(s.sum(), words.mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()) if len(s) else (0, 0) for s in sets]
-            sums = np.array(sums, np.uint64).reshape(len(sets), 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays([
-                part["doc_id"], part["th"], pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(sums[:, 0]), pa.array(sums[:, 1]), _lists(band_keys(minima)), _lists(pack(minima)),
-            ], ["doc_id", "th", "n_shingles", "f1", "f2", "bands", "sig"])
-
-
-def _confirm(batches):
-    """Pairs of texts that link by their full sets."""
-    last = None, None
-    for batch in batches:
-        keep = []
-        for i in range(batch.num_rows):
-            key = batch["a"][i].as_py()
-            if last[0] != key:
-                last = key, _sets(batch["text_a"].slice(i, 1))[0]
-            x, y = last[1], _sets(batch["text_b"].slice(i, 1))[0]
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-def agreeing(a, b):
-    """Column: how many of the packed minima agree, counted by bits."""
-    def one(i):
-        x = a[i].bitwiseXOR(b[i])
-        return F.bit_count(F.bitwise_not(x.bitwiseOR(F.shiftrightunsigned(x, 1))).bitwiseAND(F.lit(0x5555555555555555)))
-    return sum((one(i) for i in range(1, LONGS)), one(0))
-
-
-def similarity(a, b):
-    """Column: estimated similarity, corrected for minima that agree by chance."""
-    return (agreeing(a, b) / HASHES - _P) / (1 - _P)
-
-
-def _tile(keys, frame):
-    """Links of one tile between different components. A pair is looked at only in the
-    first band that both share, so once in all tiles; components that a link joins are
-    one for the rest of the tile."""
-    import pandas as pd
-
-    i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-    band, same_block = int(frame["band"].iloc[0]), i == j
-    frame = frame.sort_values("rep", ignore_index=True)
-    side = frame["block"].to_numpy()
-    left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
-    sig = np.stack(frame["sig"].to_numpy()).view(np.uint64)
-    bands = np.stack(frame["bands"].to_numpy())
-    n, rep, label = (frame[c].to_numpy() for c in ("n", "rep", "component"))
-    label = label.copy()
-    sets, found = {}, []
-
-    def full(k):
-        if k not in sets:
-            sets[k] = _sets(pa.array([frame["text"].iloc[k]]))[0]
-        return sets[k]
-
-    for k in left:
-        others = right[right > k] if same_block else right
-        others = others[(label[others] != label[k]) & (100 * np.minimum(n[others], n[k]) >= PERCENT * np.maximum(n[others], n[k]))]
-        x = sig[others] ^ sig[k]
-        same = np.bitwise_count(~(x | x >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum(axis=1, dtype=np.int64)
-        others = others[same >= LEAST_AGREEING]
-        for m in others[(bands[others] == bands[k]).argmax(axis=1) == band]:
-            if label[m] != label[k]:
-                both = len(np.intersect1d(full(k), full(m), assume_unique=True))
-                if 100 * both >= PERCENT * (n[k] + n[m] - both):
-                    found.append((min(rep[k], rep[m]), max(rep[k], rep[m])))
-                    label[label == label[m]] = label[k]
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-
-def _confirmed(pairs, have):
-    """Pairs (a, b) of class representatives that link by their full sets."""
-    a, b = (have.select(F.col("rep").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    return pairs.join(a, "a").join(b, "b").select("a", "text_a", "b", "text_b").mapInArrow(_confirm, "a long, b long")
-
-
-def _alike(a, b):
-    return F.expr(f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})")
+            sets = shingle_sets(part["text"])
+            sizes = np.array([len(s) for s in sets], np.int64)
+            flat = np.concatenate(sets)
+            bands, sig = linking.sign(SCHEME, flat, sizes)
+            edges = np.concatenate([[0], np.cumsum(sizes)])
+            sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (flat, words.mix(flat ^ np.uint64(0xA5A5A5A5A5A5A5A5)))]
+            f1, f2 = (pa.array((s[edges[1:]] - s[edges[:-1]]).view(np.int64)) for s in sums)
+            yield pa.RecordBatch.from_arrays(
+                [part["doc_id"], part["th"], pa.array(sizes), f1, f2, bands, sig],
+                ["doc_id", "th", "n_shingles", "f1", "f2", "bands", "sig"])
 
 
 def _grouped(docs):
@@ -188,46 +59,13 @@ def _grouped(docs):
         .select("f1", "f2", F.col("n_shingles").alias("n"), F.col("low.doc_id").alias("rep"),
                 F.col("low.th").alias("th"), "bands", "sig"), "classes")
 
-    entries = classes.select("rep", "n", F.posexplode("bands").alias("band", "key"))
-    # Small rows per bucket with several members: its size and the centre of its star.
-    buckets = entries.groupBy("key").agg(
-        F.count("*").alias("size"), F.min(F.struct(F.xxhash64("rep", "key").alias("h"), "rep", "n")).alias("c")
-    ).filter("size > 1").select("key", "size", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n"))
-    shared = stage(entries.join(buckets, "key"), "buckets")
-    # The texts of all that share a bucket. The list of them grows with the input, so it
-    # is joined by a merge at every size.
-    wanted = classes.join(shared.select("rep").distinct(), "rep", "left_semi").select(F.col("rep").alias("doc_id"), "th")
-    have = stage(
-        docs.join(wanted.hint("merge"), ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id"])
-        .select(F.col("doc_id").alias("rep"), "text"), "texts")
-    sig = classes.select("rep", "sig")
-    star = (
-        shared.filter("rep <> centre").filter(_alike("n", "centre_n"))
-        .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
-        .join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
-        .join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
-        .filter(agreeing(F.col("sa"), F.col("sb")) >= LEAST_AGREEING).select("a", "b"))
-    links = stage(_confirmed(star, have), "links")
-    found = components(links)
-
-    # Buckets of three and more whose members are not all connected yet.
-    labelled = shared.filter("size > 2").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep"))
-    open_ = labelled.groupBy("key").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"),
-        F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_SHINGLES)).cast("int").alias("blocks")
-    ).filter("x <> y").select("key", "blocks")
-    members = (
-        labelled.join(open_, "key").join(classes.select("rep", "sig", "bands"), "rep").join(have, "rep")
-        .withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", "band", "rep", "n", "component", "sig", "bands", "text", "block",
-                F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-    extra = stage(members.groupBy("key", "i", "j").applyInPandas(_tile, "a long, b long"), "links")
-    links = links.union(extra).distinct()
-    if not extra.isEmpty():
-        found = components(links)
+    def fetch(reps):
+        # The list grows with the input, so it is joined by a merge at every size.
+        wanted = classes.join(reps, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "th")
+        return docs.join(wanted.hint("merge"), ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id"]).select(
+            F.col("doc_id").alias("rep"), "text")
 
+    links, found = linking.link(SCHEME, classes, fetch)
     degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count("*").alias("n_links"))
     of_class = (
         classes.select("f1", "f2", F.col("n").alias("n_shingles"), "rep", F.col("th").alias("rep_th"))
