@@ -1,6 +1,7 @@
 """The registered queries of the corpus operators, each over its whole table."""
 
-from fleetbook.llm import lengths, minhash, pii, quality, reshard, topk, warc
+import corpus_pipeline
+from fleetbook.llm import decontaminate, lengths, lines, minhash, mixing, pii, quality, reshard, topk, warc
 from fleetbook.llm.tables import read
 
 QUERIES = {}
@@ -74,3 +75,23 @@ FROM p LEFT JOIN g ON p.h = g.h
 @query("op8_lengths")
 def op8(spark, sf):
     return lengths.token_histogram(read(spark, sf, "documents"))
+
+
+@query("op4_lines")
+def op4(spark, sf):
+    return lines.decisions(read(spark, sf, "documents")).drop("th")
+
+
+@query("op6_decontaminate")
+def op6(spark, sf):
+    return decontaminate.matches(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+@query("op9_mixing")
+def op9(spark, sf):
+    return mixing.rates(read(spark, sf, "documents"), read(spark, sf, "labels")).drop("th")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
