@@ -150,7 +150,10 @@ def latent_space(passages, weights, rank=RANK, power=1):
     def summed(key, frame):
         import pandas as pd
 
-        return pd.DataFrame({"place": [key[0]], "row": [np.sum(np.stack(frame["row"].to_numpy()), axis=0)]})
+        at, of = np.unique(frame["place"].to_numpy(), return_inverse=True)
+        total = np.zeros((len(at), width))
+        np.add.at(total, of, np.stack(frame["row"].to_numpy()))
+        return pd.DataFrame({"place": at, "row": list(total)})
 
     rows = passages.select("hashes")
     vocabulary = np.array(sorted(r[0] for r in rows.mapInArrow(occurring, "place long").distinct().collect()), np.int64)
@@ -162,7 +165,7 @@ def latent_space(passages, weights, rank=RANK, power=1):
         basis[:, :q.shape[1]] = q
         parts = rows.mapInArrow(multiplied(basis), "place long, row array<double>")
         image = np.zeros((len(vocabulary), width))
-        for row in parts.groupBy("place").applyInPandas(summed, "place long, row array<double>").collect():
+        for row in parts.groupBy(F.col("place") % 64).applyInPandas(summed, "place long, row array<double>").collect():
             image[row["place"]] = row["row"]
     # The basis spans the leading right singular space; its directions by their energy.
     values, vectors = np.linalg.eigh((basis.T @ image + image.T @ basis) / 2)

@@ -30,10 +30,8 @@ _CHAR_TABLE = np.random.default_rng(8).integers(1, 1 << 64, 1 << 16, dtype=_U) |
 
 
 def _code_points(raw):
-    """Code points of UTF-8 bytes, and the number of code points before each byte."""
-    first = (raw & 0xC0) != 0x80
-    before = np.concatenate([[0], np.cumsum(first)])
-    return np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32), before
+    """Code points of UTF-8 bytes."""
+    return np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
 
 
 def _shingle_hashes(points):
@@ -77,7 +75,7 @@ def lines_of(column):
 def line_sets(column):
     """The sets of an Arrow column of trimmed lines, each sorted."""
     raw, offsets = words.buffers(column)
-    points, before = _code_points(raw)
+    points, before = _code_points(raw), np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
     out = []
     for a, b in zip(before[offsets[:-1]], before[offsets[1:]]):
         out.append(np.unique(_shingle_hashes(points[a:b])))
@@ -91,18 +89,19 @@ _PLAIN = "doc_id long, th long, n_lines int, lines array<struct<place: int, line
 
 
 def _cut(part):
-    """Long enough lines of a batch: raw, ranges, row, place, hash, code points and bounds."""
+    """Long enough lines of a batch: raw, ranges, row, place, hash, and the number of code
+    points before each byte."""
     raw, starts, ends, row, place = lines_of(part["text"])
-    points, before = _code_points(raw)
+    before = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
     keep = before[ends] - before[starts] >= CHARS
     starts, ends, row, place = starts[keep], ends[keep], row[keep], place[keep]
-    return raw, starts, ends, row, place, words.hash_runs(raw, starts, ends, lower=False), points, before
+    return raw, starts, ends, row, place, words.hash_runs(raw, starts, ends, lower=False), before
 
 
 def _sign(batches):
     for batch in batches:
         for part in words.slices(batch, "text", 1 << 20):
-            raw, starts, ends, row, place, line, points, before = _cut(part)
+            raw, starts, ends, row, place, line, before = _cut(part)
             # A class needs its signature once: of equal lines of the batch the first one
             # by document and place goes on.
             named = part["doc_id"].is_valid().to_numpy(zero_copy_only=False)
@@ -111,7 +110,7 @@ def _sign(batches):
             _, at = np.unique(line[order], return_index=True)
             at = np.sort(order[at])
             starts, ends, row, place, line = starts[at], ends[at], row[at], place[at], line[at]
-            hashes = _shingle_hashes(points)
+            hashes = _shingle_hashes(_code_points(raw))
             a, n = before[starts], before[ends] - before[starts] - CHARS + 1
             index = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
             bands, sig = linking.sign(SCHEME, hashes[index], n)
@@ -125,7 +124,7 @@ def _number(batches):
     """Hashes of the long enough lines of each text, by place."""
     for batch in batches:
         for part in words.slices(batch, "text", 1 << 21):
-            raw, starts, ends, row, place, line, _, _ = _cut(part)
+            raw, starts, ends, row, place, line, _ = _cut(part)
             bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
             _, offsets = words.buffers(part["text"])
             feeds = np.concatenate([[0], np.cumsum(raw == 10)])

@@ -126,55 +126,79 @@ def _reaches(scheme, x, y):
 
 def _confirm(scheme):
     def run(batches):
-        last = None, None
         for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                key = batch["a"][i].as_py()
-                if last[0] != key:
-                    last = key, scheme.sets(batch["text_a"].slice(i, 1))[0]
-                keep.append(_reaches(scheme, last[1], scheme.sets(batch["text_b"].slice(i, 1))[0]))
+            _, at, of = np.unique(batch["a"].to_numpy(), return_index=True, return_inverse=True)
+            first = scheme.sets(batch["text_a"].take(pa.array(at)))
+            keep = [_reaches(scheme, first[k], y) for k, y in zip(of, scheme.sets(batch["text_b"]))]
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def _tile(scheme):
-    """Links of one tile between different components. A pair is looked at only in the
-    first band that both share, so once in all tiles; components that a link joins are one
-    for the rest of the tile."""
+def _matrix(column):
+    flat = column.flatten().to_numpy()
+    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
+
+
+def _tiles(scheme):
+    """Links of tiles between different components. Rows come sorted by tile and rep; a tile
+    may go on in the next batch. A pair is looked at only in the first band that both share,
+    so once in all tiles; components that a link joins are one for the rest of the batch."""
     least = scheme.least_agreeing + scheme.longs * 64 // BITS - scheme.hashes
 
-    def run(keys, frame):
-        import pandas as pd
-
-        i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-        band = int(frame["band"].iloc[0])
-        frame = frame.sort_values("rep", ignore_index=True)
-        side = frame["block"].to_numpy()
-        left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
-        sig = np.stack(frame["sig"].to_numpy()).view(np.uint64)
-        bands = np.stack(frame["bands"].to_numpy())
-        n, rep, label = (frame[c].to_numpy() for c in ("n", "rep", "component"))
-        label = label.copy()
-        sets, found = {}, []
-
-        def full(k):
-            if k not in sets:
-                sets[k] = scheme.sets(pa.array([frame["text"].iloc[k]]))[0]
-            return sets[k]
-
-        for k in left:
-            others = right[right > k] if i == j else right
-            others = others[(label[others] != label[k])
-                            & (100 * np.minimum(n[others], n[k]) >= scheme.percent * np.maximum(n[others], n[k]))]
-            x = sig[others] ^ sig[k]
+    def pairs_of(lo, hi, c):
+        """Rows (k, m) of one tile that may link."""
+        i, j, band = c["i"][lo], c["j"][lo], c["band"][lo]
+        rows = np.arange(lo, hi)
+        left, right = rows[c["block"][lo:hi] == i], rows[c["block"][lo:hi] == j]
+        for at in range(0, len(left), max(1, 65536 // max(1, len(right)))):
+            part = left[at:at + max(1, 65536 // max(1, len(right)))]
+            k, m = np.repeat(part, len(right)), np.tile(right, len(part))
+            fit = (c["component"][k] != c["component"][m]) & (
+                100 * np.minimum(c["n"][k], c["n"][m]) >= scheme.percent * np.maximum(c["n"][k], c["n"][m]))
+            if i == j:
+                fit &= m > k
+            k, m = k[fit], m[fit]
+            x = c["sig"][k] ^ c["sig"][m]
             same = np.bitwise_count(~(x | x >> np.uint64(1)) & np.uint64(_HALF)).sum(axis=1, dtype=np.int64)
-            others = others[same >= least]
-            for m in others[(bands[others] == bands[k]).argmax(axis=1) == band]:
-                if label[m] != label[k] and _reaches(scheme, full(k), full(m)):
-                    found.append((min(rep[k], rep[m]), max(rep[k], rep[m])))
-                    label[label == label[m]] = label[k]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+            k, m = k[same >= least], m[same >= least]
+            once = (c["bands"][k] == c["bands"][m]).argmax(axis=1) == band
+            yield k[once], m[once]
+
+    def links_of(table):
+        c = {x: table[x].to_numpy() for x in ("key", "i", "j", "band", "block", "n", "rep", "component")}
+        c["sig"], c["bands"] = _matrix(table["sig"]).view(np.uint64), _matrix(table["bands"])
+        edge = np.flatnonzero((np.diff(c["key"]) != 0) | (np.diff(c["i"]) != 0) | (np.diff(c["j"]) != 0)) + 1
+        found = []
+        for lo, hi in zip(np.append(0, edge), np.append(edge, table.num_rows)):
+            found += list(pairs_of(lo, hi, c))
+        k = np.concatenate([f[0] for f in found]) if found else np.zeros(0, int)
+        m = np.concatenate([f[1] for f in found]) if found else k
+        needed = np.unique(np.concatenate([k, m]))
+        sets = dict(zip(needed.tolist(), scheme.sets(table["text"].take(pa.array(needed))))) if len(needed) else {}
+        label, rep, out = c["component"].copy(), c["rep"], []
+        for x, y in zip(k.tolist(), m.tolist()):
+            if label[x] != label[y] and _reaches(scheme, sets[x], sets[y]):
+                out.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+                label[label == label[y]] = label[x]
+        ends = list(zip(*out)) or [[], []]
+        return pa.RecordBatch.from_arrays([pa.array(e, pa.int64()) for e in ends], ["a", "b"])
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch]).combine_chunks()
+            if not table.num_rows:
+                continue
+            last = table.slice(table.num_rows - 1).to_pylist()[0]
+            same = np.ones(table.num_rows, bool)
+            for x in ("key", "i", "j"):
+                same &= table[x].to_numpy() == last[x]
+            cut = table.num_rows - int(same.sum())
+            rest = table.slice(cut)
+            if cut:
+                yield links_of(table.slice(0, cut).combine_chunks().to_batches()[0])
+        if rest is not None and rest.num_rows:
+            yield links_of(rest.combine_chunks().to_batches()[0])
     return run
 
 
@@ -221,7 +245,8 @@ def link(scheme, classes, fetch):
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("key", "band", "rep", "n", "component", "sig", "bands", "text", "block",
                 F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-    extra = stage(members.groupBy("key", "i", "j").applyInPandas(_tile(scheme), "a long, b long"), "links")
+    tiles = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
+    extra = stage(tiles.mapInArrow(_tiles(scheme), "a long, b long").distinct(), "links")
     if not extra.isEmpty():
         links = links.union(extra).distinct()
         found = components(links)
