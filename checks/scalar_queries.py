@@ -87,9 +87,9 @@ def _(spark, sf):
 
 @query("fn_norm_header", """
 SELECT name, regexp_replace(lower(strip_accents(name)), '[^a-z0-9]', '', 'g') AS key, count(*) AS n
-FROM (SELECT split_part(text, '.', 1) AS name FROM conversations) GROUP BY ALL""")
+FROM (SELECT text AS name FROM conversations) GROUP BY ALL""")
 def _(spark, sf):
-    df = v.table(spark, sf, "conversations").select(F.split_part("text", F.lit("."), F.lit(1)).alias("name"))
+    df = v.table(spark, sf, "conversations").select(F.col("text").alias("name"))
     return _mapped(df, "name", key=text.header_key(F.col("name")))
 
 

@@ -103,8 +103,7 @@ def dominant_month(df, moment, file="Archivo_Origen", by="timestamp"):
     value = F.trunc(moment, "month") if by == "month" else F.col(moment)
     counts = df.filter(F.col(moment).isNotNull()).groupBy(file, value.alias("v")).agg(
         F.count("*").alias("n"))
-    top = counts.groupBy(file).agg(F.max("n").alias("n"))
-    winner = counts.join(top, [file, "n"]).groupBy(file).agg(F.min("v").alias("v"))
+    winner = counts.groupBy(file).agg(F.min(F.struct((-F.col("n")).alias("less"), "v"))["v"].alias("v"))
     return winner.select(file, F.year("v").alias("Anio"), F.month("v").alias("Mes"))
 
 

@@ -16,10 +16,11 @@ def keep_first(df, keys, order):
 
 
 def dedup_batch(df, by_id=False):
-    """One row per ``Id_Origen``, or per whole ledger row. Rows without an id cannot be
-    told apart by it and count as one, as in a table keyed by it."""
+    """One row per ``Id_Origen``, or per whole ledger row. By id, rows without one are
+    told apart by the whole row."""
     if by_id:
-        return keep_first(df, ["Id_Origen"], [F.col(c) for c in LEDGER_COLS])
+        named = keep_first(df.filter("Id_Origen IS NOT NULL"), ["Id_Origen"], [F.col(c) for c in LEDGER_COLS])
+        return named.unionByName(df.filter("Id_Origen IS NULL").dropDuplicates(LEDGER_COLS))
     return df.dropDuplicates(LEDGER_COLS)
 
 

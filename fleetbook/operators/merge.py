@@ -19,12 +19,20 @@ def new_by_id(source, target):
     salt = F.when(has_id, F.lit(0)).otherwise(F.pmod(F.xxhash64(*source.columns), F.lit(4096)) + 1)
     left = source.withColumn("_salt", salt.cast("int"))
     right = (
-        target.filter(has_id).select("Sistema", "Id_Origen").distinct()
-        .withColumn("_salt", F.lit(0))
+        target.filter(has_id).select("Sistema", "Id_Origen").withColumn("_salt", F.lit(0))
     )
     return left.join(right, ["Sistema", "Id_Origen", "_salt"], "left_anti").select(*source.columns)
 
 
+def new_in_batch(source, target, by_id=False):
+    """New rows of a batch: those with an id by it, the others by natural key, so a batch
+    that is run again adds nothing. Without ``by_id`` all go by natural key."""
+    if not by_id:
+        return new_by_natural_key(source, target)
+    named = new_by_id(source.filter("Id_Origen IS NOT NULL"), target)
+    return named.unionByName(new_by_natural_key(source.filter("Id_Origen IS NULL"), target))
+
+
 def _cell(c):
     return F.floor(c / _CELL)
 
@@ -56,7 +64,6 @@ def new_by_natural_key(source, target):
     right = (
         keyed(target)
         .select("ECO", "Fecha", "Concepto", "Sistema", "_tipo", "_qty", "Importe")
-        .distinct()
         .withColumn("_cell_qty", _cells_within_reach(F.col("_qty")))
         .withColumn("_cell_amt", _cells_within_reach(F.col("Importe")))
         .alias("t")
@@ -74,7 +81,7 @@ def new_by_natural_key(source, target):
 def new_by_signature(source, target, signature):
     """Rows whose text signature the target does not hold. ``signature`` maps a frame
     to its signature column."""
-    seen = target.select(signature(target).alias("_sig")).distinct()
+    seen = target.select(signature(target).alias("_sig"))
     return (
         source.withColumn("_sig", signature(source))
         .join(seen, "_sig", "left_anti")

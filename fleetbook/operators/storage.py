@@ -63,12 +63,15 @@ class LedgerTable:
         self._write(rows, "append")
 
     def merge(self, batch, by_id=False):
-        """Insert the rows of a cleaned batch that are not stored yet. By id the whole
-        ledger is searched, by natural key only the batch's months."""
-        if by_id:
-            fresh = new_by_id(batch, self.read())
-        else:
-            fresh = new_by_natural_key(batch, self.touched_by(batch))
+        """Insert the rows of a cleaned batch that are not stored yet. Rows with an id are
+        looked for in all months of their systems, the others in the months they fall into;
+        the joins on partition columns leave the rest of the table unread."""
+        if not by_id:
+            return self.append(new_by_natural_key(batch, self.touched_by(batch)))
+        named, others = batch.filter("Id_Origen IS NOT NULL"), batch.filter("Id_Origen IS NULL")
+        systems = named.select("Sistema").distinct()
+        stored = self._table().join(systems, "Sistema", "left_semi").select(*LEDGER_COLS)
+        fresh = new_by_id(named, stored).unionByName(new_by_natural_key(others, self.touched_by(others)))
         self.append(fresh)
 
     def delete_month(self, system, year, month):
@@ -106,7 +109,7 @@ class LedgerTable:
         if location:
             writer = writer.option("path", location)
         writer.saveAsTable(copy)
-        rows = dedup_ledger(self.spark.table(copy).select(*LEDGER_COLS))
+        rows = dedup_ledger(self.spark.table(copy).drop("anio_mes"))
         self._write(rows, "overwrite")
         return copy
 

@@ -22,6 +22,9 @@ def last_per_unit(df, card, date, unit="ECO"):
         F.max_by(card, F.struct("_undated", "_date", card)).alias(card))
 
 
+FLAGS = ("Es_Domingo_Aux", "Es_Sabado_Tarde_Aux", "Es_Semana_Noche_Aux")
+
+
 def off_hours_flags(df, start, position, unit="ECO"):
     """Three 0/1 columns: Sunday, Saturday from 16:00, weekday from 20:00. Only the first
     row of a unit's day inside its class gets the 1. ``position`` names columns that
@@ -49,8 +52,8 @@ def off_hours_flags(df, start, position, unit="ECO"):
     def flag(code):
         return F.when((F.col("_kind") == code) & F.col("_first").isNotNull(), 1).otherwise(0)
 
-    flags = {"Es_Domingo_Aux": flag("D"), "Es_Sabado_Tarde_Aux": flag("S"), "Es_Semana_Noche_Aux": flag("N")}
-    return flagged.withColumns(flags).select(*df.columns, *flags)
+    flags = dict(zip(FLAGS, (flag("D"), flag("S"), flag("N"))))
+    return flagged.withColumns(flags).select(*[c for c in df.columns if c not in flags], *flags)
 
 
 def prefer_layout(files, col="path"):

@@ -31,10 +31,14 @@ def default_dimensions(df):
 
 def join_master(expenses, master):
     """Full outer join on letters and digits of the unit; the catalogue's spelling of the
-    unit is shown. Missing keys share one text, so they pair up."""
+    unit is shown. Missing keys share one text, so they pair up. Of columns that both sides
+    have, the catalogue's ends in ``_maestra`` and the ledger's in ``_consumo``."""
     def key(df):
         return F.coalesce(eco_key(F.col("ECO")), F.lit("NAN"))
 
+    shared = {c for c in master.columns if c in expenses.columns and c != "ECO"}
+    master = master.withColumnsRenamed({c: f"{c}_maestra" for c in shared})
+    expenses = expenses.withColumnsRenamed({c: f"{c}_consumo" for c in shared})
     catalog = master.withColumn("ECO", normalize_eco_lzc(F.col("ECO")))
     catalog = catalog.withColumns({"ECO_key": key(catalog)}).withColumnRenamed("ECO", "_eco_master")
     facts = expenses.withColumns({"ECO_key": key(expenses)}).withColumnRenamed("ECO", "_eco_use")

@@ -7,7 +7,7 @@ from ..functions.dates import in_month, in_year, parse_dayfirst
 from ..functions.eco import is_unit
 from ..operators import filters
 from ..operators.dedup import dedup_batch
-from ..operators.merge import insert_new, new_by_id, new_by_natural_key
+from ..operators.merge import insert_new, new_in_batch
 from ..vocabulary import LEDGER_SCHEMA
 
 
@@ -62,8 +62,15 @@ def stage_counts(df, year=None, month=None, late_rows=False):
     )
 
 
+def unread_dates(df):
+    """How many rows hold a date text that no reading understands; ``required`` drops them."""
+    given = to_ledger_columns(df).withColumn("_fecha", F.col("Fecha").cast("string"))
+    unread = F.col("Fecha").isNull() & F.coalesce(F.trim("_fecha") != "", F.lit(False))
+    return coerce_types(given).agg(F.count_if(unread).alias("fecha_no_leida"))
+
+
 def new_rows(batch, ledger, by_id=False):
-    return new_by_id(batch, ledger) if by_id else new_by_natural_key(batch, ledger)
+    return new_in_batch(batch, ledger, by_id)
 
 
 def ingest(batch, ledger, by_id=False, **cleaning):

@@ -7,7 +7,7 @@ from ..functions.eco import normalize_eco_lzc
 from ..functions.keys import signature_trip
 from ..operators.filters import valid_eco
 from ..operators.merge import insert_new, new_by_signature
-from ..operators.windows import off_hours_flags
+from ..operators.windows import FLAGS, off_hours_flags
 from ..vocabulary import NO_INFO
 
 START, END, USER, KM = "Fecha-hora Inicio", "Fecha-hora Término", "Usuario", "Distancia(KM)"
@@ -35,8 +35,9 @@ def helper_columns(trips, position):
 
 def trips_table(raw, existing, position):
     """Stored trips and new ones, with the flags computed over all of them, so a day is
-    flagged once however many batches it came in."""
+    flagged once however many batches it came in. ``existing`` may be an earlier result."""
     fresh = clean_trips(raw)
     if existing is not None:
+        existing = existing.drop("Anio", "Mes_Num", "Semana_Mes", *FLAGS)
         fresh = insert_new(existing, new_by_signature(fresh, existing, trip_signature))
     return helper_columns(fresh, position)

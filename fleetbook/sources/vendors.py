@@ -81,10 +81,11 @@ _EDENRED_UNIT = "Vehículo"
 _EDENRED_UNIT_POSITION = 7
 
 
-def edenred_rows(raw, header_row=5):
-    """Named columns of raw card exports. The unit stands in *Vehículo*, or in the eighth
-    column of files without that header."""
-    headers = fixed_headers(raw, header_row)
+def edenred_rows(raw, header_row=None):
+    """Named columns of raw card exports. The header is, per file, the first row that names
+    the transaction date (row 0 of text exports, row 5 of converted sheets), or the given
+    row. The unit stands in *Vehículo*, or in the eighth column of files without it."""
+    headers = marker_headers(raw, "Fecha Transacción") if header_row is None else fixed_headers(raw, header_row)
     names = ["Fecha Transacción", "Mercancía", "Cantidad Mercancía", "Importe Transacción", "Núm Tarjeta"]
     unit = F.coalesce(find_equal(F.col("header"), _EDENRED_UNIT), F.lit(_EDENRED_UNIT_POSITION))
     positions = headers.select(
