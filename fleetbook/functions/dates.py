@@ -13,42 +13,42 @@ _REWRITES = {"dmy": "$3-$2-$1", "mdy": "$3-$1-$2"}
 
 
 # Two-digit years belong to 1969 to 2068, as in the usual two-digit format.
-_SHORT_YEAR = r"^(\d{1,2}-\d{1,2}-)(\d{2})(?!\d)"
+_SHORT_YEARS = ((r"^(\d{1,2}-\d{1,2}-)(69|[7-9]\d)(?!\d)", "$119$2"), (r"^(\d{1,2}-\d{1,2}-)(\d{2})(?!\d)", "$120$2"))
 _HALF_DAY = r"(?i)^(.*?)(\d{1,2})(:\d{2}(?::\d{2})?)\s*([ap])\.?\s?m\.?$"
 _NAMED_MONTH = r"(?i)^(\d{1,2})[- ]([a-z]{3})[a-z]*\.?[- ](\d{2,4})(.*)$"
 _MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
-def _plain_numbers(text):
-    """Named months as numbers, years with four digits, hours from 0 to 23. Texts in plain
-    form are left as they are."""
+def _let(value, body):
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _four_digits(text):
+    for pattern, full in _SHORT_YEARS:
+        text = F.regexp_replace(text, pattern, full)
+    return text
+
+
+def _numbered_month(text):
+    """``05-mar-2025`` in ISO order, other texts as they are."""
     numbers = F.create_map(*[v for i, m in enumerate(_MONTHS, 1) for v in (F.lit(m), F.lit(f"{i:02d}"))])
-    month = F.try_element_at(numbers, F.lower(F.regexp_extract(text, _NAMED_MONTH, 2)))
-    day, rest = F.regexp_extract(text, _NAMED_MONTH, 1), F.regexp_extract(text, _NAMED_MONTH, 4)
-    year = F.regexp_extract(text, _NAMED_MONTH, 3)
-    # A day over 12 could only be read one way; others are put where every order agrees.
-    four = F.when(F.length(year) == 2, F.concat(F.when(year >= "69", "19").otherwise("20"), year)).otherwise(year)
-    named = F.concat(four, F.lit("-"), month, F.lit("-"), F.lpad(day, 2, "0"), rest)
-    text = F.when(text.rlike(_NAMED_MONTH), F.coalesce(named, text)).otherwise(text)
-    century = F.when(F.regexp_extract(text, _SHORT_YEAR, 2) >= "69", "19").otherwise("20")
-    text = F.when(text.rlike(_SHORT_YEAR), F.concat(
-        F.regexp_extract(text, _SHORT_YEAR, 1), century, F.regexp_extract(text, r"^\d{1,2}-\d{1,2}-(.*)$", 1))).otherwise(text)
-    hour = F.regexp_extract(text, _HALF_DAY, 2).try_cast("int")
-    late = F.lower(F.regexp_extract(text, _HALF_DAY, 4)) == "p"
-    clock = F.when(hour.between(1, 12), F.lpad((hour % 12 + F.when(late, 12).otherwise(0)).cast("string"), 2, "0"))
-    return F.when(text.rlike(_HALF_DAY), F.concat(
-        F.regexp_extract(text, _HALF_DAY, 1), clock, F.regexp_extract(text, _HALF_DAY, 3))).otherwise(text)
+    part = [F.regexp_extract(text, _NAMED_MONTH, k) for k in range(5)]
+    year = F.when(F.length(part[3]) == 2, F.concat(F.when(part[3] >= "69", "19").otherwise("20"), part[3])).otherwise(part[3])
+    iso = F.concat(year, F.lit("-"), F.try_element_at(numbers, F.lower(part[2])), F.lit("-"), F.lpad(part[1], 2, "0"), part[4])
+    return F.when(part[0] != "", F.coalesce(iso, text)).otherwise(text)
 
 
-def parse_timestamp(c, *orders):
-    """First reading, in the given orders, that is a real date; else null. Years may have
-    two digits, months English names, times AM or PM.
+def _full_day(text):
+    """Times with AM or PM as hours from 0 to 23, other texts as they are."""
+    part = [F.regexp_extract(text, _HALF_DAY, k) for k in range(5)]
+    hour = part[2].try_cast("int")
+    clock = F.when(hour.between(1, 12), F.lpad(
+        (hour % 12 + F.when(F.lower(part[4]) == "p", 12).otherwise(0)).cast("string"), 2, "0"))
+    return F.when(part[0] != "", F.concat(part[1], clock, part[3])).otherwise(text)
 
-    Each row is read on its own, so one odd row never changes how the others are
-    understood, and ISO text is never read day first. The place of the first separator
-    tells the orders apart, so a text is only parsed by those that can apply.
-    """
-    text = _plain_numbers(F.translate(strip(c), "/", "-"))
+
+def _read(text, orders):
     first = F.instr(text, "-")
     readings = []
     for order in orders:
@@ -60,6 +60,21 @@ def parse_timestamp(c, *orders):
     return F.coalesce(*readings)
 
 
+def parse_timestamp(c, *orders):
+    """First reading, in the given orders, that is a real date; else null. Years may have
+    two digits, months English names, times AM or PM.
+
+    Each row is read on its own, so one odd row never changes how the others are
+    understood, and ISO text is never read day first. The place of the first separator
+    tells the orders apart, so a text is only parsed by those that can apply; only texts
+    with letters go the longer way.
+    """
+    text = F.translate(strip(c), "/", "-")
+    worded = _let(text, lambda t: _let(_numbered_month(t), lambda u: _let(
+        _four_digits(_full_day(u)), lambda w: _read(w, orders))))
+    return F.coalesce(_read(_four_digits(text), orders), F.when(text.rlike("[A-Za-z]{2}|[A-Za-z][.]"), worded))
+
+
 def parse_date_ladder(c):
     """Year first, then day first, then month first."""
     return parse_timestamp(c, "ymd", "dmy", "mdy")
