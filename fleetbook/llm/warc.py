@@ -167,34 +167,36 @@ class _Member:
 
 
 class _Source:
-    """Compressed bytes with a place for what a member did not use."""
+    """Compressed bytes with a place for what a member did not use, and the last ones given
+    out, among which the next member is sought after damage."""
 
     def __init__(self, stream):
-        self.stream, self.left = stream, b""
+        self.stream, self.left, self.recent = stream, b"", b""
 
     def take(self):
         data, self.left = self.left or self.stream.read(STEP), b""
+        self.recent = (self.recent + data)[-4 * STEP:]
         return data
 
     def back(self, data):
         self.left = data + self.left
 
     def at_end(self):
-        self.left = self.left or self.stream.read(STEP)
+        """True where nothing is left; else a member starts here."""
+        self.left, self.recent = self.left or self.stream.read(STEP), b""
         return not self.left
 
     def skip(self):
-        """Go on at the next start of a gzip member after the present place."""
-        tail = b""
+        """Go on at the next start of a gzip member after that of the damaged one."""
+        tail, self.left = self.recent[1:] + self.left, b""
         while True:
-            data = self.take()
-            if not data:
-                return
-            tail += data
             at = tail.find(b"\x1f\x8b\x08")
             if at >= 0:
                 return self.back(tail[at:])
-            tail = tail[-2:]
+            data = self.stream.read(STEP)
+            if not data:
+                return None
+            tail = tail[-2:] + data
 
 
 def _fields(head):
