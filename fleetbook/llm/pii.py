@@ -341,7 +341,8 @@ def train(docs, sample=SAMPLE):
     candidates = texts(docs).filter("text IS NOT NULL AND doc_id IS NOT NULL").filter(F.col("text").rlike("[0-9]{3}|@"))
     rows = candidates.select("doc_id", "text", F.xxhash64("doc_id", F.lit(7)).alias("h"))
     chosen = stage(rows.select("h", "doc_id").orderBy("h", "doc_id").limit(sample), "chosen")
-    rows = rows.join(F.broadcast(chosen.distinct()), ["h", "doc_id"]).select("h", "text")
+    # Written first: only the bounded sample, not the scan, goes to the one task below.
+    rows = stage(rows.join(F.broadcast(chosen.distinct()), ["h", "doc_id"]).select("h", "text"), "sample")
 
     def learn(batches):
         documents = []
