@@ -32,7 +32,7 @@ WEIGHTS = {"clean": 1.0, "toxic": 0.3, "junk": 0.3}
 SAMPLE = 20_000
 PLACES = 1 << 14
 HEAT = 2.0
-STEPS, NEAR = 40, 1e-6
+STEPS, NEAR, STALL = 40, 1e-6, 3e-4   # shares of all tokens: close enough, and no more progress
 
 
 def _words(docs):
@@ -125,7 +125,7 @@ def fit_rates(members, targets=None, most=None):
             rate = F.least(F.lit(float(most)), rate)
         before = totals
         totals, gram = _totals(members, rate)
-        if np.abs(totals - before).max() <= NEAR * size:
+        if np.abs(totals - before).max() <= STALL * size:
             break
     return rate, dict(zip(DOMAINS, totals)), dict(zip(DOMAINS, goal))
 
