@@ -20,10 +20,9 @@ _PASE_HEADER = "No. económico;Fecha de cruce;Importe al 100;Tarjeta IDMX"
 
 
 def _write_lines(lines, header, path, *by):
-    """Lines as text files, each starting with the header. No file grows beyond a fixed
-    number of rows."""
+    """Lines as text files, each starting with the header."""
     (lines.withColumnRenamed("line", header).write.partitionBy(*by)
-     .option("maxRecordsPerFile", 500_000).option("header", True)
+     .option("header", True)
      .option("sep", "\x01").option("quote", "\x02").option("escapeQuotes", False)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("emptyValue", "").csv(path))
@@ -58,7 +57,7 @@ def _(spark, sf):
 
 @query("src_lossless_lines", _RAGGED)
 def _(spark, sf):
-    return _cell_counts(ragged.parse_lines(spark, _ragged_files(spark, sf)))
+    return _cell_counts(ragged.read_ragged(spark, _ragged_files(spark, sf), skip_blank=False))
 
 
 # --- raw rows by vendor ---
@@ -126,6 +125,33 @@ def _(spark, sf):
         sum_cents(F.col("IMPORTE")).alias("Importe"))
 
 
+@query("src_supramax_html", f"""
+SELECT trim(PLACAS) AS ECO, FECHA AS Fecha, 'AÑO' AS Tipo, Cantidad, CAST(IMPORTE AS DOUBLE) AS Importe,
+  count(*) AS n FROM ({_FUEL_SQL}) GROUP BY ALL""")
+def _(spark, sf):
+    """HTML files under a spreadsheet name, odd ones in Latin-1, written and read back."""
+    raw = v.ledger_raw(spark, sf)
+    hour = F.lpad((F.col("l_partkey") % 24).cast("string"), 2, "0")
+    moment = F.concat(F.date_format("l_shipdate", "yyyy/MM/dd"), F.lit(" "), hour, F.lit(":10:05"))
+
+    def tr(*cells):
+        return F.concat(F.lit("<tr><td>"), F.concat_ws("</td><td>", *cells), F.lit("</td></tr>"))
+
+    line = tr("eco_raw", moment, F.lit("AÑO"), F.coalesce(F.col("Cantidad").cast("string"), F.lit("")),
+              F.translate("importe_raw", "$,", ""))
+    path, top = scratch_dir(spark, "fuel-html"), "<table><tr><td>Reporte</td></tr><tr><td>" + "</td><td>".join(_FUEL[:5])
+    for odd, charset in ((0, "UTF-8"), (1, "ISO-8859-1")):
+        (raw.filter(F.col("l_suppkey") % 2 == odd).select(line.alias(top)).write.mode("append").option("header", True)
+         .option("encoding", charset).option("sep", "\x01").option("quote", "\x02").option("escapeQuotes", False)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/{charset}"))
+    files = ragged.land(spark, html.read_html_files(spark, path, [".csv"]))
+    found = vendors.supramax_rows(headers.with_header(files, headers.marker_headers, "PLACAS"))
+    rows = vendors.clean_supramax(found).select(
+        "ECO", F.date_format("Fecha", "yyyy/MM/dd HH:mm:ss").alias("Fecha"), "Tipo", "Cantidad",
+        F.col("Importe").cast("double").alias("Importe"))
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
 def _tag_raw(spark, sf):
     return v.stored(spark, sf, "tag_raw", _make_tag_raw)
 
@@ -300,16 +326,22 @@ def _(spark, sf):
 
 
 def _toll_archive(spark, sf):
-    """The toll exports, a third of them also archived in the older layout."""
-    raw = _toll_raw(spark, sf)
+    """The toll exports, a third of them also archived in the older layout. A third has a
+    billing date and a base amount left of the real columns; another third names neither
+    unit nor amount as the consolidation wants them."""
+    raw, named = _toll_raw(spark, sf), F.element_at("cells", 3) == "ECO"
+    traps = F.when(named, _words("Fecha de facturación", "Importe base")).otherwise(_words("1997/01/01", "5"))
+    names = F.when(named, _words("Fecha", "Importe", "No. Económico", "Tag")).otherwise(F.col("cells"))
+    second = F.regexp_extract("path", r"g1A(\d+)\.7", 1).cast("int") % 3 == 1
+    raw = raw.withColumn("cells", F.when(second, F.concat(traps, names)).otherwise(F.col("cells")))
     old = raw.filter(F.col("path").rlike(r"[147]\.7\.csv$")).withColumn(
         "path", F.regexp_replace("path", "EMP_X/1997/0", "1997/1"))
     return raw.union(old)
 
 
 @query("job_unify_pase", f"""
-SELECT {norm_eco('ECO')} AS ECO, Fecha, Importe, CASE l_suppkey % 3 WHEN 0 THEN 'T1' WHEN 1 THEN 'T2' ELSE '' END AS tarjeta,
-  file AS Archivo_Origen FROM ({_TOLL_SQL}) WHERE Fecha IS NOT NULL AND year(Fecha) = 1997""")
+SELECT {norm_eco('ECO')} AS ECO, Fecha, Importe, CASE l_suppkey % 3 WHEN 0 THEN 'T1' ELSE 'T2' END AS tarjeta,
+  file AS Archivo_Origen FROM ({_TOLL_SQL}) WHERE l_suppkey % 3 <> 2 AND Fecha IS NOT NULL AND year(Fecha) = 1997""")
 def _(spark, sf):
     rows = unify.unify_pase(_toll_archive(spark, sf), year=1997)
     return rows.select("ECO", F.to_date("Fecha").alias("Fecha"), "Importe",

@@ -72,6 +72,16 @@ def fixed_headers(raw, row):
         "path", F.col("row_idx").alias("header_row"), F.transform("cells", strip).alias("header"))
 
 
+def with_header(raw, find, *args):
+    """The raw rows again; fails when read if ``find(raw, *args)`` names no header row for
+    some file. Without it such a file would give no rows and no sign of it."""
+    starts = raw.filter("row_idx = 0").select("path", "row_idx")
+    lost = starts.join(find(raw, *args).select("path", F.lit(True).alias("found")), "path", "left")
+    told = lost.select("path", "row_idx", F.when(F.col("found").isNull(), F.raise_error(
+        F.concat(F.lit("no header row in "), "path"))).cast("string").alias("_lost"))
+    return raw.join(told, ["path", "row_idx"], "left").filter("_lost is null").drop("_lost")
+
+
 def keyword_headers(raw, plate_words=("placa",), tag_words=("tag", "identificador", "tarjeta"), rows=10):
     """Header frame with ``plate_pos`` and ``tag_pos``. The header is the first record, or
     one of the next ``rows``, that names both a plate and a tag column. In files without
@@ -131,6 +141,14 @@ def find_contains(header, *candidates):
     return _first_found(F.transform(header, loose_header), [_contains(c) for c in candidates])
 
 
+def find_either(header, contains=(), equal=()):
+    """Position of the first column whose loosely reduced name contains one of the first
+    texts or equals one of the second."""
+    tests = [_contains(c) for c in contains] + [_equals(c) for c in equal]
+    return _position(F.transform(header, loose_header), lambda name: reduce(
+        lambda a, b: a | b, [test(name) for test in tests]))
+
+
 def find_exact(header, *candidates):
     """Position of the column equal to the first candidate found, accents, case and
     signs aside."""

@@ -3,8 +3,11 @@
 Every file may have its own delimiter, encoding and width, so files are not read into
 one schema: cells stay an array until the header of their file is resolved.
 
-Files up to ``whole_limit`` are parsed whole, one file per record of the binary scan.
-Larger ones are read as splittable lines, so one huge export is shared by many tasks.
+All files are read by one rule, whatever their size and wherever they are split. The scan's
+lines are packed into pieces. Per piece it is found how many records start in it and whether
+a quoted cell is open at its end, both for a start outside and inside a quoted cell. Running
+sums over these few numbers give each piece its true start and first row number, and a record
+that runs on past its piece the text that completes it. Then every piece is parsed alone.
 """
 
 import csv
@@ -12,6 +15,7 @@ import io
 import itertools
 
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -20,16 +24,10 @@ RAW_SCHEMA = "path string, row_idx bigint, cells array<string>"
 _ARROW = pa.schema([("path", pa.string()), ("row_idx", pa.int64()), ("cells", pa.list_(pa.string()))])
 _DELIMITERS = ",;\t|"
 _SAMPLE = 8192
+_HEAD_BYTES = 4 * _SAMPLE  # a character has at most four bytes
 _CHUNK = 5000
-WHOLE_LIMIT = 64 * 1024 * 1024
-
-
-def _decode(data):
-    """Strict UTF-8 first: Latin-1 accepts any bytes and would hide accents."""
-    try:
-        return data.decode("utf-8-sig")
-    except UnicodeDecodeError:
-        return data.decode("latin-1")
+_PIECE = 1 << 20
+_CELL_LIMIT = 131072
 
 
 def _dialect(sample):
@@ -37,151 +35,269 @@ def _dialect(sample):
         found = csv.Sniffer().sniff(sample, delimiters=_DELIMITERS)
     except csv.Error:
         found = csv.excel
-    return {
-        "delimiter": found.delimiter,
-        "quotechar": found.quotechar or '"',
-        "skipinitialspace": found.skipinitialspace,
-    }
+    return found.delimiter, found.quotechar or '"', bool(found.skipinitialspace)
 
 
 def _is_blank(cells):
     return not cells or (len(cells) == 1 and not cells[0].strip())
 
 
-def _records(data, skip_blank):
-    text = _decode(data)
-    rows = csv.reader(io.StringIO(text, newline=""), **_dialect(text[:_SAMPLE]))
-    if skip_blank:
-        rows = (r for r in rows if not _is_blank(r))
-    return enumerate(rows)
+def _batches(rows, schema):
+    while chunk := list(itertools.islice(rows, _CHUNK)):
+        columns = zip(*chunk)
+        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _batch(rows):
-    paths, numbers, cells = zip(*rows)
-    return pa.record_batch(
-        [pa.array(paths, pa.string()), pa.array(numbers, pa.int64()),
-         pa.array(cells, pa.list_(pa.string()))], schema=_ARROW)
+def _pieces(batches):
+    """(path, block, piece, bytes): consecutive lines of one block of the scan, with their
+    ends. A block's lines come in order and in one task."""
+    key, piece, held, size = None, 0, [], 0
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("path", "block", "line"))
+        for path, block, line in zip(*columns):
+            if (path, block) != key:
+                if held:
+                    yield *key, piece, b"".join(held)
+                key, piece, held, size = (path, block), 0, [], 0
+            held += (line, b"\n")
+            size += len(line) + 1
+            if size >= _PIECE:
+                yield *key, piece, b"".join(held)
+                piece, held, size = piece + 1, [], 0
+    if held:
+        yield *key, piece, b"".join(held)
 
 
-def _batches(rows):
-    while chunk := list(itertools.islice(rows, _CHUNK)):
-        yield _batch(chunk)
+_PACKED = pa.schema([
+    ("path", pa.string()), ("block", pa.int64()), ("piece", pa.int64()), ("data", pa.binary())])
 
 
-def _whole_file_parser(skip_blank):
-    def parse(batches):
-        csv.field_size_limit(2**31 - 1)
-        for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                name = path.as_py()
-                rows = ((name, i, r) for i, r in _records(content.as_py() or b"", skip_blank))
-                yield from _batches(rows)
-    return parse
+def _pack(batches):
+    for path, block, piece, data in _pieces(batches):
+        yield pa.record_batch([[path], [block], [piece], pa.array([data], pa.binary())], schema=_PACKED)
 
 
-def parse_files(files, skip_blank=True):
-    """Raw rows of a frame ``(path, content)``, one file per row."""
-    return files.select("path", "content").mapInArrow(_whole_file_parser(skip_blank), RAW_SCHEMA)
+def _is_utf8(data):
+    try:
+        data.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return True
 
 
-def _number_lines(lines):
-    """Adds the number of each line in its file. A file's blocks are numbered on their
-    own by the order of the scan, then shifted by the lines of the blocks before."""
-    def count(batches):
-        key, n = None, 0
-        for batch in batches:
-            numbers = []
-            for path, block in zip(batch.column("path").to_pylist(), batch.column("block").to_pylist()):
-                if (path, block) != key:
-                    key, n = (path, block), 0
-                numbers.append(n)
-                n += 1
-            yield batch.append_column("n", pa.array(numbers, pa.int64()))
-    schema = "path string, block bigint, line binary, n bigint"
-    return lines.mapInArrow(count, schema)
+_DESCRIBED = pa.schema([
+    ("path", pa.string()), ("block", pa.int64()), ("latin", pa.bool_()), ("head", pa.binary())])
 
 
-_HEAD_LINES = 64
-_BLOCKS = "b array<struct<block: bigint, rows: bigint>>"
+def _describe(batches):
+    """Per piece whether it is UTF-8, and its first bytes where they may be the file's."""
+    def rows():
+        for path, block, piece, data in _pieces(batches):
+            if b"\0" in data:
+                raise ValueError(f"{path}: not a text file")
+            first = piece == 0 and block < _HEAD_BYTES
+            yield path, block, not _is_utf8(data), data[:_HEAD_BYTES] if first else None
+    yield from _batches(rows(), _DESCRIBED)
 
 
 def _add_dialect(batches):
-    """Delimiter, quote and blank handling of each file from its first lines."""
+    """Delimiter, quote and blank handling of each file from its first characters."""
     for batch in batches:
         found = []
         for head, latin in zip(batch.column("head").to_pylist(), batch.column("latin").to_pylist()):
-            lines = [r["line"] for r in sorted(head, key=lambda r: r["n"])]
-            text = b"\n".join(lines).decode("latin-1" if latin else "utf-8")
+            data = b"".join(h["head"] for h in head)[:_HEAD_BYTES]
+            # UTF-8 first: Latin-1 accepts any bytes and would hide accents.
+            text = data.decode("latin-1") if latin else data.decode("utf-8-sig", errors="ignore")
             found.append(_dialect(text[:_SAMPLE]))
         batch = batch.drop_columns(["head"])
-        for name, kind in (("delimiter", pa.string()), ("quotechar", pa.string()),
-                           ("skipinitialspace", pa.bool_())):
-            batch = batch.append_column(name, pa.array([f[name] for f in found], kind))
+        for i, (name, kind) in enumerate((
+                ("delimiter", pa.string()), ("quotechar", pa.string()), ("skipspace", pa.bool_()))):
+            batch = batch.append_column(name, pa.array([f[i] for f in found], kind))
         yield batch
 
 
-def _parse_lines(batches):
-    csv.field_size_limit(2**31 - 1)
-    names = ("path", "row_idx", "line", "latin", "delimiter", "quotechar", "skipinitialspace")
-    for batch in batches:
-        def rows(batch=batch):
-            for path, number, line, latin, delimiter, quote, skip in zip(
-                    *(batch.column(c).to_pylist() for c in names)):
-                text = line.decode("latin-1" if latin else "utf-8")
-                if number == 0:
-                    text = text.removeprefix("\ufeff")
-                cells = next(csv.reader([text], delimiter=delimiter, quotechar=quote,
-                                        skipinitialspace=skip, strict=True), [])
-                yield path, number, cells
-        yield from _batches(rows())
-
-
-def parse_lines(spark, path, skip_blank=True, larger_than=0):
-    """Raw rows of files read line by line; a record must fit on one line. A quoted cell
-    that is still open at the end of its line fails the job instead of splitting it."""
-    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+def _text(path, block, piece, data, latin):
+    text = data.decode("latin-1" if latin else "utf-8")
+    return text.removeprefix("\ufeff") if block == 0 and piece == 0 else text
+
+
+def _records(text, inside, delimiter, quotechar, skipspace):
+    """(cells, lines read so far, lines of the record, whether it is still open at the end
+    of the text). ``inside``: the text starts in a quoted cell."""
+    ended = False
+
+    def lines():
+        nonlocal ended
+        yield from io.StringIO(quotechar + text if inside else text, newline="")
+        ended = True
+
+    rows = csv.reader(lines(), delimiter=delimiter, quotechar=quotechar, skipinitialspace=skipspace)
+    before = 0
+    for cells in rows:
+        yield cells, rows.line_num, rows.line_num - before, ended
+        before = rows.line_num
+
+
+def _counts(cells, lines, still_open, skip_blank):
+    """Whether a record has a row number. Blank ones have none; a record with a quoted line
+    break is not blank."""
+    return not skip_blank or lines > 1 or still_open or not _is_blank(cells)
+
+
+def _outside(text, dialect, skip_blank):
+    """(records, open at the end, cell too long, records up to each line that ends one)."""
+    n, ends, still_open = 0, {}, False
+    try:
+        for cells, line, lines, still_open in _records(text, False, *dialect):
+            n += _counts(cells, lines, still_open, skip_blank)
+            if not still_open:
+                ends[line] = n
+    except csv.Error:
+        return n, True, True, ends
+    return n, still_open, False, ends
+
+
+def _inside(text, dialect, skip_blank, outside):
+    """(records, open at the end, cell too long, text up to the end of the open record,
+    whether that is all). As soon as a record ends on a line where one also ends when read
+    from outside, the rest is known."""
+    total, open_outside, long_outside, ends = outside
+    if dialect[1] not in text:
+        return 0, True, len(text) > _CELL_LIMIT, text if len(text) <= _CELL_LIMIT else None, True
+    n, lead = 0, None
+    try:
+        for cells, line, lines, still_open in _records(text, True, *dialect):
+            if lead is None:
+                if still_open:
+                    return 0, True, False, text, True
+                lead = "".join(itertools.islice(io.StringIO(text, newline=""), line))
+            else:
+                n += _counts(cells, lines, still_open, skip_blank)
+            if still_open:
+                return n, True, False, lead, False
+            if line in ends:
+                return n + total - ends[line], open_outside, long_outside, lead, False
+    except csv.Error:
+        return n, True, True, lead, lead is None
+    return n, False, False, lead, False
+
+
+_COUNTED = pa.schema([
+    ("path", pa.string()), ("block", pa.int64()), ("piece", pa.int64()), ("latin", pa.bool_()),
+    ("delimiter", pa.string()), ("quotechar", pa.string()), ("skipspace", pa.bool_()),
+    ("n0", pa.int64()), ("end0", pa.int32()), ("long0", pa.bool_()),
+    ("n1", pa.int64()), ("end1", pa.int32()), ("long1", pa.bool_()),
+    ("lead", pa.string()), ("whole", pa.bool_())])
+_COUNTED_DDL = (
+    "path string, block bigint, piece bigint, latin boolean, delimiter string, quotechar string, "
+    "skipspace boolean, n0 bigint, end0 int, long0 boolean, n1 bigint, end1 int, long1 boolean, "
+    "lead string, whole boolean")
+_DIALECT = ("delimiter", "quotechar", "skipspace")
+
+
+def _count(skip_blank):
+    def count(batches):
+        csv.field_size_limit(_CELL_LIMIT)
+
+        def rows():
+            names = ("path", "block", "piece", "data", "latin", *_DIALECT)
+            for batch in batches:
+                for path, block, piece, data, latin, *dialect in zip(
+                        *(batch.column(c) for c in names)):
+                    path, block, piece, latin = (x.as_py() for x in (path, block, piece, latin))
+                    dialect = [x.as_py() for x in dialect]
+                    text = _text(path, block, piece, data.as_py(), latin)
+                    outside = _outside(text, dialect, skip_blank)
+                    inside = _inside(text, dialect, skip_blank, outside)
+                    yield (path, block, piece, latin, *dialect, outside[0], int(outside[1]),
+                           outside[2], inside[0], int(inside[1]), *inside[2:])
+        yield from _batches(rows(), _COUNTED)
+    return count
+
+
+def _starts(counted):
+    """Per piece: whether it starts inside a quoted cell, its first row number, and the text
+    after it that completes its last record. One row per piece is numbered per file."""
+    order = Window.partitionBy("path").orderBy("block", "piece")
+    before, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(
+        Window.unboundedPreceding, 0)
+    # A piece keeps the state, flips it, or ends in a state of its own (it settles it).
+    flips = F.expr("end0 = 1 and end1 = 0").cast("int")
+    settles = F.col("end0") == F.col("end1")
+    counted = counted.withColumns({
+        "flips_upto": F.sum(flips).over(upto), "flips_before": F.coalesce(F.sum(flips).over(before), F.lit(0))})
+    counted = counted.withColumn("settled", F.last(
+        F.when(settles, F.struct("end0", "flips_upto")), ignorenulls=True).over(before))
+    counted = counted.withColumn("inside", (
+        (F.coalesce("settled.end0", F.lit(0)) + F.col("flips_before")
+         - F.coalesce("settled.flips_upto", F.lit(0))) % 2 == 1))
+    starts_record = ~F.col("inside") | ~F.col("whole")
+    counted = counted.withColumns({
+        "first": F.coalesce(F.sum(F.when(F.col("inside"), F.col("n1")).otherwise(F.col("n0"))).over(before), F.lit(0)),
+        "owner": F.coalesce(F.sum(starts_record.cast("int")).over(before), F.lit(0)),
+        "too_long": F.when(F.col("inside"), F.col("long1")).otherwise(F.col("long0"))})
+    # The pieces that start inside the record of a piece come with the next owner number.
+    following = Window.partitionBy("path").orderBy("owner").rangeBetween(1, 1)
+    leads = F.collect_list(F.when(F.col("inside"), F.struct("block", "piece", "lead"))).over(following)
+    rest = F.array_join(F.transform(F.array_sort(leads), lambda x: x.lead), "")
+    return counted.select(
+        "path", "block", "piece", "latin", *_DIALECT, "inside", "first", "too_long", rest.alias("rest"))
+
+
+def _parse(skip_blank):
+    def parse(batches):
+        csv.field_size_limit(_CELL_LIMIT)
+
+        def rows():
+            names = ("path", "block", "piece", "data", "latin", "inside", "first", "too_long", "rest", *_DIALECT)
+            for batch in batches:
+                for values in zip(*(batch.column(c) for c in names)):
+                    path, block, piece, data, latin, inside, number, too_long, rest, *dialect = (
+                        x.as_py() for x in values)
+                    if too_long:
+                        raise ValueError(f"{path}: a cell of more than {_CELL_LIMIT} characters")
+                    records = _records(_text(path, block, piece, data, latin) + rest, inside, *dialect)
+                    if inside:
+                        next(records, None)
+                    for cells, _, lines, still_open in records:
+                        if _counts(cells, lines, still_open, skip_blank):
+                            yield path, number, cells
+                            number += 1
+        yield from _batches(rows(), _ARROW)
+    return parse
+
+
+def read_ragged(spark, path, skip_blank=True, suffixes=None, year=None):
+    """Raw rows of all files below ``path``, a folder, a file or a list of them. Row numbers
+    count records with text (or, with ``skip_blank=False``, all records) from 0, the header's.
+
+    ``suffixes`` (such as ``[".csv"]``) and ``year`` (a folder of that name) choose files
+    before any is opened. A quoted cell may hold line breaks; one of more than 131,072
+    characters, as an unclosed quote makes it, and a file that is not text fail the job. A
+    quoted cell that is open at the end of its file ends with a line break."""
+    reader = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n")
+    if suffixes:
+        reader = reader.option("pathGlobFilter", "*{" + ",".join(suffixes) + "}")
+    lines = reader.text(path)
+    if year is not None:
+        lines = lines.filter(F.col("_metadata.file_path").contains(f"/{year}/"))
+    lines = lines.select(
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.col("_metadata.file_size").alias("size"),
-        F.col("value").cast("binary").alias("line"))
-    lines = lines.filter(F.col("size") > larger_than).drop("size")
-    if skip_blank:
-        lines = lines.filter(F.length(F.btrim(F.col("line"), F.lit(b" \t\r"))) > 0)
-    numbered = _number_lines(lines)
-    in_head = (F.col("block") == 0) & (F.col("n") < _HEAD_LINES)
-    blocks = numbered.groupBy("path", "block").agg(
-        F.count("*").alias("rows"),
-        F.bool_or(~F.is_valid_utf8(F.col("line").cast("string"))).alias("latin"),
-        F.collect_list(F.when(in_head, F.struct("n", "line"))).alias("head"))
-    # One entry per block of a file, not per line.
-    files = blocks.groupBy("path").agg(
-        F.bool_or("latin").alias("latin"),
-        F.array_sort(F.collect_list(F.struct("block", "rows"))).alias("b"),
-        F.flatten(F.collect_list("head")).alias("head"))
+        F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
+    pieces = lines.mapInArrow(_pack, "path string, block bigint, piece bigint, data binary")
+    described = lines.mapInArrow(_describe, "path string, block bigint, latin boolean, head binary")
+    # One entry per block of a file; heads come from its first 32 KB only.
+    heads = F.collect_list(F.when(F.col("head").isNotNull(), F.struct("block", "head")))
+    files = described.groupBy("path").agg(
+        F.bool_or("latin").alias("latin"), F.array_sort(heads).alias("head"),
+        F.collect_set("block").alias("blocks"))
     files = files.mapInArrow(
-        _add_dialect,
-        f"path string, latin boolean, {_BLOCKS}, delimiter string, quotechar string, "
-        "skipinitialspace boolean")
-    earlier = F.aggregate(
-        F.slice("b", F.lit(1), F.col("i")), F.lit(0).cast("bigint"), lambda acc, x: acc + x.rows)
-    shifts = files.select("*", F.posexplode("b").alias("i", "x")).select(
-        "path", F.col("x.block").alias("block"), earlier.alias("shift"), "latin", "delimiter",
-        "quotechar", "skipinitialspace")
-    return (
-        numbered.join(shifts, ["path", "block"])
-        .withColumn("row_idx", F.col("n") + F.col("shift")).drop("block", "n", "shift")
-        .mapInArrow(_parse_lines, RAW_SCHEMA))
-
-
-def read_ragged(spark, path, skip_blank=True, whole_limit=WHOLE_LIMIT):
-    """Raw rows of all files below ``path``. Row numbers count records with text (or,
-    with ``skip_blank=False``, all records) from 0, the header's."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    whole = parse_files(files.filter(F.col("length") <= whole_limit), skip_blank)
-    has_large = files.select("path", "length").filter(F.col("length") > whole_limit).limit(1).count()
-    if not has_large:
-        return whole
-    return whole.unionByName(parse_lines(spark, path, skip_blank, whole_limit))
+        _add_dialect, "path string, latin boolean, blocks array<bigint>, delimiter string, "
+        "quotechar string, skipspace boolean")
+    blocks = files.select("path", F.explode("blocks").alias("block"), "latin", *_DIALECT)
+    counted = pieces.join(blocks, ["path", "block"]).mapInArrow(_count(skip_blank), _COUNTED_DDL)
+    starts = _starts(counted)
+    return pieces.join(starts, ["path", "block", "piece"]).mapInArrow(_parse(skip_blank), RAW_SCHEMA)
 
 
 def land(spark, raw):

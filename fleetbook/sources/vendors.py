@@ -10,7 +10,7 @@ from ..functions.text import drop_trailing_dots, product_type, strip
 from ..operators.filters import required, valid_eco
 from ..vocabulary import CONCEPT_BY_SYSTEM
 from .headers import (
-    cell, find_contains, find_equal, first_row_headers, fixed_headers, marker_headers,
+    cell, find_contains, find_either, find_equal, first_row_headers, fixed_headers, marker_headers,
     rows_below,
 )
 
@@ -66,9 +66,23 @@ def clean_pase(raw, empresa=None):
         file_name.alias("Archivo_Origen"))
 
 
+def _pase_consolidated_positions(headers):
+    """The consolidation names its columns more strictly than the ingest: a billing date or
+    a base amount left of the real ones is not taken for them."""
+    header = F.col("header")
+    return headers.withColumns({
+        "p_eco": find_either(header, ["economico"]),
+        "p_fecha": find_either(header, ["fechadecruce"], ["fecha"]),
+        "p_importe": find_either(header, ["importeal100"], ["importe"]),
+        "p_tarjeta": F.coalesce(
+            find_either(header, ["tarjetaidmx"]), find_either(header, ["tarjeta"], ["tag"])),
+    })
+
+
 def pase_consolidated(raw):
-    """Toll rows as kept in the consolidated export: unit, date, amount, card, file."""
-    rows = rows_below(raw, _pase_positions(first_row_headers(raw)))
+    """Toll rows as kept in the consolidated export: unit, date, amount, card, file. Columns
+    that a file does not name are null."""
+    rows = rows_below(raw, _pase_consolidated_positions(first_row_headers(raw)))
     return rows.select(
         strip(cell(F.col("p_eco"), "")).alias("ECO"),
         parse_date_ladder(cell(F.col("p_fecha"))).alias("Fecha"),

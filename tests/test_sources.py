@@ -1,6 +1,10 @@
 """Readers on hand-made files."""
 
+import contextlib
+import csv
 import datetime as dt
+import io
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,37 +30,77 @@ TOLL = ("No. económico;Fecha de cruce;Importe al 100;Nota;Nota\n"
 
 
 @pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "latin-1"])
-@pytest.mark.parametrize("reader", [ragged.read_ragged, ragged.parse_lines])
-def test_no_cell_is_lost(spark, tmp_path, encoding, reader):
+def test_no_cell_is_lost(spark, tmp_path, encoding):
     put(tmp_path, "a.csv", TOLL, encoding)
-    assert cells(reader(spark, str(tmp_path))) == [
+    assert cells(ragged.read_ragged(spark, str(tmp_path))) == [
         (0, ["No. económico", "Fecha de cruce", "Importe al 100", "Nota", "Nota"]),
         (1, ["AU-1", "2025/03/05", "$1,234.50", "a;b"]),
         (2, ["CA 2", "06/03/2025", "-7", "x", "y", " "]),
         (3, ["AU3", "2025-03-07", "1", "", "", "extra", ""])]
 
 
-def test_line_numbers_continue_over_blocks(spark, tmp_path):
-    text = "a,b\n" + "".join(f"{i},é{i}\n" for i in range(3000))
-    put(tmp_path, "big.csv", text)
-    put(tmp_path, "other.csv", "c|d\n1|2\n")
+@contextlib.contextmanager
+def splits_of(spark, size):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
     try:
-        by_line = cells(ragged.parse_lines(spark, str(tmp_path)))
-        assert ragged.parse_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 1
+        yield
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert by_line == cells(ragged.read_ragged(spark, str(tmp_path)))
-    mixed = ragged.read_ragged(spark, str(tmp_path), whole_limit=100)
-    assert cells(mixed) == by_line
 
 
-def test_quoted_line_break_is_kept_or_refused(spark, tmp_path):
-    put(tmp_path, "a.csv", 'a;b\n"x\ny";2\n')
-    assert cells(ragged.read_ragged(spark, str(tmp_path)))[1] == (1, ["x\ny", "2"])
-    with pytest.raises(Exception, match="unexpected end of data"):
-        ragged.parse_lines(spark, str(tmp_path)).collect()
+def test_line_numbers_continue_over_blocks(spark, tmp_path):
+    text = "a,b\n" + "".join(f"{i},é{i}\n" for i in range(3000))
+    put(tmp_path, "big.csv", text)
+    put(tmp_path, "other.csv", "c|d\n1|2\n")
+    with splits_of(spark, 4096):
+        split = cells(ragged.read_ragged(spark, str(tmp_path)))
+    assert split == cells(ragged.read_ragged(spark, str(tmp_path)))
+    assert [c for _, c in split][:3001] == [["a", "b"], *[[str(i), f"é{i}"] for i in range(3000)]]
+
+
+#: Lines of tabs, stray quotes, quoted delimiters and line breaks, blank lines.
+ODD = ['AU-1;2;x', '\t\t', 'AU-2;"a "b" c";11', '"x\ny";2;"z;1"', '', 'e"f;"g ""h"" i";3', '"p\r\nq\n\n r";;\t',
+       '   ', '""', '"";"";5', 'k;"l\n\nm"', '"\n"', 'é;ñ;"ü"']
+
+
+@pytest.mark.parametrize("skip_blank", [True, False])
+@pytest.mark.parametrize("encoding", ["utf-8", "latin-1"])
+def test_rows_do_not_depend_on_splits(spark, tmp_path, encoding, skip_blank):
+    rng = random.Random(7)
+    body = ["a;b;c"] + [rng.choice(ODD) for _ in range(400)]
+    text = "\n".join(body) + "\n"
+    put(tmp_path, "odd.csv", text, encoding)
+    put(tmp_path, "cr.csv", "a;b;c\r\n" + "\r\n".join(rng.choice(ODD[:4]) for _ in range(60)), encoding)
+    expected = []
+    for name in ("cr.csv", "odd.csv"):
+        data = (tmp_path / name).read_bytes().decode(encoding)
+        rows = csv.reader(io.StringIO(data, newline=""), delimiter=";", quotechar='"')
+        kept = [r for r in rows if not skip_blank or r == ["\n"] or len(r) > 1 or (r and r[0].strip())]
+        expected += list(enumerate(kept))
+    for size in (64, 333, 1500, 1 << 27):
+        with splits_of(spark, size):
+            assert cells(ragged.read_ragged(spark, str(tmp_path), skip_blank)) == expected, size
+
+
+def test_unclosed_quotes_and_binary_files_fail(spark, tmp_path):
+    put(tmp_path / "u", "a.csv", 'a;b\n1;"x\n' + "y;z\n" * 60000)
+    for size in (5000, 1 << 27):
+        with splits_of(spark, size), pytest.raises(Exception, match="131072"):
+            ragged.read_ragged(spark, str(tmp_path / "u")).collect()
+    put(tmp_path / "b", "a.xls", "a\0b")
+    with pytest.raises(Exception, match="not a text file"):
+        ragged.read_ragged(spark, str(tmp_path / "b")).collect()
+
+
+def test_files_are_chosen_before_they_are_read(spark, tmp_path):
+    kept = put(tmp_path, "2025/a.csv", "a;b\n1;2\n")
+    put(tmp_path, "2025/a.xlsx", "a\0b")
+    put(tmp_path, "2024/a.csv", "a\0b")
+    raw = ragged.read_ragged(spark, str(tmp_path), suffixes=[".csv", ".txt"], year=2025)
+    assert cells(raw) == [(0, ["a", "b"]), (1, ["1", "2"])]
+    assert all(r.path.endswith(kept) for r in raw.collect())
+    assert cells(ragged.read_ragged(spark, [kept])) == cells(raw)
 
 
 def test_header_names(spark, tmp_path):
@@ -102,6 +146,32 @@ def test_card_export_with_preamble(spark, tmp_path):
     assert raw_rows.count() == 1 and clean.first().Importe == 200.5
 
 
+def test_fuel_exports_that_are_html(spark, tmp_path):
+    page = ("<table><tr><td>Reporte</td></tr><tr><th>PLACAS</th><th>FECHA</th><th>PRODUCTO</th><th>CANTIDAD</th>"
+            "<th>IMPORTE</th></tr><tr><td>AU-1</td><td>2025/03/05 01:02:03</td><td>Diésel</td><td>2</td><td>9.5</td>"
+            "</tr></table><table><tr><td>pie</td></tr></table>")
+    put(tmp_path, "Supramax/2025/03/a.xls", page, "latin-1")
+    put(tmp_path, "Supramax/2025/03/b.xls", page, "utf-8")
+    put(tmp_path, "Supramax/2025/03/c.csv", "a;b\n")
+    put(tmp_path, "Supramax/2024/03/d.xls", "")
+    raw = html.read_html_files(spark, str(tmp_path), [".xls"], 2025)
+    rows = vendors.clean_supramax(vendors.supramax_rows(headers.with_header(raw, headers.marker_headers, "PLACAS")))
+    assert [(r.ECO, r.Tipo, r.Cantidad, r.Importe) for r in rows.collect()] == [("AU-1", "DIÉSEL", 2.0, "9.5")] * 2
+    put(tmp_path, "Supramax/2025/03/e.xls", "<table><tr><td>sin datos</td></tr></table>")
+    raw = html.read_html_files(spark, str(tmp_path), [".xls"], 2025)
+    with pytest.raises(Exception, match="no header row in .*e.xls"):
+        headers.with_header(raw, headers.marker_headers, "PLACAS").collect()
+
+
+def test_consolidation_has_its_own_ladder(spark, tmp_path):
+    put(tmp_path, "Pase/ACME/2025/03/a.csv", "Fecha de facturación;Importe base;Fecha;Importe;No. Económico;Tag\n"
+        "2025/01/01;5;2025/03/02;-7.5;AU-1;T1.\n")
+    put(tmp_path, "Pase/ACME/2025/03/b.csv", "Fecha;Monto;Eco\n2025/03/02;5;AU-2\n")
+    rows = vendors.pase_consolidated(ragged.read_ragged(spark, str(tmp_path)))
+    found = {r.Archivo_Origen: (r.ECO, r.Fecha and r.Fecha.day, r.Importe, r["Tarjeta IDMX"]) for r in rows.collect()}
+    assert found == {"a.csv": ("AU-1", 2, 7.5, "T1"), "b.csv": (None, 2, None, None)}
+
+
 def test_html_tables(spark):
     page = ("<table><tr><th> A</th><th>B</th></tr><tr><td>1<td><b>2</b> &amp; 3</tr>"
             "<tr><td><table><tr><td>in</td></tr></table>x</td></tr></table><table><tr><td>z</td></tr></table>")
