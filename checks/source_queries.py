@@ -4,7 +4,7 @@ are spelled out from the tables; where files are needed Spark writes them first.
 from pyspark.sql import functions as F
 
 from fleetbook.functions.amounts import sum_cents
-from fleetbook.plans import tags, unify
+from fleetbook.plans import consolidate, tags, unify
 from fleetbook.session import scratch_dir
 from fleetbook.sources import archive, headers, html, maps, ragged, vendors
 
@@ -348,6 +348,29 @@ def _(spark, sf):
                        F.coalesce("Tarjeta IDMX", F.lit("")).alias("tarjeta"), "Archivo_Origen")
 
 
+@query("job_consolidate", f"""
+SELECT DISTINCT trim(ECO) AS ECO, Fecha, Importe FROM ({_TOLL_SQL}) WHERE Fecha IS NOT NULL AND Importe IS NOT NULL""")
+def _(spark, sf):
+    """Toll files in two deliveries, consolidated after each and once more without news."""
+    import datetime as dt
+
+    raw, place, old = v.ledger_raw(spark, sf), scratch_dir(spark, "deliveries"), scratch_dir(spark, "consolidated")
+    line = F.concat_ws(";", "eco_raw", "fecha_raw", "importe_raw", F.lit("T1."))
+    store = spark.createDataFrame([], "ECO string, Fecha timestamp, Importe double")
+    registry = spark.createDataFrame(
+        [], "path string, length bigint, modificationTime timestamp, processed_at timestamp")
+    for run in range(3):
+        if run < 2:
+            _write_lines(raw.filter(F.col("l_partkey") % 2 == run).select(line.alias("line"), "Sistema"),
+                         _PASE_HEADER, f"{place}/entrega={run}", "Sistema")
+        rows, seen = consolidate.consolidate(
+            spark, "Pase", place, store, registry, dt.datetime(2000, 1, 1 + run))
+        rows.write.parquet(f"{old}/rows{run}")
+        seen.write.parquet(f"{old}/files{run}")
+        store, registry = spark.read.parquet(f"{old}/rows{run}"), spark.read.parquet(f"{old}/files{run}")
+    return store.select("ECO", F.to_date("Fecha").alias("Fecha"), "Importe").distinct()
+
+
 @query("job_recover_year", f"""
 SELECT {LEDGER} FROM merge_target UNION ALL
 SELECT ECO, Fecha, 'PEAJES', NULL, NULL, Importe, 'Pase', 'EMP X', Id, file FROM (
@@ -535,3 +558,17 @@ def _(spark, sf):
     odd = archive.manifest(files.filter(key % 2 == 1), "Pase", v.AS_OF, period=(1998, 6))
     number = F.regexp_extract("path", r"p(\d+)\.csv$", 1).cast("bigint")
     return even.union(odd).select(number.alias("page_id"), "archive")
+
+
+@query("sink_archive_period", f"""
+SELECT DISTINCT ON (s) s AS supplier, year(Fecha) AS anio, month(Fecha) AS mes FROM (
+  SELECT l_suppkey AS s, Fecha, count(*) AS n FROM ({_TOLL_SQL}) WHERE Fecha IS NOT NULL GROUP BY ALL)
+ORDER BY s, n DESC, Fecha""")
+def _(spark, sf):
+    """Archive paths of toll exports from the dominant month of their content."""
+    raw = _toll_raw(spark, sf)
+    files = raw.filter("row_idx = 0").select("path", F.col("path").cast("binary").alias("content"))
+    listed = archive.manifest(files, "Pase", v.AS_OF, period=archive.content_period(raw, "Pase"))
+    year, month = (F.regexp_extract("archive", r"^Pase/(?:.*/)?(\d{4})/(\d{2})/", i).cast("bigint") for i in (1, 2))
+    return listed.select(F.regexp_extract("path", r"g1A(\d+)\.7", 1).cast("bigint").alias("supplier"),
+                         year.alias("anio"), month.alias("mes"))

@@ -2,7 +2,33 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.dates import parse_date_ladder, parse_dayfirst, parse_ts_fixed
 from ..functions.keys import archive_path, base_name
+from ..operators.aggregates import dominant_month
+from .headers import cell, find_contains, fixed_headers, marker_headers, rows_below
+
+
+def read_files(spark, path, glob=None):
+    """(path, content) of the files below a folder, paths as the raw readers give them."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(path).select(F.col("_metadata.file_path").alias("path"), "content")
+
+
+def content_period(raw, system):
+    """(path, Anio, Mes) of raw files: the month of the most frequent moment in their date
+    column. Files without such a column or without a readable date are left out."""
+    if system == "Pase":
+        headers, parse = fixed_headers(raw, 0), parse_date_ladder
+    elif system == "Supramax":
+        headers, parse = marker_headers(raw, "PLACAS"), parse_ts_fixed
+    else:
+        headers, parse = marker_headers(raw, "Fecha Transacción"), parse_dayfirst
+    positions = headers.select(
+        "path", "header_row", find_contains(F.col("header"), "fechadecruce", "fecha").alias("p_fecha"))
+    dates = rows_below(raw, positions).select("path", parse(cell(F.col("p_fecha"))).alias("Fecha"))
+    return dominant_month(dates, "Fecha", file="path")
 
 
 def manifest(files, system, as_of, company=None, period=None):

@@ -11,9 +11,10 @@ from fleetbook.operators import merge
 from fleetbook.operators.aggregates import dominant_month
 from fleetbook.operators.dedup import dedup_batch
 from fleetbook.operators.storage import LedgerTable
-from fleetbook.plans import ingest
+from fleetbook.plans import consolidate, ingest
 from fleetbook.plans.dashboard import join_master
 from fleetbook.plans.trips import trips_table
+from fleetbook.sources import archive, ragged
 from fleetbook.sources.vendors import edenred_rows
 from fleetbook.vocabulary import LEDGER_SCHEMA
 
@@ -103,3 +104,36 @@ def test_cluster_without_shared_folder_stops():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.scratch_dir(Fake, "x")
+
+
+def test_only_changed_files_are_consolidated(spark, tmp_path):
+    folder = tmp_path / "in" / "2025 [a]"
+    folder.mkdir(parents=True)
+    head = "No. economico;Fecha;Importe;Tag\n"
+    (folder / "a.csv").write_text(head + "AU-1;2025/03/05;1;T\n")
+    (folder / "b.csv").write_text(head + "AU-2;2025/03/05;2;T\n")
+    stored = spark.createDataFrame([], "ECO string")
+    registry = spark.createDataFrame([], "path string, length bigint, modificationTime timestamp, processed_at timestamp")
+
+    def run(n):
+        rows, seen = consolidate.consolidate(spark, "Pase", str(tmp_path / "in"), stored, registry, dt.datetime(2025, 1, n))
+        rows.write.parquet(str(tmp_path / f"rows{n}"))
+        seen.write.parquet(str(tmp_path / f"seen{n}"))
+        return spark.read.parquet(str(tmp_path / f"rows{n}")), spark.read.parquet(str(tmp_path / f"seen{n}"))
+
+    stored, registry = run(1)
+    assert sorted(r.ECO for r in stored.collect()) == ["AU-1", "AU-2"]
+    (folder / "a.csv").write_text(head + "AU-1;2025/03/05;1;T\nAU-3;2025/03/06;3;T\n")
+    stored, registry = run(2)
+    assert sorted(r.ECO for r in stored.collect()) == ["AU-1", "AU-2", "AU-3"]
+    assert sorted(r.processed_at.day for r in registry.collect()) == [1, 2]
+    again = consolidate.consolidate(spark, "Pase", str(tmp_path / "in"), stored, registry, dt.datetime(2025, 1, 3))
+    assert again == (stored, registry)
+
+
+def test_archive_path_from_content(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Fecha;Fecha de cruce\n2024/01/01;2025/03/05\n2024/01/01;2025/03/05\n2024/01/01;2025/04/01\n")
+    (tmp_path / "b.csv").write_text("x;y\n1;2\n")
+    period = archive.content_period(ragged.read_ragged(spark, str(tmp_path)), "Pase")
+    found = archive.manifest(archive.read_files(spark, str(tmp_path), "*.csv"), "Pase", dt.date(2023, 7, 1), period=period)
+    assert sorted(r.archive.split("/pase_")[0] for r in found.collect()) == ["Pase/2023/07", "Pase/2025/03"]
