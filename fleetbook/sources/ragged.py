@@ -14,6 +14,7 @@ import csv
 import io
 import itertools
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -48,22 +49,28 @@ def _batches(rows, schema):
         yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _runs(batch):
+    """(path, block, lines with their ends) of each run of lines of one block."""
+    path, block = batch.column("path").dictionary_encode(), batch.column("block").to_numpy()
+    index, lines = path.indices.to_numpy(), batch.column("line").to_pylist()
+    edges = np.flatnonzero((np.diff(index) != 0) | (np.diff(block) != 0)) + 1
+    for lo, hi in itertools.pairwise([0, *edges.tolist(), len(lines)]):
+        if hi > lo:
+            yield path.dictionary[index[lo]].as_py(), int(block[lo]), b"\n".join(lines[lo:hi]) + b"\n"
+
+
 def _pieces(batches):
-    """(path, block, piece, bytes): consecutive lines of one block of the scan, with their
-    ends. A block's lines come in order and in one task."""
+    """(path, block, piece, bytes): consecutive lines of one block of the scan, about 1 MB
+    each. A block's lines come in order and in one task."""
     key, piece, held, size = None, 0, [], 0
-    for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("path", "block", "line"))
-        for path, block, line in zip(*columns):
-            if (path, block) != key:
-                if held:
-                    yield *key, piece, b"".join(held)
-                key, piece, held, size = (path, block), 0, [], 0
-            held += (line, b"\n")
-            size += len(line) + 1
-            if size >= _PIECE:
+    for path, block, data in itertools.chain.from_iterable(map(_runs, batches)):
+        if key != (path, block) or size >= _PIECE:
+            if held:
                 yield *key, piece, b"".join(held)
-                piece, held, size = piece + 1, [], 0
+            piece = piece + 1 if key == (path, block) else 0
+            key, held, size = (path, block), [], 0
+        held.append(data)
+        size += len(data)
     if held:
         yield *key, piece, b"".join(held)
 
@@ -86,17 +93,20 @@ def _is_utf8(data):
 
 
 _DESCRIBED = pa.schema([
-    ("path", pa.string()), ("block", pa.int64()), ("latin", pa.bool_()), ("head", pa.binary())])
+    ("path", pa.string()), ("block", pa.int64()), ("piece", pa.int64()), ("latin", pa.bool_()),
+    ("head", pa.binary())])
 
 
 def _describe(batches):
     """Per piece whether it is UTF-8, and its first bytes where they may be the file's."""
     def rows():
-        for path, block, piece, data in _pieces(batches):
-            if b"\0" in data:
-                raise ValueError(f"{path}: not a text file")
-            first = piece == 0 and block < _HEAD_BYTES
-            yield path, block, not _is_utf8(data), data[:_HEAD_BYTES] if first else None
+        for batch in batches:
+            for values in zip(*(batch.column(c) for c in _PACKED.names)):
+                path, block, piece, data = (x.as_py() for x in values)
+                if b"\0" in data:
+                    raise ValueError(f"{path}: not a text file")
+                first = piece == 0 and block < _HEAD_BYTES
+                yield path, block, piece, not _is_utf8(data), data[:_HEAD_BYTES] if first else None
     yield from _batches(rows(), _DESCRIBED)
 
 
@@ -284,20 +294,23 @@ def read_ragged(spark, path, skip_blank=True, suffixes=None, year=None):
     lines = lines.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
-    pieces = lines.mapInArrow(_pack, "path string, block bigint, piece bigint, data binary")
-    described = lines.mapInArrow(_describe, "path string, block bigint, latin boolean, head binary")
-    # One entry per block of a file; heads come from its first 32 KB only.
+    keys = ["path", "block", "piece"]
+    # One shuffle of the bytes in even pieces, which all three passes read again.
+    pieces = lines.mapInArrow(_pack, "path string, block bigint, piece bigint, data binary").repartition(*keys)
+    described = pieces.mapInArrow(_describe, "path string, block bigint, piece bigint, latin boolean, head binary")
+    # Heads come from the first 32 KB of a file only; of every piece its two numbers.
     heads = F.collect_list(F.when(F.col("head").isNotNull(), F.struct("block", "head")))
     files = described.groupBy("path").agg(
         F.bool_or("latin").alias("latin"), F.array_sort(heads).alias("head"),
-        F.collect_set("block").alias("blocks"))
+        F.collect_list(F.struct("block", "piece")).alias("pieces"))
     files = files.mapInArrow(
-        _add_dialect, "path string, latin boolean, blocks array<bigint>, delimiter string, "
-        "quotechar string, skipspace boolean")
-    blocks = files.select("path", F.explode("blocks").alias("block"), "latin", *_DIALECT)
-    counted = pieces.join(blocks, ["path", "block"]).mapInArrow(_count(skip_blank), _COUNTED_DDL)
+        _add_dialect, "path string, latin boolean, pieces array<struct<block: bigint, piece: bigint>>, "
+        "delimiter string, quotechar string, skipspace boolean")
+    dialects = files.select("path", F.explode("pieces").alias("at"), "latin", *_DIALECT).select(
+        "path", "at.block", "at.piece", "latin", *_DIALECT)
+    counted = pieces.join(dialects, keys).mapInArrow(_count(skip_blank), _COUNTED_DDL)
     starts = _starts(counted)
-    return pieces.join(starts, ["path", "block", "piece"]).mapInArrow(_parse(skip_blank), RAW_SCHEMA)
+    return pieces.join(starts, keys).mapInArrow(_parse(skip_blank), RAW_SCHEMA)
 
 
 def land(spark, raw):
