@@ -1,23 +1,24 @@
 """Benchmark decontamination by latent semantic retrieval and a check of word order.
 
 1. Document frequencies of hashed words over all documents give idf weights.
-2. The benchmark's items are cut into passages of at most ``PASSAGE`` words. A randomised
-   SVD of their TF-IDF matrix gives the latent space: passages are multiplied by a random
-   matrix where they lie, the products (a row per hashed word that occurs, so at most
-   ``PLACES``) are summed over the tasks, and only these bounded sums reach the driver,
-   which makes them orthogonal. A power iteration sharpens the space.
+2. The benchmark's items are cut into passages of at most ``PASSAGE`` words, and these are
+   dealt into groups of about ``GROUP``. The leading ``RANK`` right singular vectors of a
+   group's TF-IDF matrix are its latent space, or so many more that each passage keeps at
+   least ``OWN`` of its length. A group is fitted in one task. So what a space keeps of a
+   passage does not fall as the benchmark grows.
 3. Every document is cut into overlapping windows of several lengths. Windows and passages
-   meet in the latent space, in blocks; a cosine of ``COSINE`` or more makes a candidate.
-   A window's length counts all its words, also those outside the space.
-   Windows with too few words of the benchmark cannot hold a passage and are passed over.
+   meet in the latent space of the passage's group. A window's length counts all its words,
+   also those outside the space, so an exact copy has the cosine that the passage has with
+   itself; ``COSINE`` of that or more makes a candidate. Windows with too few words of the
+   group cannot hold a passage and are passed over.
 4. A candidate is confirmed on the text: the longest common subsequence of the words of the
    passage and of the window with its surroundings must hold ``SURE`` of the passage, or
    ``LIKELY`` of it and ``ANSWER`` of its answer. The answer is the passage's rarest words,
    or the benchmark's ``answer`` column where it has one. An item counts as found in a
    document where any of its passages is.
 
-Documents are never shuffled. Benchmarks of more than ``BLOCK`` passages are searched in
-blocks, each small enough to be sent to the tasks.
+Documents are never shuffled. A scan of them searches ``GROUPS`` groups, whose tables are
+small enough to be sent to the tasks (a few MB each); larger benchmarks take more scans.
 
 Words are runs of letters and digits, A-Z lower-cased. Defined cases: null and empty texts
 and items have no words and match nothing; items below ``LEAST`` words are too short to
@@ -25,6 +26,8 @@ tell and are left out; rows without item_id are left out; documents without doc_
 reported with null; repeated rows are reported once; empty tables give no rows.
 """
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -34,14 +37,14 @@ from fleetbook.llm.quality import _KIND
 from fleetbook.llm.tables import stage, texts
 
 PLACES = 1 << 16                 # hashed words
-RANK, SPARE = 128, 16
+RANK, OWN = 128, 0.5             # dimensions of a latent space; more where a passage keeps less of its length
 PASSAGE, LEAST = 64, 8
 RUN = 8                          # windows start and end at multiples of so many words
 SIZES = (16, 32, 64)             # window lengths; steps are half of them
-COSINE = 0.33
+COSINE = 0.33                    # of the cosine of a passage with itself
 SHARE = 0.35                     # least share of a window's words that the benchmark has
 SURE, LIKELY, ANSWER, RAREST = 0.8, 0.6, 0.75, 5
-BLOCK = 20_000
+GROUP, GROUPS = 256, 8           # passages of a latent space, spaces of a scan
 
 _LETTERS = np.where(_KIND == 1, 1, 0).astype(np.uint8)
 _U = np.uint64
@@ -115,62 +118,39 @@ def _tfidf(hashes, weights):
     return places, values / np.linalg.norm(values)
 
 
-def _vectors(rows, width):
-    """An Arrow list column of the rows of a matrix."""
-    flat = np.concatenate(rows) if len(rows) else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * width), pa.array(flat))
-
-
-def latent_space(passages, weights, rank=RANK, power=1):
-    """(places, vectors): the hashed words that occur in the passages, ascending, and their
-    rows of the leading right singular vectors of the TF-IDF matrix."""
-    width = rank + SPARE
-
-    def occurring(batches):
-        found = np.zeros(PLACES, bool)
-        for batch in batches:
-            found[_places(batch["hashes"].flatten().to_numpy().view(_U))] = True
-        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(found))], ["place"])
-
-    def multiplied(basis):
-        """Rows of A'(A basis), summed over a task."""
-        def run(batches):
-            total = {}
-            for batch in batches:
-                for hashes in batch["hashes"].to_pylist():
-                    places, values = _tfidf(hashes, weights)
-                    at = np.searchsorted(vocabulary, places)
-                    y = values @ basis[at]
-                    for p, v in zip(at, values):
-                        total[p] = total.get(p, 0) + v * y
-            at = sorted(total)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), _vectors([total[p] for p in at], width)], ["place", "row"])
-        return run
-
-    def summed(key, frame):
+def latent_space(block, weights, rank=RANK):
+    """(places, table, coords, own) of a group of passages: the hashed words that occur,
+    ascending; their weighted rows of the leading right singular vectors of the TF-IDF
+    matrix; the passages' directions in that space; the share of their length that it keeps."""
+    rows = [_tfidf(hashes, weights) for _, _, hashes, _ in block]
+    vocabulary = np.unique(np.concatenate([places for places, _ in rows]))
+    matrix = np.zeros((len(rows), len(vocabulary)))
+    for k, (places, values) in enumerate(rows):
+        matrix[k, np.searchsorted(vocabulary, places)] = values
+    energy, left = np.linalg.eigh(matrix @ matrix.T)
+    lead = np.argsort(-energy)
+    lead = lead[energy[lead] > 1e-9 * energy.max()]
+    kept = np.sqrt(np.cumsum(energy[lead] * left[:, lead] ** 2, axis=1)).min(axis=0)
+    lead = lead[:max(rank, int(np.searchsorted(kept, OWN)) + 1)]
+    vectors = matrix.T @ (left[:, lead] / np.sqrt(energy[lead]))
+    coords = matrix @ vectors
+    own = np.linalg.norm(coords, axis=1)
+    return (vocabulary, (vectors * weights[vocabulary, None]).astype(np.float32),
+            (coords / np.maximum(own, 1e-9)[:, None]).astype(np.float32), own)
+
+
+def _spaces(passages, weights, groups):
+    """block and, pickled, the passages of each group with its latent space."""
+    def fit(frame):
         import pandas as pd
 
-        at, of = np.unique(frame["place"].to_numpy(), return_inverse=True)
-        total = np.zeros((len(at), width))
-        np.add.at(total, of, np.stack(frame["row"].to_numpy()))
-        return pd.DataFrame({"place": at, "row": list(total)})
-
-    rows = passages.select("hashes")
-    vocabulary = np.array(sorted(r[0] for r in rows.mapInArrow(occurring, "place long").distinct().collect()), np.int64)
-    image = np.random.default_rng(6).standard_normal((len(vocabulary), width))
-    for _ in range(power + 2):
-        # Orthonormal columns (fewer words than columns leave the rest zero).
-        basis = np.zeros((len(vocabulary), width))
-        q, _ = np.linalg.qr(image)
-        basis[:, :q.shape[1]] = q
-        parts = rows.mapInArrow(multiplied(basis), "place long, row array<double>")
-        image = np.zeros((len(vocabulary), width))
-        for row in parts.groupBy(F.col("place") % 64).applyInPandas(summed, "place long, row array<double>").collect():
-            image[row["place"]] = row["row"]
-    # The basis spans the leading right singular space; its directions by their energy.
-    values, vectors = np.linalg.eigh((basis.T @ image + image.T @ basis) / 2)
-    lead = np.argsort(-values)[:min(rank, len(vocabulary))]
-    return vocabulary, (basis @ vectors[:, lead]).astype(np.float32)
+        frame = frame.sort_values(["item_id", "passage"], kind="stable")
+        block = [(int(i), int(k), h.tolist(), a.tolist()) for i, k, h, a in zip(
+            frame["item_id"], frame["passage"], frame["hashes"], frame["answer"])]
+        return pd.DataFrame({"block": [int(frame["block"].iloc[0])], "space": [pickle.dumps((block, latent_space(block, weights)))]})
+
+    numbered = passages.withColumn("block", F.pmod(F.xxhash64("item_id", "passage", "hashes"), F.lit(groups)).cast("int"))
+    return stage(numbered.groupBy("block").applyInPandas(fit, "block int, space binary"), "spaces")
 
 
 def common_subsequence(a, b):
@@ -199,53 +179,56 @@ def _windows(n):
     return np.concatenate(out)
 
 
-def _search(block, space, weights):
-    """Function over document batches: the passages of ``block`` found in each."""
-    vocabulary, vectors = space
-    # Rows of the weighted table; words outside the space and padding get the zero row.
-    row_of = np.full(PLACES + 1, len(vocabulary), np.int32)
-    row_of[vocabulary] = np.arange(len(vocabulary))
-    known = row_of[:-1] < len(vocabulary)
-    table = np.append(vectors * weights[vocabulary, None].astype(np.float32), np.zeros((1, vectors.shape[1]), np.float32), axis=0)
-    coords = []
-    for _, _, hashes, _ in block:
-        places, values = _tfidf(hashes, weights)
-        z = values.astype(np.float32) @ vectors[row_of[places]]
-        coords.append(z / max(np.linalg.norm(z), 1e-9))
-    coords = np.array(coords, np.float32).reshape(len(block), -1)
-    answers = []
-    for _, _, hashes, answer in block:
-        rare = sorted(set(hashes), key=lambda h: (-weights[h & PLACES - 1], h))
-        answers.append(set(answer) or set(rare[:RAREST]))
-
-    def confirm(found, start, end, k):
+class _Group:
+    """A group of passages and its latent space, ready for windows."""
+
+    def __init__(self, block, space, weights):
+        vocabulary, vectors, self.coords, own = space
+        # Rows of the weighted table; words outside the space and padding get the zero row.
+        self.row_of = np.full(PLACES + 1, len(vocabulary), np.int32)
+        self.row_of[vocabulary] = np.arange(len(vocabulary))
+        self.known = self.row_of[:-1] < len(vocabulary)
+        self.table = np.append(vectors, np.zeros((1, vectors.shape[1]), np.float32), axis=0)
+        self.least = (COSINE * own).astype(np.float32)
+        self.block, self.answers = block, []
+        for _, _, hashes, answer in block:
+            rare = sorted(set(hashes), key=lambda h: (-weights[h & PLACES - 1], h))
+            self.answers.append(set(answer) or set(rare[:RAREST]))
+
+    def confirm(self, found, start, end, k):
         """Share of the passage in order around the window, if that is enough."""
-        _, _, hashes, _ = block[k]
+        _, _, hashes, _ = self.block[k]
         near = found[max(0, start - len(hashes)):end + len(hashes)].view(np.int64).tolist()
         share = common_subsequence(hashes, near) / len(hashes)
         here = set(near)
-        held = sum(h in here for h in answers[k]) / len(answers[k])
+        held = sum(h in here for h in self.answers[k]) / len(self.answers[k])
         return share if share >= SURE or (share >= LIKELY and held >= ANSWER) else None
 
+
+def _search(spaces, weights):
+    """Function over document batches: the passages of the groups found in each."""
+    groups = [_Group(*pickle.loads(space), weights) for space in spaces]
+
     def search(batches):
         for batch in batches:
             for part in words.slices(batch, "text", 1 << 20):
                 hashes, bounds = word_hashes(part["text"])
                 places = _places(hashes)
-                seen = np.concatenate([[0], np.cumsum(known[places])])
-                hits = {}
-                for i in np.flatnonzero(np.diff(bounds) >= LEAST):
-                    lo, hi = bounds[i], bounds[i + 1]
-                    if seen[hi] - seen[lo] >= SHARE * LEAST:
-                        one_text(hashes[lo:hi], places[lo:hi], seen[lo:hi + 1], i, hits)
-                ids = part["doc_id"].to_pylist()
-                out = [(ids[i], block[k][0], share, cosine) for (i, k), (share, cosine) in sorted(hits.items())]
+                ids, out = part["doc_id"].to_pylist(), []
+                for group in groups:
+                    seen = np.concatenate([[0], np.cumsum(group.known[places])])
+                    hits = {}
+                    for i in np.flatnonzero(np.diff(bounds) >= LEAST):
+                        lo, hi = bounds[i], bounds[i + 1]
+                        if seen[hi] - seen[lo] >= SHARE * LEAST:
+                            one_text(group, hashes[lo:hi], places[lo:hi], seen[lo:hi + 1], i, hits)
+                    out += [(ids[i], group.block[k][0], share, cosine) for (i, k), (share, cosine) in sorted(hits.items())]
                 columns = list(zip(*out)) or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))],
                     ["doc_id", "item_id", "share", "cosine"])
 
-    def one_text(hashes, places, seen, i, hits):
+    def one_text(group, hashes, places, seen, i, hits):
         n = len(hashes)
         spans = _windows(n)
         ends = np.minimum(spans[:, 1] * RUN, n)
@@ -256,19 +239,19 @@ def _search(block, space, weights):
             return
         # Sums over runs of eight words, a bounded number at a time; windows are sums of runs.
         padded = np.append(places, np.full(-n % RUN, PLACES)).reshape(-1, RUN)
-        sums = np.zeros((len(padded) + 1, table.shape[1]))
+        sums = np.zeros((len(padded) + 1, group.table.shape[1]))
         for at in range(0, len(padded), 1024):
-            sums[at + 1:at + 1025] = table[row_of[padded[at:at + 1024]]].sum(axis=1)
+            sums[at + 1:at + 1025] = group.table[group.row_of[padded[at:at + 1024]]].sum(axis=1)
         np.cumsum(sums, axis=0, out=sums)
         energy = np.concatenate([[0.0], np.cumsum(weights[places] ** 2)])
         for at in range(0, len(spans), 2048):
             part = slice(at, at + 2048)
             z = (sums[spans[part, 1]] - sums[spans[part, 0]]).astype(np.float32)
             z /= np.sqrt(np.maximum(energy[ends[part]] - energy[starts[part]], 1e-9))[:, None].astype(np.float32)
-            cosines = z @ coords.T
-            for w, k in zip(*np.nonzero(cosines >= COSINE)):
+            cosines = z @ group.coords.T
+            for w, k in zip(*np.nonzero(cosines >= group.least)):
                 if hits.get((i, k), (0, 0))[0] < 1:
-                    share = confirm(hashes, starts[at + w], ends[at + w], k)
+                    share = group.confirm(hashes, starts[at + w], ends[at + w], k)
                     if share is not None:
                         hits[i, k] = max(hits.get((i, k), (0, 0)), (share, float(cosines[w, k])))
 
@@ -286,12 +269,12 @@ def matches(docs, benchmark):
     if not count:
         return spark.createDataFrame([], schema)
     weights = idf(docs)
-    space = latent_space(passages, weights)
+    groups = -(-count // GROUP)
+    spaces = _spaces(passages, weights, groups)
     found = None
-    numbered = passages.withColumn("block", F.pmod(F.xxhash64("item_id", "passage"), F.lit(-(-count // BLOCK))))
-    for k in range(-(-count // BLOCK)):
-        block = [tuple(r) for r in numbered.filter(F.col("block") == k).orderBy("item_id", "passage").select("item_id", "passage", "hashes", "answer").collect()]
-        sent = spark.sparkContext.broadcast((block, space, weights))
+    for k in range(0, groups, GROUPS):
+        scan = [bytes(r["space"]) for r in spaces.filter(F.col("block").between(k, k + GROUPS - 1)).orderBy("block").select("space").collect()]
+        sent = spark.sparkContext.broadcast((scan, weights))
         hits = docs.mapInArrow(lambda batches, sent=sent: _search(*sent.value)(batches), schema)
         found = hits if found is None else found.union(hits)
     return found.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"), F.max("cosine").alias("cosine"))

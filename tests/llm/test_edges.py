@@ -128,6 +128,16 @@ def test_decontaminate(docs, benchmark):
     assert decontaminate.matches(docs, benchmark.limit(0)).count() == 0
 
 
+def test_decontaminate_finds_copies_of_a_large_benchmark(spark):
+    rng = np.random.default_rng(5)
+    items = [" ".join(f"w{x}" for x in rng.integers(0, 20_000, 40)) for _ in range(5000)]
+    rows = [(i, " ".join(f"f{x}" for x in rng.integers(0, 500, 60)) + " " + items[i * 25] + " and more") for i in range(200)]
+    rows += [(1000 + i, " ".join(f"w{x}" for x in rng.integers(0, 20_000, 80))) for i in range(50)]
+    large = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontaminate.matches(docs_of(spark, rows), large).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(i, i * 25) for i in range(200)]
+
+
 def test_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(200):
