@@ -15,9 +15,9 @@ def quality_stage(spark, docs, sf_dir):
 
 
 def near_duplicate_stage(spark, docs, sf_dir):
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies, at a similarity of 0.8 or more, stays."""
     prepare(spark)
-    return minhash.one_per_group(docs)
+    return minhash.one_per_group(docs, minhash.LOOSER)
 
 
 def decontamination_stage(spark, docs, sf_dir):

@@ -2,7 +2,7 @@
 
 Rules: A-Z is lower-cased; words are runs of anything but space and control characters 9
 to 13; a document's set holds its distinct runs of five words as 64-bit hashes. Documents
-link where ``100 * |intersection| >= 85 * |union|``.
+link where ``100 * |intersection| >= percent * |union|``: ``SCHEME`` has 85, ``LOOSER`` 80.
 
 One pass over the texts writes a small row per document: set size, a 128-bit fingerprint of
 the set, keys of the bands of full minima, and the low bits of all minima packed into longs.
@@ -32,26 +32,30 @@ def shingle_sets(column):
 
 #: A pair at 0.85 shares none of the 25 bands of 5 with probability 4e-7.
 SCHEME = linking.Scheme(sets=shingle_sets, percent=85, hashes=192, bands=25, rows=5, seed=85)
-
-
-def _sign(batches):
-    for batch in batches:
-        for part in words.slices(batch, "text", 1 << 21):
-            sets = shingle_sets(part["text"])
-            sizes = np.array([len(s) for s in sets], np.int64)
-            flat = np.concatenate(sets)
-            bands, sig = linking.sign(SCHEME, flat, sizes)
-            edges = np.concatenate([[0], np.cumsum(sizes)])
-            sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (flat, words.mix(flat ^ np.uint64(0xA5A5A5A5A5A5A5A5)))]
-            f1, f2 = (pa.array((s[edges[1:]] - s[edges[:-1]]).view(np.int64)) for s in sums)
-            yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], part["th"], pa.array(sizes), f1, f2, bands, sig],
-                ["doc_id", "th", "n_shingles", "f1", "f2", "bands", "sig"])
-
-
-def _grouped(docs):
+#: A pair at 0.8 shares none of the 38 bands of 5 with probability 3e-7.
+LOOSER = linking.Scheme(sets=shingle_sets, percent=80, hashes=192, bands=38, rows=5, seed=85)
+
+
+def _sign(scheme):
+    def run(batches):
+        for batch in batches:
+            for part in words.slices(batch, "text", 1 << 21):
+                sets = shingle_sets(part["text"])
+                sizes = np.array([len(s) for s in sets], np.int64)
+                flat = np.concatenate(sets)
+                bands, sig = linking.sign(scheme, flat, sizes)
+                edges = np.concatenate([[0], np.cumsum(sizes)])
+                sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (flat, words.mix(flat ^ np.uint64(0xA5A5A5A5A5A5A5A5)))]
+                f1, f2 = (pa.array((s[edges[1:]] - s[edges[:-1]]).view(np.int64)) for s in sums)
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], part["th"], pa.array(sizes), f1, f2, bands, sig],
+                    ["doc_id", "th", "n_shingles", "f1", "f2", "bands", "sig"])
+    return run
+
+
+def _grouped(docs, scheme):
     docs = texts(docs).withColumn("th", F.xxhash64("text"))
-    signed = stage(docs.mapInArrow(_sign, _SIGNED), "signed")
+    signed = stage(docs.mapInArrow(_sign(scheme), _SIGNED), "signed")
     known = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stage(
         known.groupBy("f1", "f2", "n_shingles").agg(
@@ -65,7 +69,7 @@ def _grouped(docs):
         return docs.join(wanted.hint("merge"), ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id"]).select(
             F.col("doc_id").alias("rep"), "text")
 
-    links, found = linking.link(SCHEME, classes, fetch)
+    links, found = linking.link(scheme, classes, fetch)
     degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count("*").alias("n_links"))
     of_class = (
         classes.select("f1", "f2", F.col("n").alias("n_shingles"), "rep", F.col("th").alias("rep_th"))
@@ -81,16 +85,16 @@ def _grouped(docs):
     return rows.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def near_duplicates(docs):
+def near_duplicates(docs, scheme=SCHEME):
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, n_links (the
     confirmed links of its class with other classes)."""
-    return _grouped(docs).select("doc_id", "n_shingles", "component_id", "kept", "n_links")
+    return _grouped(docs, scheme).select("doc_id", "n_shingles", "component_id", "kept", "n_links")
 
 
-def one_per_group(docs):
+def one_per_group(docs, scheme=SCHEME):
     """The rows of ``docs`` that stay: of each group the one with the smallest doc_id, and
     one of several rows with the same doc_id and text. Rows without a doc_id stay."""
     named = docs.filter("doc_id IS NOT NULL").withColumn("__th", F.xxhash64(F.col("text").cast("string")))
-    kept = _grouped(docs).filter("first AND doc_id IS NOT NULL").select("doc_id", F.col("th").alias("__th"))
+    kept = _grouped(docs, scheme).filter("first AND doc_id IS NOT NULL").select("doc_id", F.col("th").alias("__th"))
     first = named.dropDuplicates(["doc_id", "__th"]).join(kept, ["doc_id", "__th"], "left_semi")
     return first.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
