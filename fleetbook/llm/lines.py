@@ -7,8 +7,9 @@ doc_id, then by place; all others go. Lines of fewer than ``CHARS`` characters a
 
 One pass hashes and signs all lines of a batch at once. Lines are known by a 64-bit hash of
 their bytes: two different lines of a corpus of 100 million share one with probability
-3e-4. Lines that cannot be at 0.8 of another set (fewer than five shingles) get no bands.
-Texts are only fetched for lines that share a band.
+3e-4. A line that repeats itself has fewer distinct runs than characters, so different
+lines can have equal sets, of a single run too. Texts are only fetched for lines that share
+a band.
 
 Defined cases: null texts have no lines and stay as they are; rows that repeat doc_id and
 text are one row of the result; rows without doc_id come last among occurrences; very long
@@ -84,7 +85,7 @@ def line_sets(column):
 
 #: A pair at 0.8 shares none of the 8 bands of 3 with probability 0.003, at 0.9 3e-5.
 SCHEME = linking.Scheme(sets=line_sets, percent=80, hashes=32, bands=8, rows=3, seed=80)
-_SIGNED = "doc_id long, th long, place int, line long, n long, bands array<long>, sig array<long>"
+_SIGNED = "doc_id long, th long, place int, line long, n long, items long, bands array<long>, sig array<long>"
 _PLAIN = "doc_id long, th long, n_lines int, lines array<struct<place: int, line: long>>"
 
 
@@ -98,6 +99,18 @@ def _cut(part):
     return raw, starts, ends, row, place, words.hash_runs(raw, starts, ends, lower=False), before
 
 
+def _distinct(hashes, sizes):
+    """How many distinct hashes each of the sets has that lie one after the other."""
+    bits = int(max(1, len(sizes) - 1)).bit_length()
+    # One sort for all: the set's number above the leading bits of the hash.
+    key = np.repeat(np.arange(len(sizes), dtype=_U) << _U(64 - bits), sizes) | hashes >> _U(bits)
+    key.sort()
+    out, starts = sizes.copy(), np.cumsum(sizes) - sizes
+    for k in np.unique(key[1:][key[1:] == key[:-1]] >> _U(64 - bits)).astype(np.int64):
+        out[k] = len(np.unique(hashes[starts[k]:starts[k] + sizes[k]]))
+    return out
+
+
 def _sign(batches):
     for batch in batches:
         for part in words.slices(batch, "text", 1 << 20):
@@ -114,10 +127,11 @@ def _sign(batches):
             a, n = before[starts], before[ends] - before[starts] - CHARS + 1
             index = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
             bands, sig = linking.sign(SCHEME, hashes[index], n)
+            distinct = _distinct(hashes[index], n)
             yield pa.RecordBatch.from_arrays(
                 [part["doc_id"].take(pa.array(row)), part["th"].take(pa.array(row)), pa.array(place.astype(np.int32)),
-                 pa.array(line.view(np.int64)), pa.array(n.astype(np.int64)), bands, sig],
-                ["doc_id", "th", "place", "line", "n", "bands", "sig"])
+                 pa.array(line.view(np.int64)), pa.array(distinct.astype(np.int64)), pa.array(n.astype(np.int64)), bands, sig],
+                ["doc_id", "th", "place", "line", "n", "items", "bands", "sig"])
 
 
 def _number(batches):
@@ -154,7 +168,7 @@ def decisions(docs):
     where = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th", "place"))
     classes = stage(
         signed.groupBy(F.col("line").alias("rep")).agg(
-            where.alias("at"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "lines")
+            where.alias("at"), F.first("n").alias("n"), F.first("items").alias("items"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "lines")
 
     def fetch(reps):
         wanted = classes.join(reps, "rep", "left_semi").groupBy("at.doc_id", "at.th").agg(
@@ -164,7 +178,7 @@ def decisions(docs):
         return named.join(wanted.hint("merge"), ["doc_id", "th"]).select("text", "places", "names").mapInArrow(
             _extract, "rep long, text string")
 
-    _, found = linking.link(SCHEME, classes.filter("n >= 5").select("rep", "n", "bands", "sig"), fetch)
+    _, found = linking.link(SCHEME, classes.select("rep", "n", "items", "bands", "sig"), fetch)
     # The line that stays, for every class: the first occurrence in its component.
     first = (
         classes.select("rep", "at").join(found.withColumnRenamed("node", "rep"), "rep", "left")

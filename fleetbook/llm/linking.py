@@ -212,9 +212,11 @@ def link(scheme, classes, fetch):
     """(links, found) among distinct sets: links (a, b) that were confirmed, and (node,
     component) of all that have one.
 
-    ``classes`` has rep (long, unique), n, bands, sig; ``fetch`` gets a frame of the reps
-    whose texts are needed and returns (rep, text)."""
-    entries = classes.select("rep", "n", F.posexplode("bands").alias("band", "key"))
+    ``classes`` has rep (long, unique), n (the size of the set), bands, sig, and may have
+    items, which bounds tiles in place of n where texts hold more than their sets; ``fetch``
+    gets a frame of the reps whose texts are needed and returns (rep, text)."""
+    items = F.col("items" if "items" in classes.columns else "n").alias("items")
+    entries = classes.select("rep", "n", items, F.posexplode("bands").alias("band", "key"))
     # Small rows per bucket with several members: its size and the centre of its star.
     buckets = entries.groupBy("key").agg(
         F.count("*").alias("size"), F.min(F.struct(F.xxhash64("rep", "key").alias("h"), "rep", "n")).alias("c")
@@ -237,7 +239,7 @@ def link(scheme, classes, fetch):
         "component", F.coalesce("component", "rep"))
     open_ = labelled.groupBy("key").agg(
         F.min("component").alias("x"), F.max("component").alias("y"),
-        F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_ITEMS)).cast("int").alias("blocks")
+        F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("items") / TILE_ITEMS)).cast("int").alias("blocks")
     ).filter("x <> y").select("key", "blocks")
     members = (
         labelled.join(open_, "key").join(classes.select("rep", "sig", "bands"), "rep").join(have, "rep")

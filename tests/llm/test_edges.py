@@ -110,6 +110,28 @@ def test_lines(spark, docs):
     assert lines.deduplicate(more).columns == more.columns
 
 
+def test_lines_that_repeat_themselves(spark):
+    texts = ["-" * 20, "-" * 40, "Ating. " * 20, "Ating. " * 60, "abcdefghijk", "abcdefghijkl", "zyxwvutsrq", "zyxwvutsrqp"]
+    got = {r["doc_id"]: r["dropped"] for r in lines.decisions(docs_of(spark, list(enumerate(texts)))).collect()}
+    # Sets of 1 and 1, 7 and 7, 4 in 5, and 3 in 4 runs, which is below 0.8.
+    assert [len(got[k]) for k in range(5)] == [0, 1, 0, 1, 0] and [len(got[k]) for k in (6, 7)] == [0, 0]
+    near = [("ab cd efg" + str(k) + "-hij") for k in range(40)]
+    frame = docs_of(spark, [(2 * k + e, t + "x" * e) for k, t in enumerate(near) for e in (0, 1)])
+    sets = [frozenset(t[i:i + 8] for i in range(len(t) - 7)) for t in [x + "x" * e for x in near for e in (0, 1)]]
+    linked = {k for k, a in enumerate(sets) if any(5 * len(a & b) >= 4 * len(a | b) for b in sets[:k])}
+    found = {r["doc_id"] for r in lines.decisions(frame).collect() if r["dropped"]}
+    assert found <= linked and len(found) >= 0.9 * len(linked) > 0
+
+
+def test_distinct_counts():
+    rng = np.random.default_rng(7)
+    sizes = np.array([5, 0, 1, 900, 3, 40])
+    flat = words.mix(rng.integers(0, 60, sizes.sum()).astype(np.uint64))
+    parts = np.split(flat, np.cumsum(sizes)[:-1])
+    assert lines._distinct(flat, sizes).tolist() == [len(np.unique(p)) for p in parts]
+    assert lines._distinct(flat[:0], sizes[:0]).tolist() == []
+
+
 def test_reshard(spark, docs):
     placed = reshard.reshard(docs, new=3)
     rows = reshard.digest(placed).collect()
