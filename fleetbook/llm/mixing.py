@@ -2,9 +2,10 @@
 
 1. The labels table names the domain of some documents: junk (quality 0), toxic (toxic 1),
    clean (the rest). A naive Bayes classifier over hashed distinct words, and over classes
-   of the share of distinct words, is counted from at most ``SAMPLE`` labelled rows, those
-   with the smallest hash of doc_id; the bound lets the list of rows be broadcast. Its
-   table has ``PLACES`` rows, so it is broadcast as well.
+   of the share of distinct words, is counted from at most ``SAMPLE`` labels of present
+   documents, those with the smallest hash of doc_id; the bound lets the list of labels be
+   broadcast. Priors and words are counted on the same rows. The table has ``PLACES`` rows,
+   so it is broadcast as well.
 2. Every document gets posteriors of all domains (log odds divided by ``HEAT``, so they
    stay soft) and its number of words as token count.
 3. Rates: a document of n tokens and posteriors p adds ``rate * n * p`` to the domain
@@ -18,8 +19,9 @@ Targets are domain totals as multiples of the present ones (``WEIGHTS``), or any
 Defined cases: null and empty texts have no words: prior posteriors, 0 tokens, rate 1;
 rows without doc_id get posteriors and rates like others; rows that repeat doc_id and text
 count each but are one row of the result, with their number; labels that are null or
-without a document teach nothing; a domain without labels gets posterior 0 and keeps its
-total; without any label all documents are clean; no rows give no rows.
+without a document or whose document has no words teach nothing; a domain that no document
+teaches gets posterior 0 and keeps its total; without any all documents are clean; no rows
+give no rows.
 """
 
 import numpy as np
@@ -59,14 +61,19 @@ def train(words, labels, sample=SAMPLE):
     """(table, priors): log likelihoods per hashed word, and log priors by domain."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), domain_of(F.col("quality"), F.col("toxic")).alias("domain"))
-        .filter("doc_id IS NOT NULL AND domain IS NOT NULL").withColumn("h", F.xxhash64("doc_id", F.lit(9)))
+        .filter("doc_id IS NOT NULL AND domain IS NOT NULL")
+        .join(words.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id", F.lit(9)))
         .orderBy("h", "doc_id", "domain").limit(sample).drop("h"))
     known = F.broadcast(stage(known, "labels"))
-    taught = words.join(known, "doc_id").select("domain", "words")
-    counts = taught.select("domain", F.explode("words").alias("word")).groupBy(_place("word").alias("place")).agg(
+    taught = words.filter("n_tokens > 0").join(known, "doc_id").select("domain", "words")
+    # One entry without a word counts the row itself.
+    entries = taught.select("domain", F.explode(F.concat(F.array(F.lit(None).cast("string")), "words")).alias("word"))
+    counts = entries.groupBy(F.when(F.col("word").isNotNull(), _place("word")).alias("place")).agg(
         *[F.count(F.when(F.col("domain") == d, 1)).alias(d) for d in DOMAINS])
     counts = stage(counts, "counts")
-    docs = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    rows = counts.filter("place IS NULL").first()
+    docs = {d: rows[d] if rows else 0 for d in DOMAINS}
+    counts = counts.filter("place IS NOT NULL")
     sums = counts.agg(*[F.sum(d).alias(d) for d in DOMAINS]).first()
     n = sum(docs.values())
     priors = {d: float(np.log(docs[d] / n)) if docs.get(d) else None for d in DOMAINS}

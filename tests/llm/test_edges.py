@@ -232,6 +232,18 @@ def test_mixing(docs, labels):
     assert mixing.sample(docs, labels).columns == docs.columns
 
 
+def test_labels_without_documents_give_no_prior(spark):
+    frame = docs_of(spark, [(k, f"alpha beta gamma rare{k}") for k in range(20)] + [(50, None)])
+    labels = [(k, 1, 0) for k in range(10)] + [(1000 + k, 0, 0) for k in range(500)] + [(50, 0, 0)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    words = mixing._words(frame)
+    _, priors = mixing.train(words, labels)
+    assert priors == {"clean": 0.0, "toxic": None, "junk": None}
+    _, priors = mixing.train(words, labels, sample=5)
+    assert priors == {"clean": 0.0, "toxic": None, "junk": None}
+    assert {r["p_clean"] for r in mixing.membership(frame, labels).collect()} == {1.0}
+
+
 def test_rates_meet_targets(spark):
     rng = np.random.default_rng(3)
     p = rng.dirichlet([0.3, 0.3, 0.3], 400)
