@@ -9,10 +9,13 @@
 2. Every document gets posteriors of all domains (log odds divided by ``HEAT``, so they
    stay soft) and its number of words as token count.
 3. Rates: a document of n tokens and posteriors p adds ``rate * n * p`` to the domain
-   totals. Nonnegative rates near 1 fit these expected totals to the targets in least
-   squares: starting from 1, ``rate = max(0, rate - p . step)`` where step is the present
-   miss of the totals, whitened by the totals' Gram matrix. A step is an aggregate over the
-   documents; only a few sums reach the driver, and rates are an expression of the steps.
+   totals. Rates near 1, within their bounds, fit these expected totals to the targets in
+   least squares, each domain by its own target. Such rates are ``1 - p . price``, cut at
+   the bounds, with a price for each domain. Prices come from Newton steps on the dual
+   problem; rates at a bound are left out of its Gram matrix, and four step lengths are
+   tried in a pass. Targets that the bounds rule out are approached as closely as the
+   weight of ``RIDGE`` allows. A pass is an aggregate over the documents; only a few sums
+   reach the driver.
 
 Targets are domain totals as multiples of the present ones (``WEIGHTS``), or any totals.
 
@@ -34,7 +37,9 @@ WEIGHTS = {"clean": 1.0, "toxic": 0.3, "junk": 0.3}
 SAMPLE = 20_000
 PLACES = 1 << 14
 HEAT = 2.0
-STEPS, NEAR, STALL = 40, 1e-6, 3e-4   # shares of all tokens: close enough, and no more progress
+STEPS, NEAR = 60, 1e-5            # most passes; remaining miss, as a share of each domain's target
+LOOSE, RIDGE = 1e-1, 1e-5        # weight of rates near 1 against the targets: at first, at the end
+LENGTHS = (1.0, 1 / 4, 1 / 16, 1 / 64)
 
 
 def _words(docs):
@@ -102,39 +107,65 @@ def posteriors(words, table, priors):
     return scored.select("doc_id", "th", "copies", "n_tokens", *[shares.get(d, F.lit(0.0)).alias(f"p_{d}") for d in DOMAINS])
 
 
-def _totals(members, rate):
-    weight = F.col("copies") * F.col("n_tokens")
-    p = [F.col(f"p_{d}") for d in DOMAINS]
-    row = members.withColumn("r", rate).agg(
-        *[F.sum(weight * F.col("r") * x).alias(f"t{i}") for i, x in enumerate(p)],
-        *[F.sum(F.when(F.col("r") > 0, weight * p[i] * p[j])).alias(f"g{i}{j}") for i in range(len(p)) for j in range(len(p))]).first()
-    n = len(p)
-    totals = np.array([row[f"t{i}"] or 0.0 for i in range(n)])
-    gram = np.array([[row[f"g{i}{j}"] or 0.0 for j in range(n)] for i in range(n)])
-    return totals, gram
+def _rate(price, most):
+    """Columns (rate, whether it is within its bounds) at prices, numbers or columns."""
+    raw = F.lit(1.0) - sum((F.col(f"p_{d}") * x for d, x in zip(DOMAINS, price)), F.lit(0.0))
+    raw = F.when(F.col("n_tokens") > 0, raw).otherwise(1.0)
+    cut = F.greatest(F.lit(0.0), raw)
+    return (cut, raw >= 0) if most is None else (F.least(F.lit(float(most)), cut), raw.between(0.0, float(most)))
+
+
+def _totals(members, prices, most):
+    """(totals, Gram matrix of the rates within their bounds, value) for each of the prices."""
+    n, p = len(DOMAINS), [F.col(f"p_{d}") for d in DOMAINS]
+    # Prices come as rows, so the plan, and its compiled code, is the same in each pass.
+    listed = members.sparkSession.createDataFrame(
+        [(k, *map(float, price)) for k, price in enumerate(prices)], "k int, " + ", ".join(f"x{i} double" for i in range(n)))
+    rate, free = _rate([F.col(f"x{i}") for i in range(n)], most)
+    cost = sum((p[i] * F.col(f"x{i}") for i in range(n)), F.lit(0.0))
+    each = members.join(F.broadcast(listed)).select(
+        "k", *p, (F.col("copies") * F.col("n_tokens")).alias("w"), rate.alias("r"), free.alias("free"), cost.alias("cost"))
+    r, w = F.col("r"), F.col("w")
+    rows = each.groupBy("k").agg(
+        *[F.sum(w * r * x).alias(f"t{i}") for i, x in enumerate(p)],
+        *[F.sum(F.when(F.col("free"), w * p[i] * p[j])).alias(f"g{i}{j}") for i in range(n) for j in range(i, n)],
+        F.sum(w * (0.5 * (r - 1) * (r - 1) + r * F.col("cost"))).alias("v")).collect()
+    out = [(np.zeros(n), np.zeros((n, n)), 0.0)] * len(prices)
+    for row in rows:
+        out[row["k"]] = (
+            np.array([row[f"t{i}"] or 0.0 for i in range(n)]),
+            np.array([[row[f"g{min(i, j)}{max(i, j)}"] or 0.0 for j in range(n)] for i in range(n)]), row["v"] or 0.0)
+    return out
 
 
 def fit_rates(members, targets=None, most=None):
     """(rate column, totals reached, targets). ``most`` bounds the rates above, where
     documents are not to be repeated."""
-    rate = F.lit(1.0)
-    totals, gram = _totals(members, rate)
+    price = np.zeros(len(DOMAINS))
+    (totals, gram, value), = _totals(members, [price], None)
     goal = np.array([targets[d] for d in DOMAINS]) if targets else totals * np.array([WEIGHTS[d] for d in DOMAINS])
-    size = max(totals.sum(), 1.0)
+    if most is not None and most < 1:
+        (totals, gram, value), = _totals(members, [price], most)
+    scale = np.maximum(goal, 1e-6 * max(totals.sum(), 1.0))
+    ridge = LOOSE
+
+    def dual(price, value):
+        return value - price @ goal - 0.5 * ridge * (scale * price ** 2).sum()
+
     for _ in range(STEPS):
-        miss = totals - goal
-        if np.abs(miss).max() <= NEAR * size:
+        # Looser problems first: their prices are close to those of the next.
+        while (np.abs(miss := totals - goal - ridge * scale * price) <= max(NEAR, ridge / 10) * scale).all() and ridge > RIDGE * 1.01:
+            ridge /= 100
+        if (np.abs(miss) <= NEAR * scale).all():
             break
-        step = np.linalg.lstsq(gram + 1e-9 * size * np.eye(len(gram)), miss, rcond=None)[0]
-        move = sum((F.col(f"p_{d}") * float(s) for d, s in zip(DOMAINS, step)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - F.when(F.col("n_tokens") > 0, move).otherwise(0.0))
-        if most is not None:
-            rate = F.least(F.lit(float(most)), rate)
-        before = totals
-        totals, gram = _totals(members, rate)
-        if np.abs(totals - before).max() <= STALL * size:
+        step = np.linalg.lstsq(gram + np.diag(ridge * scale), miss, rcond=None)[0]
+        tried = [price + length * step for length in LENGTHS]
+        found = _totals(members, tried, most)
+        best = max(range(len(tried)), key=lambda k: dual(tried[k], found[k][2]))
+        if dual(tried[best], found[best][2]) <= dual(price, value):
             break
-    return rate, dict(zip(DOMAINS, totals)), dict(zip(DOMAINS, goal))
+        price, (totals, gram, value) = tried[best], found[best]
+    return _rate([float(x) for x in price], most)[0], dict(zip(DOMAINS, totals)), dict(zip(DOMAINS, goal))
 
 
 def membership(docs, labels):

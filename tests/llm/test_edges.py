@@ -257,6 +257,20 @@ def test_rates_meet_targets(spark):
     assert abs(reached["clean"] - 9000) < 200
 
 
+def test_bounded_rates_keep_the_clean_total(spark):
+    # Few toxic tokens, as in the pipeline: the fit must not stop while a target can be met.
+    rows = [(i, 1, 100, 0.999 - 0.004 * (i % 7), 0.001 + 0.004 * (i % 7), 0.0) for i in range(990)]
+    rows += [(1000 + i, 1, 50, 0.02 * i, 1 - 0.02 * i, 0.0) for i in range(20)]
+    members = spark.createDataFrame(rows, "doc_id long, copies long, n_tokens long, p_clean double, p_toxic double, p_junk double")
+    # Totals of rates that are 1 for all clean documents and 0 for most toxic ones.
+    best = [min(1.0, max(0.0, 1 + r[3] - 3 * r[4])) for r in rows]
+    targets = {d: sum(x * r[2] * r[3 + k] for x, r in zip(best, rows)) for k, d in enumerate(mixing.DOMAINS)}
+    rate, reached, goal = mixing.fit_rates(members, targets, most=1.0)
+    assert all(abs(reached[d] - goal[d]) <= 3e-4 * goal[d] for d in ("clean", "toxic"))
+    spread = members.select(rate.alias("r")).selectExpr("min(r)", "max(r)").first()
+    assert 0 <= spread[0] and spread[1] <= 1
+
+
 def test_topk(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=6).round(1).tolist()) for i in range(300)]
