@@ -1,7 +1,7 @@
 """The registered queries of the corpus operators, each over its whole table."""
 
 import corpus_pipeline
-from fleetbook.llm import decontaminate, lengths, lines, minhash, mixing, pii, quality, reshard, topk, warc
+from fleetbook.llm import audit, decontaminate, lengths, lines, minhash, mixing, pii, quality, reshard, topk, warc
 from fleetbook.llm.tables import read
 
 QUERIES = {}
@@ -92,6 +92,51 @@ def op9(spark, sf):
     return mixing.rates(read(spark, sf, "documents"), read(spark, sf, "labels")).drop("th")
 
 
+@query("op11_audit")
+def op11(spark, sf):
+    return audit.interactions(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
+SQL["op11_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM (SELECT DISTINCT t FROM d)),
+low AS (SELECT t, min(doc_id) AS lo FROM d GROUP BY t),
+lab AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+               max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+    SELECT d.part, len(ws) < 100 AS a, 100 * len(list_distinct(ws)) < 80 * len(ws) AS b,
+           100 * length(regexp_replace(d.t, '[^A-Z]', '', 'g')) > 10 * length(d.t) AS c,
+           regexp_matches(d.t, '[#$%&*|]') AS d, coalesce(d.doc_id > low.lo, false) AS e,
+           coalesce(lab.good, 0) AS good, coalesce(lab.toxic, 0) AS toxic
+    FROM d JOIN w ON d.t = w.t JOIN low ON d.t = low.t LEFT JOIN lab ON d.doc_id = lab.doc_id
+), g AS (SELECT part, a, b, c, d, e, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+    SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM l p, l q, l r, l s, l t
+    WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
+), j AS (
+    SELECT g.*, filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS before,
+           CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) + CAST(d AS INT) + CAST(e AS INT) AS n_fails
+    FROM g, o, (SELECT CAST(unnest([1, 2, 3, 4, 5]) AS INTEGER) AS step)
+), k AS (
+    SELECT *, CASE x WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END AS fails,
+           (a AND contains(before, 'A')) OR (b AND contains(before, 'B')) OR (c AND contains(before, 'C'))
+           OR (d AND contains(before, 'D')) OR (e AND contains(before, 'E')) AS gone
+    FROM j
+), r AS (
+    SELECT part, filter_order, step, x,
+           sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END) AS kept, sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS removed,
+           sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails AND n_fails = 1 THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+    FROM k GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM r
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
