@@ -1,7 +1,7 @@
 """The registered queries of the corpus operators, each over its whole table."""
 
 import corpus_pipeline
-from fleetbook.llm import audit, decontaminate, lengths, lines, minhash, mixing, pii, quality, reshard, topk, warc
+from fleetbook.llm import align, audit, decontaminate, lengths, lines, minhash, mixing, pii, quality, reshard, topk, warc
 from fleetbook.llm.tables import read
 
 QUERIES = {}
@@ -137,6 +137,11 @@ FROM r
 """
 
 
+@query("op12_align")
+def op12(spark, sf):
+    return align.alignments(read(spark, sf, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
