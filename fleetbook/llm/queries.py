@@ -1,7 +1,7 @@
 """The registered queries of the corpus operators, each over its whole table."""
 
 import corpus_pipeline
-from fleetbook.llm import align, audit, decontaminate, lengths, lines, minhash, mixing, pii, quality, reshard, topk, warc
+from fleetbook.llm import align, audit, decontaminate, lengths, lines, minhash, mixing, phrases, pii, quality, reshard, topk, warc
 from fleetbook.llm.tables import read
 
 QUERIES = {}
@@ -142,6 +142,29 @@ def op12(spark, sf):
     return align.alignments(read(spark, sf, "documents"))
 
 
+@query("op13_phrases")
+def op13(spark, sf):
+    return phrases.remove_repeats(read(spark, sf, "documents"))
+
+
+SQL["op13_phrases"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (
+    SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50)
+),
+lo AS (SELECT k, min(doc_id) AS first FROM g GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, i + unnest(range(0, 50)) AS p FROM g JOIN lo USING (k) WHERE first < doc_id),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM d),
+r AS (
+    SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.p) FILTER (WHERE gone.p IS NULL) AS kept, count(gone.p) AS n_removed
+    FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id AND w.p = gone.p GROUP BY w.doc_id
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN r ON d.doc_id = r.doc_id
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
