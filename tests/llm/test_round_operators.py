@@ -141,16 +141,25 @@ def test_alignment(spark, monkeypatch):
     assert align.alignments(frame.limit(0)).count() == 0
 
 
+def test_ranks_encode_as_the_file_does():
+    coder = align.coder(align.ByteLevel, align.BYTE_BPE)
+    rng = random.Random(6)
+    letters = [chr(k) for k in range(0x250)] + list("  \n\t'sreltvmd“”‘’…–—•€ abcdefghij0123456789")
+    texts = ["".join(rng.choices(letters, k=rng.randrange(1, 80))) for _ in range(4000)] + ["漢字", " " * 1_000_000 + "x"]
+    assert coder.ranked and coder.encode(texts) == [
+        e.ids for e in coder.tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+
+
 def test_walk_covers_both_sides():
     rng = random.Random(8)
     for _ in range(300):
         last = rng.randrange(1, 60)
         a, b = (sorted({*rng.sample(range(1, last + 1), rng.randrange(0, last)), last}) for _ in range(2))
-        runs, gaps, links = align.walk(a, b)
+        runs, gaps, left, right = align.walk(a, b)
         pieces = sorted([(i, j, i + n, j + n) for i, j, n in runs] + gaps)
         assert [p[:2] for p in pieces] == [(0, 0), *[p[2:] for p in pieces[:-1]]] and pieces[-1][2:] == (len(a), len(b))
         assert {a[i + k] for i, j, n in runs for k in range(n)} | {a[g[2] - 1] for g in gaps} == set(a) & set(b)
-        assert len(links) == sum((g[2] - g[0]) + (g[3] - g[1]) - 1 for g in gaps)
+        assert len(left) == len(right) == sum((g[2] - g[0]) + (g[3] - g[1]) - 1 for g in gaps)
 
 
 # ---- 13 ----------------------------------------------------------------------------------
