@@ -6,6 +6,7 @@ from fleetbook.functions.dates import between
 from fleetbook.functions.eco import normalize_eco
 from fleetbook.operators import aggregates, dedup, filters, joins, merge, sets, windows
 from fleetbook.operators.storage import LedgerTable
+from fleetbook.operators.versions import VersionedLedger
 from fleetbook.plans import ingest
 from fleetbook.session import scratch_dir
 from fleetbook.streaming import changed_files
@@ -187,6 +188,21 @@ def _(spark, sf):
     return merge.insert_new(target, merge.new_by_id(v.merge_source(spark, sf), target))
 
 
+@query("sink_merge_insert_id_stored", f"""
+SELECT {LEDGER} FROM (
+  SELECT * FROM merge_target UNION ALL
+  SELECT * FROM merge_source s WHERE NOT EXISTS (
+    SELECT 1 FROM merge_target t WHERE t.Sistema = s.Sistema AND t.Id_Origen = s.Id_Origen))""")
+def _(spark, sf):
+    stored, source = _versioned(spark, "ids"), v.merge_source(spark, sf)
+    stored.append(v.merge_target(spark, sf))
+    # The second merge and the one of half the batch must add nothing.
+    for rows in (source, source, source.filter("Cantidad IS NULL")):
+        stored.merge(rows.filter("Id_Origen IS NOT NULL"), by_id=True)
+    stored.append(source.filter("Id_Origen IS NULL"))
+    return stored.read()
+
+
 @query("sink_merge_insert_tol", f"""
 SELECT {LEDGER} FROM (
   SELECT * FROM merge_target UNION ALL
@@ -243,6 +259,11 @@ def _stored(spark, label):
     return LedgerTable(spark, place.rsplit("/", 1)[-1].replace("-", "_"), place).create()
 
 
+def _versioned(spark, label, kind=VersionedLedger):
+    place = scratch_dir(spark, label)
+    return kind(spark, place.rsplit("/", 1)[-1].replace("-", "_"), place, buckets=8).create()
+
+
 @query("src_ledger_scan", f"""
 SELECT {LEDGER} FROM ledger WHERE Sistema IN ('Pase', 'Edenred') AND Fecha >= DATE '1996-03-01' AND Fecha < DATE '1996-06-01'""")
 def _(spark, sf):
@@ -276,7 +297,7 @@ UNION ALL
 SELECT {LEDGER} FROM (SELECT * REPLACE (Importe + 1 AS Importe) FROM ledger
   WHERE Sistema = 'Pase' AND strftime(Fecha, '%Y-%m') = '1996-03')""")
 def _(spark, sf):
-    stored, rows = _stored(spark, "replace"), v.ledger(spark, sf)
+    stored, rows = _versioned(spark, "replace"), v.ledger(spark, sf)
     stored.append(rows)
     import datetime as dt
 
@@ -292,9 +313,20 @@ SELECT {LEDGER} FROM (SELECT *, row_number() OVER (
   PARTITION BY ECO, Fecha, Concepto, Tipo, Cantidad, Importe, Sistema, Empresa
   ORDER BY Archivo_Origen NULLS FIRST, Id_Origen NULLS FIRST) AS k FROM ledger_with_copies) WHERE k = 1""")
 def _(spark, sf):
-    stored = _stored(spark, "dedup")
+    stored = _versioned(spark, "dedup")
     stored.append(v.ledger_with_copies(spark, sf))
-    stored.backup_and_dedup("copy", scratch_dir(spark, "backup"))
+    stored.backup_and_dedup("copy")
+    return stored.read()
+
+
+@query("sink_backup_restore", f"SELECT {LEDGER} FROM ledger_with_copies")
+def _(spark, sf):
+    """The tagged version after a deduplication, an emptied month and the way back."""
+    stored = _versioned(spark, "restore")
+    stored.append(v.ledger_with_copies(spark, sf))
+    stored.backup_and_dedup("copy")
+    stored.delete_month("Supramax", v.YEAR_A, v.MONTH)
+    stored.restore(tag="copy")
     return stored.read()
 
 
@@ -333,16 +365,43 @@ def _(spark, sf):
     return changed_files.changed(files, registry.drop("s")).select("path", "length", F.col("s").alias("stamp"))
 
 
-@query("inc_ledger_stream", f"{DISTINCT} FROM ledger_with_copies WHERE Sistema <> 'Pase' AND Archivo_Origen NOT LIKE 'z\\_%' ESCAPE '\\'")
+class _CutOff(VersionedLedger):
+    """A ledger whose second commit fails once, after its rows and ids are written."""
+
+    cut = False
+
+    def _commit(self, state):
+        if state["version"] == 2 and not self.cut:
+            self.cut = True
+            raise OSError("cut off before the commit")
+        super()._commit(state)
+
+
+@query("inc_ledger_stream", rf"""
+{DISTINCT} FROM ledger_with_copies WHERE Sistema <> 'Pase' AND Archivo_Origen NOT LIKE 'z\_%' ESCAPE '\'
+UNION ALL
+SELECT {LEDGER} FROM (SELECT *, row_number() OVER (PARTITION BY Id_Origen ORDER BY ECO NULLS FIRST, Fecha, Concepto, Tipo NULLS FIRST,
+  Cantidad NULLS FIRST, Importe, Sistema, Empresa NULLS FIRST, Archivo_Origen) AS k
+  FROM ledger_with_copies WHERE Sistema = 'Pase' AND Archivo_Origen NOT LIKE 'z\_%' ESCAPE '\') WHERE k = 1""")
 def _(spark, sf):
+    from pyspark.errors import StreamingQueryException
+
     place = scratch_dir(spark, "stream")
-    rows = v.batch(spark, sf).filter("Sistema <> 'Pase'").drop("l_orderkey", "l_partkey")
-    rows.withColumn("half", (F.month("Fecha") > 6).cast("int")).write.partitionBy("half").parquet(f"{place}/in")
-    stored = _stored(spark, "streamed")
-    # The second run meets the rows of the first again and must add only the others.
-    for run, folder in enumerate(("in/half=0", "in/half=*")):
-        stream = spark.readStream.schema(rows.schema).parquet(f"{place}/{folder}")
-        ingest_stream(stream, stored, f"{place}/checkpoint{run}").awaitTermination()
+    rows = v.batch(spark, sf).drop("l_orderkey", "l_partkey")
+    rows.withColumn("part", F.quarter("Fecha")).repartition("part").write.partitionBy("part").parquet(f"{place}/in")
+    stored = _versioned(spark, "streamed", _CutOff)
+
+    def run(name, files):
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{place}/in/part=*")
+        ingest_stream(stream, stored, f"{place}/{name}", by_id=True).awaitTermination()
+
+    # A batch is cut off between write and commit and run again; another query meets all rows
+    # once more and must add none.
+    try:
+        run("first", 2)
+    except StreamingQueryException:
+        run("first", 2)
+    run("second", 100)
     return stored.read()
 
 
