@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from fleetbook.functions.amounts import sum_cents
 from fleetbook.plans import consolidate, tags, unify
+from fleetbook.streaming import changed_files
 from fleetbook.session import scratch_dir
 from fleetbook.sources import archive, headers, html, maps, ragged, vendors
 
@@ -371,6 +372,55 @@ def _(spark, sf):
     return store.select("ECO", F.to_date("Fecha").alias("Fecha"), "Importe").distinct()
 
 
+@query("job_consolidate_outcomes", f"""
+SELECT 'Pase' AS sistema, 'row' AS kind, trim(ECO) AS ECO, strftime(Fecha, '%d/%m/%Y') AS Fecha, Importe, count(DISTINCT l_suppkey % 4) AS n
+FROM ({_TOLL_SQL}) WHERE Fecha IS NOT NULL AND Importe IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT 'Edenred', 'row', trim(eco_raw), strftime(l_shipdate, '%d/%m/%Y'), CAST(replace(replace(importe_raw, '$', ''), ',', '') AS DOUBLE),
+  count(DISTINCT l_suppkey % 4) FROM ledger_raw GROUP BY ALL
+UNION ALL
+SELECT s, k, NULL, NULL, NULL, n FROM (VALUES ('Pase'), ('Edenred')) AS a(s), (VALUES ('read', 4), ('torn', 1), ('no header', 1)) AS b(k, n)""")
+def _(spark, sf):
+    """From bytes to rows and outcomes: toll and card files in two deliveries, the first with a
+    file without a header and one that is no text. Every stored row counts, none is merged."""
+    import datetime as dt
+
+    raw, place, old = v.ledger_raw(spark, sf), scratch_dir(spark, "outcome-files"), scratch_dir(spark, "outcome-rows")
+    kinds = {
+        "Pase": (_PASE_HEADER, F.concat_ws(";", "eco_raw", "fecha_raw", "importe_raw", F.lit("T1."))),
+        "Edenred": (",".join(_CARD), F.concat_ws(
+            ",", F.lit("1"), "eco_raw", F.date_format("l_shipdate", "dd/MM/yyyy"), F.lit("DIESEL"), F.lit("1"),
+            F.translate("importe_raw", "$,", ""), F.lit("9"), F.lit("x")))}
+    out = []
+    for system, (header, line) in kinds.items():
+        folder = f"{place}/{system}"
+        lines = raw.select(line.alias("line"), (F.col("l_suppkey") % 4).alias("key")).repartition("key")
+        bad = raw.select(line.alias("line")).limit(20).coalesce(1)
+        bad.write.option("quote", "\x02").option("sep", "\x01").csv(f"{folder}/bare")
+        bad.select(F.concat("line", F.lit(";\x00;")).alias(header)).write.option("header", True).option("quote", "\x02").option(
+            "sep", "\x01").csv(f"{folder}/torn")
+        store = spark.createDataFrame([], "Archivo_Origen string")
+        registry = spark.createDataFrame([], changed_files.REGISTRY)
+        for run in range(3):
+            if run < 2:
+                _write_lines(lines.filter(F.floor(F.col("key") / 2) == run), header, f"{folder}/entrega={run}", "key")
+            rows, seen = consolidate.consolidate(spark, system, folder, store, registry, dt.datetime(2000, 1, 1 + run))
+            rows.write.parquet(f"{old}/{system}/rows{run}")
+            seen.write.parquet(f"{old}/{system}/files{run}")
+            store, registry = (spark.read.parquet(f"{old}/{system}/{kind}{run}") for kind in ("rows", "files"))
+        if system == "Pase":
+            rows = store.select("ECO", F.date_format("Fecha", "dd/MM/yyyy").alias("Fecha"), "Importe")
+        else:
+            rows = store.select(F.trim("Vehículo").alias("ECO"), F.col("Fecha Transacción").alias("Fecha"),
+                                F.col("Importe Transacción").cast("double").alias("Importe"))
+        out.append(rows.groupBy("ECO", "Fecha", "Importe").agg(F.count("*").alias("n")).withColumn("kind", F.lit("row")).withColumn("sistema", F.lit(system)))
+        out.append(registry.groupBy(F.col("state").alias("kind")).agg(F.count("*").alias("n")).withColumn("sistema", F.lit(system)))
+    frame = out[0]
+    for more in out[1:]:
+        frame = frame.unionByName(more, allowMissingColumns=True)
+    return frame
+
+
 @query("job_recover_year", f"""
 SELECT {LEDGER} FROM merge_target UNION ALL
 SELECT ECO, Fecha, 'PEAJES', NULL, NULL, Importe, 'Pase', 'EMP X', Id, file FROM (

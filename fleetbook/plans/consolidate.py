@@ -1,40 +1,69 @@
-"""Incremental consolidation: only new and changed files are read."""
-
-import re
+"""Incremental consolidation: only new and changed files are read, each with an outcome."""
 
 from ..operators.filters import required
+from ..session import scratch_dir
 from ..sources import html, ragged
-from ..sources.vendors import edenred_rows, pase_consolidated, supramax_rows
-from ..streaming.changed_files import changed, listing, registered
+from ..sources.headers import first_row_headers, marker_headers
+from ..sources.vendors import CARD_MARKER, edenred_rows, pase_consolidated, pase_consolidated_positions, supramax_rows
+from ..streaming.changed_files import READ, changed, listing, outcomes, registered
 from .unify import extend_consolidated
 
 
-def _tolls(spark, paths):
-    return required(pase_consolidated(ragged.land(spark, ragged.read_ragged(spark, paths)))).drop("path")
+def _toll_headers(raw):
+    """Files whose first row names unit, date and amount."""
+    found = pase_consolidated_positions(first_row_headers(raw))
+    return found.filter("p_eco IS NOT NULL AND p_fecha IS NOT NULL AND p_importe IS NOT NULL")
+
+
+class Export:
+    """How the exports of a system are read: the names of its files, their raw rows, the header
+    frame of the files that have one, and the rows of those files."""
 
+    def __init__(self, glob, read, headers, rows):
+        self.glob, self.read, self.headers, self.rows = glob, read, headers, rows
 
-def _fuel(spark, paths):
-    return supramax_rows(ragged.land(spark, html.read_html_files(spark, paths)))
 
+def _texts(skip_blank):
+    def read(spark, folder, glob, files, since):
+        wanted = files.select(files["uri"].alias("path"))
+        return ragged.read_ragged(
+            spark, folder, skip_blank, suffixes=[glob.lstrip("*")], files=wanted, since=since, strict=False)
+    return read
 
-def _cards(spark, paths):
-    return edenred_rows(ragged.land(spark, ragged.read_ragged(spark, paths, skip_blank=False))).drop("path")
 
+def _sheets(spark, folder, glob, files, since):
+    found = html.read_html_files(spark, folder, [glob.lstrip("*")], files=files.select("path"), since=since)
+    return found.join(files.select("path", "uri"), "path").select(files["uri"].alias("path"), "row_idx", "cells")
 
-#: Per system the files that count and how they are read.
-SYSTEMS = {"Pase": ("*.csv", _tolls), "Supramax": ("*.xls", _fuel), "Edenred": ("*.csv", _cards)}
+
+SYSTEMS = {
+    "Pase": Export("*.csv", _texts(True), _toll_headers, lambda raw: required(pase_consolidated(raw)).drop("path")),
+    "Supramax": Export("*.xls", _sheets, lambda raw: marker_headers(raw, "PLACAS"), supramax_rows),
+    "Edenred": Export("*.csv", _texts(False), lambda raw: marker_headers(raw, CARD_MARKER),
+                      lambda raw: edenred_rows(raw).drop("path")),
+}
 
 
 def consolidate(spark, system, folder, stored, registry, at):
     """(consolidated frame, registry) after the files below ``folder`` that the registry does
-    not hold with their size and time. Rows stored already are not repeated. The names of
-    the files to read pass through the driver, as those of every scan do; both frames are
-    to be written by the caller before the next run."""
-    glob, read = SYSTEMS[system]
-    fresh = changed(listing(spark, folder, glob), registry).select("path", "length", "modificationTime")
-    found = fresh.collect()
-    if not found:
+    not hold as read with their size and time. Rows stored already are not repeated.
+
+    A file that is no text, is torn or has no header row neither fails the run nor counts as
+    read: the registry tells its state and problem, and the next run tries it again (empty files
+    are not listed by Spark, and wait likewise). The list
+    of files stays a frame; the driver gets their number and least modification time, by which
+    readers leave older files closed. Both frames are to be written before the next run."""
+    export = SYSTEMS[system]
+    place = scratch_dir(spark, "changed")
+    changed(listing(spark, folder, export.glob, uri=True), registry).write.parquet(place)
+    fresh = spark.read.parquet(place)
+    n, since = fresh.selectExpr("count(*)", "min(modificationTime)").first()
+    if not n:
         return stored, registry
-    paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", f.path) for f in found]
-    processed = spark.createDataFrame(found, fresh.schema)
-    return extend_consolidated(stored, read(spark, paths)), registered(registry, processed, at)
+    raw = ragged.land(spark, export.read(spark, folder, export.glob, fresh, since))
+    place = scratch_dir(spark, "outcomes")
+    outcomes(fresh, raw, export.headers, ragged.PROBLEM).write.parquet(place)
+    told = spark.read.parquet(place)
+    good = told.filter(told["state"] == READ).select(told["uri"].alias("path"))
+    rows = export.rows(raw.join(good, "path", "left_semi"))
+    return extend_consolidated(stored, rows), registered(registry, told, at)

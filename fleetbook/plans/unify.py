@@ -7,9 +7,9 @@ from ..operators.filters import file_type, required, same_year_as_path
 from ..operators.merge import insert_new
 from ..operators.sets import combine_distinct
 from ..operators.windows import prefer_layout
-from ..sources.headers import preamble_value
+from ..sources.headers import fixed_headers, marker_headers, preamble_value, with_header
 from ..sources.paths import company_segment, path_period
-from ..sources.vendors import clean_edenred, clean_pase, edenred_rows, pase_consolidated, supramax_rows
+from ..sources.vendors import CARD_MARKER, clean_edenred, clean_pase, edenred_rows, pase_consolidated, supramax_rows
 from .ingest import clean_batch, new_rows
 
 
@@ -29,13 +29,21 @@ def unify_pase(raw, year=None):
 
 
 def unify_supramax(raw):
-    """All fuel exports as one frame of their named columns and the file name."""
-    return supramax_rows(raw)
+    """All fuel exports as one frame of their named columns and the file name. A file without
+    a header row fails the job when the frame is read."""
+    return supramax_rows(with_header(raw, marker_headers, "PLACAS"))
 
 
-def unify_edenred(raw, header_row=5):
-    """(raw, clean) frames of all card exports."""
-    rows = edenred_rows(raw, header_row)
+def _card_rows(raw, header_row):
+    """Card exports by their own header row, or a given one; a file without it fails the job."""
+    find = (marker_headers, CARD_MARKER) if header_row is None else (fixed_headers, header_row)
+    return edenred_rows(with_header(raw, *find), header_row)
+
+
+def unify_edenred(raw, header_row=None):
+    """(raw, clean) frames of all card exports. Headers stand in any row (row 0 of text
+    exports, row 5 of converted sheets); a file without one fails the job."""
+    rows = _card_rows(raw, header_row)
     clean = clean_batch(clean_edenred(rows), dedup=False).select(
         "ECO", "Fecha", "Concepto", "Tipo", "Cantidad", "Importe", "Sistema", "Archivo_Origen")
     return rows.drop("path"), clean
@@ -54,12 +62,12 @@ def recover_pase(raw, ledger, year):
     return insert_new(ledger, new_rows(batch, ledger, by_id=True))
 
 
-def recover_edenred(raw, ledger, year, header_row=5):
+def recover_edenred(raw, ledger, year, header_row=None):
     """The ledger after all card files of a year. The company stands in the preamble, else
-    in the path."""
-    files = file_type(raw, [".csv", ".xlsx"], year)
+    in the path. A file without a header row fails the job."""
+    files = file_type(raw, [".csv"], year)
     stated = preamble_value(files, "Cliente:").select("path", F.col("value").alias("_company"))
-    rows = edenred_rows(files, header_row).join(stated, "path", "left")
+    rows = _card_rows(files, header_row).join(stated, "path", "left")
     company = F.coalesce("_company", company_segment(F.col("path"), unless=year))
     cleaned = clean_edenred(rows, company)
     batch = clean_batch(cleaned)

@@ -75,7 +75,7 @@ def fixed_headers(raw, row):
 def with_header(raw, find, *args):
     """The raw rows again; fails when read if ``find(raw, *args)`` names no header row for
     some file. Without it such a file would give no rows and no sign of it."""
-    starts = raw.filter("row_idx = 0").select("path", "row_idx")
+    starts = raw.groupBy("path").agg(F.min("row_idx").alias("row_idx"))
     lost = starts.join(find(raw, *args).select("path", F.lit(True).alias("found")), "path", "left")
     told = lost.select("path", "row_idx", F.when(F.col("found").isNull(), F.raise_error(
         F.concat(F.lit("no header row in "), "path"))).cast("string").alias("_lost"))

@@ -147,19 +147,24 @@ def html_table_rows(df, path, html, table=None):
     return rows if table is None else rows.filter(F.col("table") == table)
 
 
-def read_html_files(spark, path, suffixes=None, year=None, table=0):
+def read_html_files(spark, path, suffixes=None, year=None, table=0, files=None, since=None):
     """Raw rows ``(path, row_idx, cells)`` of one table of each HTML file below ``path``, as
     vendors give them under spreadsheet names. Text is UTF-8 where it can be, else Latin-1.
-    ``suffixes`` and ``year`` choose files before any is opened."""
+    ``suffixes``, ``year`` and ``since`` (a least modification time) choose files before any is
+    opened; ``files`` is a frame with the ``path`` of those that are wanted."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if suffixes:
         reader = reader.option("pathGlobFilter", "*{" + ",".join(suffixes) + "}")
-    files = reader.load(path)
+    found = reader.load(path)
+    if since is not None:
+        found = found.filter(F.col("modificationTime") >= F.lit(since))
+    if files is not None:
+        found = found.join(files.select("path"), "path", "left_semi")
     if year is not None:
-        files = files.filter(F.col("_metadata.file_path").contains(f"/{year}/"))
+        found = found.filter(F.col("_metadata.file_path").contains(f"/{year}/"))
     utf8 = F.is_valid_utf8(F.col("content").cast("string"))
     text = F.when(utf8, F.col("content").cast("string")).otherwise(F.decode("content", "ISO-8859-1"))
-    rows = html_table_rows(files.select("path", text.alias("html")), "path", "html", table)
+    rows = html_table_rows(found.select("path", text.alias("html")), "path", "html", table)
     return rows.select("path", "row_idx", "cells")
 
 

@@ -29,6 +29,7 @@ _HEAD_BYTES = 4 * _SAMPLE  # a character has at most four bytes
 _CHUNK = 5000
 _PIECE = 1 << 20
 _CELL_LIMIT = 131072
+PROBLEM = -1  # row number of what is wrong with a file, where problems do not fail the job
 
 
 def _dialect(sample):
@@ -94,20 +95,23 @@ def _is_utf8(data):
 
 _DESCRIBED = pa.schema([
     ("path", pa.string()), ("block", pa.int64()), ("piece", pa.int64()), ("latin", pa.bool_()),
-    ("head", pa.binary())])
+    ("head", pa.binary()), ("problem", pa.string())])
 
 
-def _describe(batches):
+def _describe(strict):
     """Per piece whether it is UTF-8, and its first bytes where they may be the file's."""
-    def rows():
-        for batch in batches:
-            for values in zip(*(batch.column(c) for c in _PACKED.names)):
-                path, block, piece, data = (x.as_py() for x in values)
-                if b"\0" in data:
-                    raise ValueError(f"{path}: not a text file")
-                first = piece == 0 and block < _HEAD_BYTES
-                yield path, block, piece, not _is_utf8(data), data[:_HEAD_BYTES] if first else None
-    yield from _batches(rows(), _DESCRIBED)
+    def describe(batches):
+        def rows():
+            for batch in batches:
+                for values in zip(*(batch.column(c) for c in _PACKED.names)):
+                    path, block, piece, data = (x.as_py() for x in values)
+                    problem = "not a text file" if b"\0" in data else None
+                    if problem and strict:
+                        raise ValueError(f"{path}: {problem}")
+                    first = piece == 0 and block < _HEAD_BYTES
+                    yield path, block, piece, not _is_utf8(data), data[:_HEAD_BYTES] if first else None, problem
+        yield from _batches(rows(), _DESCRIBED)
+    return describe
 
 
 def _add_dialect(batches):
@@ -197,11 +201,11 @@ _COUNTED = pa.schema([
     ("delimiter", pa.string()), ("quotechar", pa.string()), ("skipspace", pa.bool_()),
     ("n0", pa.int64()), ("end0", pa.int32()), ("long0", pa.bool_()),
     ("n1", pa.int64()), ("end1", pa.int32()), ("long1", pa.bool_()),
-    ("lead", pa.string()), ("whole", pa.bool_())])
+    ("lead", pa.string()), ("whole", pa.bool_()), ("problem", pa.string())])
 _COUNTED_DDL = (
     "path string, block bigint, piece bigint, latin boolean, delimiter string, quotechar string, "
     "skipspace boolean, n0 bigint, end0 int, long0 boolean, n1 bigint, end1 int, long1 boolean, "
-    "lead string, whole boolean")
+    "lead string, whole boolean, problem string")
 _DIALECT = ("delimiter", "quotechar", "skipspace")
 
 
@@ -210,17 +214,17 @@ def _count(skip_blank):
         csv.field_size_limit(_CELL_LIMIT)
 
         def rows():
-            names = ("path", "block", "piece", "data", "latin", *_DIALECT)
+            names = ("path", "block", "piece", "data", "latin", "problem", *_DIALECT)
             for batch in batches:
-                for path, block, piece, data, latin, *dialect in zip(
+                for path, block, piece, data, latin, problem, *dialect in zip(
                         *(batch.column(c) for c in names)):
-                    path, block, piece, latin = (x.as_py() for x in (path, block, piece, latin))
+                    path, block, piece, latin, problem = (x.as_py() for x in (path, block, piece, latin, problem))
                     dialect = [x.as_py() for x in dialect]
-                    text = _text(path, block, piece, data.as_py(), latin)
+                    text = "" if problem else _text(path, block, piece, data.as_py(), latin)
                     outside = _outside(text, dialect, skip_blank)
                     inside = _inside(text, dialect, skip_blank, outside)
                     yield (path, block, piece, latin, *dialect, outside[0], int(outside[1]),
-                           outside[2], inside[0], int(inside[1]), *inside[2:])
+                           outside[2], inside[0], int(inside[1]), *inside[2:], problem)
         yield from _batches(rows(), _COUNTED)
     return count
 
@@ -251,21 +255,26 @@ def _starts(counted):
     leads = F.collect_list(F.when(F.col("inside"), F.struct("block", "piece", "lead"))).over(following)
     rest = F.array_join(F.transform(F.array_sort(leads), lambda x: x.lead), "")
     return counted.select(
-        "path", "block", "piece", "latin", *_DIALECT, "inside", "first", "too_long", rest.alias("rest"))
+        "path", "block", "piece", "latin", *_DIALECT, "inside", "first", "too_long", rest.alias("rest"), "problem")
 
 
-def _parse(skip_blank):
+def _parse(skip_blank, strict):
     def parse(batches):
         csv.field_size_limit(_CELL_LIMIT)
 
         def rows():
-            names = ("path", "block", "piece", "data", "latin", "inside", "first", "too_long", "rest", *_DIALECT)
+            names = ("path", "block", "piece", "data", "latin", "inside", "first", "too_long", "rest", "problem", *_DIALECT)
             for batch in batches:
                 for values in zip(*(batch.column(c) for c in names)):
-                    path, block, piece, data, latin, inside, number, too_long, rest, *dialect = (
+                    path, block, piece, data, latin, inside, number, too_long, rest, problem, *dialect = (
                         x.as_py() for x in values)
-                    if too_long:
-                        raise ValueError(f"{path}: a cell of more than {_CELL_LIMIT} characters")
+                    if too_long and not problem:
+                        problem = f"a cell of more than {_CELL_LIMIT} characters"
+                        if strict:
+                            raise ValueError(f"{path}: {problem}")
+                    if problem:
+                        yield path, PROBLEM, [problem]
+                        continue
                     records = _records(_text(path, block, piece, data, latin) + rest, inside, *dialect)
                     if inside:
                         next(records, None)
@@ -277,13 +286,17 @@ def _parse(skip_blank):
     return parse
 
 
-def read_ragged(spark, path, skip_blank=True, suffixes=None, year=None):
+def read_ragged(spark, path, skip_blank=True, suffixes=None, year=None, files=None, since=None, strict=True):
     """Raw rows of all files below ``path``, a folder, a file or a list of them. Row numbers
     count records with text (or, with ``skip_blank=False``, all records) from 0, the header's.
 
     ``suffixes`` (such as ``[".csv"]``) and ``year`` (a folder of that name) choose files
-    before any is opened. A quoted cell may hold line breaks; one of more than 131,072
-    characters, as an unclosed quote makes it, and a file that is not text fail the job. A
+    before any is opened, as ``since`` does, a least modification time. ``files`` is a frame
+    with the ``path`` of those whose rows are wanted, as ``_metadata.file_path`` has it.
+
+    A quoted cell may hold line breaks; one of more than 131,072 characters, as an unclosed
+    quote makes it, and a file that is not text fail the job. Where they shall not (``strict``
+    false), such a file has rows of the number ``PROBLEM`` whose cell says what is wrong. A
     quoted cell that is open at the end of its file ends with a line break."""
     reader = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n")
     if suffixes:
@@ -291,26 +304,32 @@ def read_ragged(spark, path, skip_blank=True, suffixes=None, year=None):
     lines = reader.text(path)
     if year is not None:
         lines = lines.filter(F.col("_metadata.file_path").contains(f"/{year}/"))
+    if since is not None:
+        lines = lines.filter(F.col("_metadata.file_modification_time") >= F.lit(since))
     lines = lines.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
     keys = ["path", "block", "piece"]
     # One shuffle of the bytes in even pieces, which all three passes read again.
-    pieces = lines.mapInArrow(_pack, "path string, block bigint, piece bigint, data binary").repartition(*keys)
-    described = pieces.mapInArrow(_describe, "path string, block bigint, piece bigint, latin boolean, head binary")
+    pieces = lines.mapInArrow(_pack, "path string, block bigint, piece bigint, data binary")
+    if files is not None:
+        pieces = pieces.join(files.select("path"), "path", "left_semi")
+    pieces = pieces.repartition(*keys)
+    described = pieces.mapInArrow(
+        _describe(strict), "path string, block bigint, piece bigint, latin boolean, head binary, problem string")
     # Heads come from the first 32 KB of a file only; of every piece its two numbers.
     heads = F.collect_list(F.when(F.col("head").isNotNull(), F.struct("block", "head")))
-    files = described.groupBy("path").agg(
-        F.bool_or("latin").alias("latin"), F.array_sort(heads).alias("head"),
+    found = described.groupBy("path").agg(
+        F.bool_or("latin").alias("latin"), F.array_sort(heads).alias("head"), F.max("problem").alias("problem"),
         F.collect_list(F.struct("block", "piece")).alias("pieces"))
-    files = files.mapInArrow(
-        _add_dialect, "path string, latin boolean, pieces array<struct<block: bigint, piece: bigint>>, "
+    found = found.mapInArrow(
+        _add_dialect, "path string, latin boolean, problem string, pieces array<struct<block: bigint, piece: bigint>>, "
         "delimiter string, quotechar string, skipspace boolean")
-    dialects = files.select("path", F.explode("pieces").alias("at"), "latin", *_DIALECT).select(
-        "path", "at.block", "at.piece", "latin", *_DIALECT)
+    dialects = found.select("path", F.explode("pieces").alias("at"), "latin", "problem", *_DIALECT).select(
+        "path", "at.block", "at.piece", "latin", "problem", *_DIALECT)
     counted = pieces.join(dialects, keys).mapInArrow(_count(skip_blank), _COUNTED_DDL)
     starts = _starts(counted)
-    return pieces.join(starts, keys).mapInArrow(_parse(skip_blank), RAW_SCHEMA)
+    return pieces.join(starts, keys).mapInArrow(_parse(skip_blank, strict), RAW_SCHEMA)
 
 
 def land(spark, raw):

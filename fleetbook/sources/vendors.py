@@ -66,7 +66,7 @@ def clean_pase(raw, empresa=None):
         file_name.alias("Archivo_Origen"))
 
 
-def _pase_consolidated_positions(headers):
+def pase_consolidated_positions(headers):
     """The consolidation names its columns more strictly than the ingest: a billing date or
     a base amount left of the real ones is not taken for them."""
     header = F.col("header")
@@ -82,7 +82,7 @@ def _pase_consolidated_positions(headers):
 def pase_consolidated(raw):
     """Toll rows as kept in the consolidated export: unit, date, amount, card, file. Columns
     that a file does not name are null."""
-    rows = rows_below(raw, _pase_consolidated_positions(first_row_headers(raw)))
+    rows = rows_below(raw, pase_consolidated_positions(first_row_headers(raw)))
     return rows.select(
         strip(cell(F.col("p_eco"), "")).alias("ECO"),
         parse_date_ladder(cell(F.col("p_fecha"))).alias("Fecha"),
@@ -91,6 +91,7 @@ def pase_consolidated(raw):
         base_name(F.col("path")).alias("Archivo_Origen"), "path")
 
 
+CARD_MARKER = "Fecha Transacción"
 _EDENRED_UNIT = "Vehículo"
 _EDENRED_UNIT_POSITION = 7
 
@@ -99,7 +100,7 @@ def edenred_rows(raw, header_row=None):
     """Named columns of raw card exports. The header is, per file, the first row that names
     the transaction date (row 0 of text exports, row 5 of converted sheets), or the given
     row. The unit stands in *Vehículo*, or in the eighth column of files without it."""
-    headers = marker_headers(raw, "Fecha Transacción") if header_row is None else fixed_headers(raw, header_row)
+    headers = marker_headers(raw, CARD_MARKER) if header_row is None else fixed_headers(raw, header_row)
     names = ["Fecha Transacción", "Mercancía", "Cantidad Mercancía", "Importe Transacción", "Núm Tarjeta"]
     unit = F.coalesce(find_equal(F.col("header"), _EDENRED_UNIT), F.lit(_EDENRED_UNIT_POSITION))
     positions = headers.select(

@@ -11,11 +11,12 @@ from fleetbook.operators import merge
 from fleetbook.operators.aggregates import dominant_month
 from fleetbook.operators.dedup import dedup_batch
 from fleetbook.operators.storage import LedgerTable
-from fleetbook.plans import consolidate, ingest
+from fleetbook.plans import consolidate, ingest, unify
 from fleetbook.plans.dashboard import join_master
 from fleetbook.plans.trips import trips_table
 from fleetbook.sources import archive, ragged
 from fleetbook.sources.vendors import edenred_rows
+from fleetbook.streaming import changed_files
 from fleetbook.vocabulary import LEDGER_SCHEMA
 
 DAY = dt.date(2025, 3, 5)
@@ -131,6 +132,71 @@ def test_only_changed_files_are_consolidated(spark, tmp_path):
     assert again == (stored, registry)
 
 
+CARDS = "Folio,Vehículo,Fecha Transacción,Mercancía,Cantidad Mercancía,Importe Transacción,Núm Tarjeta,Unidad\n"
+FILES = {
+    "Pase": {
+        "good.csv": "No. economico;Fecha;Importe;Tag\nAU-1;2025/03/05;1;T\n", "bare.csv": "AU-7;2025/03/05;1;T\nAU-8;2025/03/05;1;T\n",
+        "nul.csv": "No. economico;Fecha;Importe;Tag\nAU-9;2025/03/05;1;T\n\0\0\n",
+        "open.csv": 'No. economico;Fecha;Importe;Tag\nAU-9;2025/03/05;1;T\nAU-9;"' + "x;y\n" * 60_000, "empty.csv": ""},
+    "Edenred": {
+        "good.csv": CARDS + "1,AU-1,05/03/2025,MAGNA,1,2,3,x\n", "low.csv": "Reporte\n\nCliente:,ACME\n\n\n" + CARDS + "1,AU-2,05/03/2025,MAGNA,1,2,3,x\n",
+        "bare.csv": "1,AU-7,05/03/2025,MAGNA,1,2,3,x\n", "nul.csv": CARDS + "1,AU-9,05/03/2025,MAGNA,1,2,3,x\0\n", "empty.csv": ""},
+    "Supramax": {
+        "good.xls": "<table><tr><td>PLACAS</td><td>FECHA</td></tr><tr><td>AU-1</td><td>x</td></tr></table>",
+        "bare.xls": "<table><tr><td>AU-7</td><td>x</td></tr></table>", "nul.xls": "\0\1\2", "empty.xls": ""},
+}
+
+
+@pytest.mark.parametrize("system", sorted(FILES))
+def test_every_file_has_an_outcome(spark, tmp_path, system):
+    folder = tmp_path / "in ñ"
+    folder.mkdir()
+    for name, text in FILES[system].items():
+        (folder / name).write_text(text)
+    stored = spark.createDataFrame([], "Archivo_Origen string")
+    registry = spark.createDataFrame([], changed_files.REGISTRY)
+
+    def run(n):
+        rows, seen = consolidate.consolidate(spark, system, str(folder), stored, registry, dt.datetime(2025, 1, n))
+        rows.write.parquet(str(tmp_path / f"rows{n}"))
+        seen.write.parquet(str(tmp_path / f"seen{n}"))
+        return spark.read.parquet(str(tmp_path / f"rows{n}")), spark.read.parquet(str(tmp_path / f"seen{n}"))
+
+    stored, registry = run(1)
+    states = {r.path.rsplit("/", 1)[1].split(".")[0]: (r.state, r.problem) for r in registry.collect()}
+    assert states.pop("good") == ("read", None) and states.pop("bare") == ("no header", "no header row")
+    assert "empty" not in states  # Spark lists no files without bytes
+    if system == "Edenred":
+        assert states.pop("low") == ("read", None)
+    if system != "Supramax":
+        assert states.pop("nul") == ("torn", "not a text file")
+    if system == "Pase":
+        assert states.pop("open") == ("torn", "a cell of more than 131072 characters")
+    unit = {"Pase": "ECO", "Edenred": "Vehículo", "Supramax": "PLACAS"}[system]
+    first = {"Edenred": ["AU-1", "AU-2"]}.get(system, ["AU-1"])
+    assert sorted(r[unit] for r in stored.collect()) == first
+    # The files that could not be read come again, and count once they are mended.
+    ending = sorted(FILES[system])[0].rsplit(".", 1)[1]
+    (folder / f"bare.{ending}").write_text(FILES[system][f"good.{ending}"].replace("AU-1", "AU-7"))
+    stored, registry = run(2)
+    assert sorted(r[unit] for r in stored.collect()) == first + ["AU-7"]
+    days = {r.path.rsplit("/", 1)[1].split(".")[0]: (r.state, r.processed_at.day) for r in registry.collect()}
+    assert days["good"] == ("read", 1) and days["bare"] == ("read", 2)
+
+
+def test_jobs_stop_at_a_file_without_header(spark):
+    header = ["Fecha Transacción", "Mercancía", "Cantidad Mercancía", "Importe Transacción", "Núm Tarjeta", "Vehículo"]
+    good = [("2025/e/a.csv", 0, header), ("2025/e/a.csv", 1, ["05/03/2025", "MAGNA", "1", "2", "3", "AU-001"])]
+    kind = "path string, row_idx bigint, cells array<string>"
+    raw = spark.createDataFrame(good, kind)
+    assert unify.unify_edenred(raw)[1].count() == 1
+    assert unify.recover_edenred(raw, ledger(spark), 2025).count() == 1
+    lost = spark.createDataFrame(good + [("2025/e/b.csv", 0, ["x"])], kind)
+    for job in (lambda: unify.unify_edenred(lost)[0], lambda: unify.recover_edenred(lost, ledger(spark), 2025), lambda: unify.unify_supramax(lost)):
+        with pytest.raises(Exception, match="no header row in 2025/e/"):
+            job().collect()
+
+
 def test_archive_path_from_content(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Fecha;Fecha de cruce\n2024/01/01;2025/03/05\n2024/01/01;2025/03/05\n2024/01/01;2025/04/01\n")
     (tmp_path / "b.csv").write_text("x;y\n1;2\n")
