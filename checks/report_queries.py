@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from fleetbook.operators.positions import with_positions
 from fleetbook.operators import aggregates, joins
 from fleetbook.plans import cards, dashboard, recon, trips, yoy
 from fleetbook.sources.maps import json_map
@@ -101,27 +102,22 @@ SELECT * FROM c UNION ALL BY NAME SELECT 'Total' AS ECO, {_SUMS} FROM c"""
 
 @query("agg_report_totals", _TOTALS)
 def _(spark, sf):
-    sums = [f"{c}_{y}" for y in (A, B) for c in ("Regs", "Importe")]
-    return aggregates.with_total(yoy.compare_years(_month_detail(spark, sf), A, B), "ECO", sums)
+    return yoy.sheet_of(yoy.compare_systems(_month_detail(spark, sf), A, B))
 
 
 @query("sort_custom_rank", _WITH_DETAIL + f"""
 SELECT row_number() OVER (ORDER BY CASE Presencia WHEN 'AMBOS' THEN 1 WHEN 'SOLO_{B}' THEN 2 ELSE 3 END, ECO) AS pos,
   ECO, Presencia FROM ({_compare('Pase')})""")
 def _(spark, sf):
-    from pyspark.sql import Window
-
     report = yoy.compare_years(_month_detail(spark, sf), A, B, "Pase").select("ECO", "Presencia")
-    # One row per vehicle: the printed position of a report line.
-    place = F.row_number().over(Window.orderBy(*yoy.presence_order(A, B)))
-    return report.orderBy(*yoy.presence_order(A, B)).withColumn("pos", place.cast("bigint"))
+    return with_positions(report, yoy.presence_order(A, B))
 
 
 @query("sort_report", """
-SELECT MES_str, ECO_Limpio, Pase, Supramax, Edenred, "Google Sheets" FROM wide ORDER BY MES_str, ECO_Limpio""")
+SELECT MES_str, ECO_Limpio, Pase, Supramax, Edenred, "Google Sheets", row_number() OVER (ORDER BY MES_str, ECO_Limpio) AS pos FROM wide""")
 def _(spark, sf):
     wide = aggregates.pivot_systems(aggregates.monthly_by_system(v.ledger(spark, sf), "1900-01-01"))
-    return wide.orderBy("MES_str", "ECO_Limpio")
+    return with_positions(wide, ["MES_str", "ECO_Limpio"])
 
 
 # --- catalogue ---
@@ -171,7 +167,7 @@ def _(spark, sf):
     return yoy.with_original_names(check, _names(spark, sf))
 
 
-@query("job_yoy_report", f"""
+_REPORT = f"""
 WITH detail AS ({_DETAIL}), names AS ({_NAMES}), general AS ({_TWELVE}), cat AS ({_CATALOG}),
 lines AS (
   SELECT 'RESUMEN GENERAL' AS hoja, CAST(Mes AS VARCHAR) AS linea, Unidades_{A} AS a, Unidades_{B} AS b FROM general
@@ -183,10 +179,11 @@ lines AS (
   UNION ALL SELECT 'VALIDACION CATALOGO', c.ECO || ' ' || coalesce(ECO_Original, c.ECO), CAST(Total_Transacciones AS DOUBLE),
     Total_Importe FROM cat c LEFT JOIN names n ON n.ECO = c.ECO)
 SELECT hoja, linea, a, b FROM lines
-UNION ALL SELECT hoja, 'Total', {cents_sum('a')}, {cents_sum('b')} FROM lines WHERE hoja <> 'RESUMEN GENERAL' GROUP BY hoja""")
-def _(spark, sf):
-    sheets = yoy.yoy_report(v.ledger(spark, sf), v.catalog(spark, sf), _names(spark, sf), M, A, B)
+UNION ALL SELECT hoja, 'Total', {cents_sum('a')}, {cents_sum('b')} FROM lines WHERE hoja <> 'RESUMEN GENERAL' GROUP BY hoja"""
+
 
+def _lines(sheets):
+    """Text and both numbers of every line of the sheets."""
     def lines(title, df):
         if title == "RESUMEN GENERAL":
             text, a, b = F.col("Mes").cast("string"), f"Unidades_{A}", f"Unidades_{B}"
@@ -204,21 +201,35 @@ def _(spark, sf):
     return out
 
 
-@query("sink_report_tables", f"""
-WITH detail AS ({_DETAIL}), c AS ({_compare()})
+@query("job_yoy_report", _REPORT)
+def _(spark, sf):
+    return _lines(yoy.yoy_report(v.ledger(spark, sf), v.catalog(spark, sf), _names(spark, sf), M, A, B))
+
+
+@query("sink_report_tables", _REPORT)
+def _(spark, sf):
+    """All seven sheets, written and read back."""
+    from fleetbook.operators.reports import write_tables
+    from fleetbook.session import scratch_dir
+
+    sheets = yoy.yoy_report(v.ledger(spark, sf), v.catalog(spark, sf), _names(spark, sf), M, A, B)
+    paths = write_tables(sheets, scratch_dir(spark, "report"))
+    return _lines({title: spark.read.parquet(path) for title, path in paths.items()})
+
+
+@query("sink_report_csv", f"""
+WITH detail AS ({_DETAIL}), c AS ({_compare('Pase')})
 SELECT * FROM c UNION ALL BY NAME SELECT 'Total' AS ECO, {_SUMS} FROM c""")
 def _(spark, sf):
+    """A system's sheet as CSV and back, all columns."""
     from fleetbook.operators.reports import write_tables
     from fleetbook.session import scratch_dir
 
-    sums = [f"{c}_{y}" for y in (A, B) for c in ("Regs", "Importe")]
-    detail = _month_detail(spark, sf)
-    place = scratch_dir(spark, "report")
-    paths = write_tables({
-        "COMPARATIVA": aggregates.with_total(yoy.compare_years(detail, A, B), "ECO", sums),
-        "PASE": aggregates.with_total(yoy.compare_years(detail, A, B, "Pase"), "ECO", sums),
-    }, place)
-    return spark.read.parquet(paths["COMPARATIVA"])
+    sheet = yoy.sheet_of(yoy.compare_systems(_month_detail(spark, sf), A, B), "Pase")
+    paths = write_tables({"PASE": sheet}, scratch_dir(spark, "report"), "csv")
+    # An empty text and none are one in CSV; systems of a year without rows are an empty text.
+    back = spark.read.schema(sheet.schema).csv(paths["PASE"], header=True)
+    return back.withColumns({f"Sistemas_{y}": F.when(F.col("ECO") != "Total", F.coalesce(f"Sistemas_{y}", F.lit(""))) for y in (A, B)})
 
 
 # --- manual reconciliation ---

@@ -1,5 +1,7 @@
 """Incremental consolidation: only new and changed files are read, each with an outcome."""
 
+from pyspark.sql import functions as F
+
 from ..operators.filters import required
 from ..session import scratch_dir
 from ..sources import html, ragged
@@ -33,7 +35,8 @@ def _texts(skip_blank):
 
 def _sheets(spark, folder, glob, files, since):
     found = html.read_html_files(spark, folder, [glob.lstrip("*")], files=files.select("path"), since=since)
-    return found.join(files.select("path", "uri"), "path").select(files["uri"].alias("path"), "row_idx", "cells")
+    names = files.select(F.col("path").alias("file"), F.col("uri").alias("to"))
+    return found.join(names, found["path"] == names["file"]).select(F.col("to").alias("path"), "row_idx", "cells")
 
 
 SYSTEMS = {

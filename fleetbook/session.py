@@ -60,3 +60,11 @@ def shared_dir(spark):
 def scratch_dir(spark, label):
     """A new folder name below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df, label):
+    """A frame written once to the shared folder and read from there: what follows neither
+    repeats its work nor depends on the executors that did it."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -43,3 +43,32 @@ def test_report_scan_is_pruned(spark):
 
 def test_trip_flags_need_no_window(spark):
     assert "Window" not in plan(spark, "win_first_of_day_flags")
+
+
+def test_yearly_report_shuffles_little(spark):
+    text = plan(spark, "job_yoy_report")
+    assert text.count("Exchange hashpartitioning") <= 8 and text.count("Window") == 0
+    # The ledger is not among what the sheets read: they read three stored aggregates.
+    assert "Archivo_Origen" not in text
+
+
+@pytest.mark.parametrize("name", ["sort_custom_rank", "sort_report"])
+def test_positions_need_no_single_task(spark, name):
+    text = plan(spark, name)
+    assert "SinglePartition" not in text and "Window" not in text
+
+
+def test_positions_agree_with_sorting(spark):
+    from pyspark.sql import functions as F
+
+    from fleetbook.operators.positions import with_positions
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(5000).select(((F.col("id") * 7919) % 5003).alias("a"), (F.col("id") % 7).alias("b"))
+        got = with_positions(rows, [F.col("b").desc(), "a"]).collect()
+        assert len({r["pos"] for r in got}) == 5000 == len(got)
+        assert [(r["a"], r["b"]) for r in sorted(got, key=lambda r: r["pos"])] == sorted(((r["a"], r["b"]) for r in got), key=lambda t: (-t[1], t[0]))
+        assert with_positions(rows.limit(0), ["a"]).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
