@@ -9,13 +9,17 @@
 2. Every document gets posteriors of all domains (log odds divided by ``HEAT``, so they
    stay soft) and its number of words as token count.
 3. Rates: a document of n tokens and posteriors p adds ``rate * n * p`` to the domain
-   totals. Rates near 1, within their bounds, fit these expected totals to the targets in
-   least squares, each domain by its own target. Such rates are ``1 - p . price``, cut at
-   the bounds, with a price for each domain. Prices come from Newton steps on the dual
-   problem; rates at a bound are left out of its Gram matrix, and four step lengths are
-   tried in a pass. Targets that the bounds rule out are approached as closely as the
-   weight of ``RIDGE`` allows. A pass is an aggregate over the documents; only a few sums
-   reach the driver.
+   totals. Nonnegative rates fit these expected totals to the targets in least squares, each
+   domain by its own target, by projected gradient steps from rates of 1:
+   ``rate = max(0, rate - p . step)``, where ``step`` is a length times each domain's miss as a
+   share of its target. The length follows the last two steps (Barzilai and Borwein) and is
+   never below the one that always descends. A rate is the fold of the steps so far, so a
+   pass is one aggregate over the documents; every ``HELD`` steps the rates are written. Only
+   a few sums reach the driver.
+4. Where rates are bounded above too (``most``; the pipeline repeats no document), projected
+   steps leave misses of 0.2 to 5 percent after 60 passes, as most rates lie at the bound.
+   There rates are ``1 - p . price``, cut at the bounds; prices come from Newton steps on the
+   dual problem, without the rates at a bound in its Gram matrix, four step lengths a pass.
 
 Targets are domain totals as multiples of the present ones (``WEIGHTS``), or any totals.
 
@@ -40,6 +44,9 @@ HEAT = 2.0
 STEPS, NEAR = 60, 1e-5            # most passes; remaining miss, as a share of each domain's target
 LOOSE, RIDGE = 1e-1, 1e-5        # weight of rates near 1 against the targets: at first, at the end
 LENGTHS = (1.0, 1 / 4, 1 / 16, 1 / 64)
+HELD = 16                        # projected steps folded before the rates are written
+LONGEST, LAST = 1e3, 4           # longest step against the safe one; last passes, with safe steps
+STILL = 1e-12                    # mean squared move of the rates at which steps end
 
 
 def _words(docs):
@@ -138,17 +145,73 @@ def _totals(members, prices, most):
     return out
 
 
+def _folded(steps):
+    """Column (rate, the one a step before) after projected steps from the column ``rate``."""
+    def step(at, x):
+        down = sum((F.col(f"p_{d}") * x[d] for d in DOMAINS), F.lit(0.0))
+        return F.struct(F.greatest(F.lit(0.0), at["now"] - down).alias("now"), at["now"].alias("before"))
+
+    start = F.struct(F.col("rate").alias("now"), F.col("rate").alias("before"))
+    return F.when(F.col("n_tokens") > 0, F.aggregate(steps, start, step)).otherwise(start)
+
+
+_STEPS = "steps array<struct<" + ", ".join(f"{d}: double" for d in DOMAINS) + ">>"
+
+
+def _stepped(members, steps):
+    """The rows with ``at``, their rates after the steps. The steps come as the one row of a
+    frame, so the plan, and its compiled code, is the same in each pass."""
+    listed = members.sparkSession.createDataFrame([([tuple(map(float, x)) for x in steps],)], _STEPS)
+    return members.join(F.broadcast(listed)).withColumn("at", _folded("steps")).drop("steps")
+
+
+def descend(members, goal, totals, gram, scale):
+    """(members with their rates, totals): nonnegative rates by projected gradient steps."""
+    weight = F.col("copies") * F.col("n_tokens")
+    safe = 1 / max(np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max(), 1e-300)
+    members, steps, length = members.withColumn("rate", F.lit(1.0)), [], safe
+    miss = (totals - goal) / scale
+    for k in range(STEPS):
+        if (np.abs(miss) <= NEAR).all():
+            break
+        steps.append(length * miss)
+        at = F.col("at")
+        row = _stepped(members, steps).agg(
+            *[F.sum(weight * at["now"] * F.col(f"p_{d}")) for d in DOMAINS],
+            F.sum(weight * (at["now"] - at["before"]) * (at["now"] - at["before"])), F.sum(weight)).first()
+        if not row[-1]:
+            break
+        new, moved = np.array(row[:-2], float), row[-2]
+        bend = ((new - totals) / scale) @ (new - totals)
+        length = min(max(safe, moved / bend), LONGEST * safe) if bend > 0 and k < STEPS - LAST else safe
+        totals, miss = new, (new - goal) / scale
+        if moved <= STILL * row[-1]:
+            break
+        if len(steps) == HELD:
+            members, steps = stage(_stepped(members, steps).withColumn("rate", F.col("at.now")).drop("at"), "rates"), []
+    return _stepped(members, steps).withColumn("rate", F.col("at.now")).drop("at"), totals
+
+
 def fit_rates(members, targets=None, most=None):
-    """(rate column, totals reached, targets). ``most`` bounds the rates above, where
-    documents are not to be repeated."""
+    """(members with their rates, totals reached, targets). ``most`` bounds the rates above,
+    where documents are not to be repeated."""
     price = np.zeros(len(DOMAINS))
     (totals, gram, value), = _totals(members, [price], None)
     goal = np.array([targets[d] for d in DOMAINS]) if targets else totals * np.array([WEIGHTS[d] for d in DOMAINS])
-    if most is not None and most < 1:
-        (totals, gram, value), = _totals(members, [price], most)
     scale = np.maximum(goal, 1e-6 * max(totals.sum(), 1.0))
-    ridge = LOOSE
+    if most is None:
+        rated, totals = descend(members, goal, totals, gram, scale)
+    else:
+        if most < 1:
+            (totals, gram, value), = _totals(members, [price], most)
+        price, totals = _prices(members, goal, totals, gram, value, scale, most)
+        rated = members.withColumn("rate", _rate([float(x) for x in price], most)[0])
+    return rated, dict(zip(DOMAINS, totals)), dict(zip(DOMAINS, goal))
+
 
+def _prices(members, goal, totals, gram, value, scale, most):
+    """(prices, totals) of bounded rates, by Newton steps on the dual problem."""
+    price, ridge = np.zeros(len(DOMAINS)), LOOSE
     def dual(price, value):
         return value - price @ goal - 0.5 * ridge * (scale * price ** 2).sum()
 
@@ -165,7 +228,7 @@ def fit_rates(members, targets=None, most=None):
         if dual(tried[best], found[best][2]) <= dual(price, value):
             break
         price, (totals, gram, value) = tried[best], found[best]
-    return _rate([float(x) for x in price], most)[0], dict(zip(DOMAINS, totals)), dict(zip(DOMAINS, goal))
+    return price, totals
 
 
 def membership(docs, labels):
@@ -176,9 +239,8 @@ def membership(docs, labels):
 
 def rates(docs, labels, targets=None, most=None):
     """doc_id, th, copies, n_tokens, p_<domain> and rate of every distinct row."""
-    members = membership(docs, labels)
-    rate, _, _ = fit_rates(members, targets, most)
-    return members.withColumn("rate", rate)
+    rated, _, _ = fit_rates(membership(docs, labels), targets, most)
+    return rated
 
 
 def sample(docs, labels, targets=None, most=1.0):

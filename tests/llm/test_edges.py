@@ -257,6 +257,29 @@ def test_rates_meet_targets(spark):
     assert abs(reached["clean"] - 9000) < 200
 
 
+@pytest.mark.parametrize("targets", [None, {"clean": 6000.0, "toxic": 5000.0, "junk": 9000.0}, {"clean": 7500.0, "toxic": 900.0, "junk": 900.0}])
+def test_projected_steps_agree_with_the_dual_problem(spark, monkeypatch, targets):
+    monkeypatch.setattr(mixing, "HELD", 3)
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([0.4, 0.4, 0.4], 500)
+    n = rng.integers(0, 100, 500)
+    members = spark.createDataFrame(
+        [(i, 1 + i % 2, int(k), *map(float, q)) for i, (k, q) in enumerate(zip(n, p))],
+        "doc_id long, copies long, n_tokens long, p_clean double, p_toxic double, p_junk double")
+    rated, reached, goal = mixing.fit_rates(members, targets)
+    assert all(abs(reached[d] - goal[d]) <= 1e-3 * goal[d] for d in goal)
+    rows = rated.collect()
+    assert all(r["rate"] >= 0 and (r["n_tokens"] > 0 or r["rate"] == 1) for r in rows)
+    for d in goal:  # the rates are those whose totals were reported
+        assert abs(sum(r["rate"] * r["copies"] * r["n_tokens"] * r[f"p_{d}"] for r in rows) - reached[d]) < 1e-6 * goal[d]
+    # A bound that no rate comes near leaves the same problem, which prices solve.
+    rated, dual, _ = mixing.fit_rates(members, targets, most=1e6)
+    assert all(abs(reached[d] - dual[d]) <= 1e-3 * goal[d] for d in goal)
+    if targets is None:
+        other = {r["doc_id"]: r["rate"] for r in rated.collect()}
+        assert max(abs(other[r["doc_id"]] - r["rate"]) for r in rows if r["n_tokens"]) < 0.02
+
+
 def test_bounded_rates_keep_the_clean_total(spark):
     # Few toxic tokens, as in the pipeline: the fit must not stop while a target can be met.
     rows = [(i, 1, 100, 0.999 - 0.004 * (i % 7), 0.001 + 0.004 * (i % 7), 0.0) for i in range(990)]
@@ -265,12 +288,23 @@ def test_bounded_rates_keep_the_clean_total(spark):
     # Totals of rates that are 1 for all clean documents and 0 for most toxic ones.
     best = [min(1.0, max(0.0, 1 + r[3] - 3 * r[4])) for r in rows]
     targets = {d: sum(x * r[2] * r[3 + k] for x, r in zip(best, rows)) for k, d in enumerate(mixing.DOMAINS)}
-    rate, reached, goal = mixing.fit_rates(members, targets, most=1.0)
+    rated, reached, goal = mixing.fit_rates(members, targets, most=1.0)
     assert all(abs(reached[d] - goal[d]) <= 3e-4 * goal[d] for d in ("clean", "toxic"))
-    spread = members.select(rate.alias("r")).selectExpr("min(r)", "max(r)").first()
+    spread = rated.selectExpr("min(rate)", "max(rate)").first()
     assert 0 <= spread[0] and spread[1] <= 1
 
 
+def test_lengths_of_long_runs(spark):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json")
+    whole.encode_special_tokens = True
+    n = 1_000_000
+    texts = [" " * n, "\n" * n + "x", "a" + " " * n + "b" + "\t" * 3000 + "\n", " \n" * 2000 + "'s", "x" + "\u3000\x85" * 900 + "y", "\x1c" * 3000 + " z", "a" * 200_000]
+    got = {r["doc_id"]: r["n_tokens"] for r in lengths.encoded_lengths(docs_of(spark, list(enumerate(texts)))).collect()}
+    assert got == {k: len(whole.encode(t, add_special_tokens=False).ids) for k, t in enumerate(texts)}
+
+
 def test_topk(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=6).round(1).tolist()) for i in range(300)]
