@@ -8,11 +8,12 @@ sums go over runs of lengths first and then over the run totals, so no task hold
 The vocabulary is a rank file of a public tokenizer; its path is a parameter and must be
 readable on every executor.
 
-Defined cases: null and empty texts have length 0; repeated rows count each; text of
+Defined cases: null and empty texts have length 0; runs of white space may have any length; repeated rows count each; text of
 special tokens is ordinary text; no rows give no rows.
 """
 
 import base64
+import re
 
 import pyarrow as pa
 from pyspark.sql import Window, functions as F
@@ -23,6 +24,8 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how the public vocabulary splits text before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 RUN = 1024                       # lengths in a run of the running sums
+#: Runs of white space (the Unicode property) too long for the encoder's split pattern.
+LONG = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 
 _CODERS = {}
 
@@ -38,12 +41,24 @@ def coder(path, pattern=PATTERN):
     return _CODERS[path, pattern]
 
 
+def n_tokens(encoding, text):
+    """Number of tokens of a whole text. The split pattern makes one piece of a run of white
+    space, without its last character where a word follows; long runs, on which the pattern
+    would exhaust the stack, are cut out and encoded as that piece."""
+    n, at = 0, 0
+    for run in LONG.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        n += len(encoding.encode_ordinary(text[at:run.start()])) + len(encoding._encode_single_piece(text[run.start():end]))
+        at = end
+    return n + len(encoding.encode_ordinary(text[at:]))
+
+
 def encoded_lengths(docs, ranks=RANKS):
     """doc_id and n_tokens of every row."""
     def run(batches):
-        encode = coder(ranks).encode_ordinary
+        encoding = coder(ranks)
         for batch in batches:
-            lengths = [len(encode(text.as_py() or "")) for text in batch["text"]]
+            lengths = [n_tokens(encoding, text.as_py() or "") for text in batch["text"]]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(lengths, pa.int64())], ["doc_id", "n_tokens"])
 
     return texts(docs).mapInArrow(run, "doc_id long, n_tokens long")
