@@ -231,6 +231,23 @@ def _(spark, sf):
     return ingest.ingest(raw.unionByName(copies), v.merge_target(spark, sf), year=v.YEAR_A)
 
 
+@query("job_ingest_stored", rf"""
+SELECT {LEDGER}, NULL AS leidas, NULL AS completas, NULL AS en_periodo, NULL AS eco_valido FROM (
+  SELECT DISTINCT {LEDGER} FROM ledger_with_copies WHERE Archivo_Origen NOT LIKE 'z\_%' ESCAPE '\' AND year(Fecha) = {v.YEAR_A} AND Sistema <> 'Pase')
+UNION ALL
+SELECT {', '.join('NULL' for _ in LEDGER_COLS)}, count(*), count(*) FILTER (ok), count(*) FILTER (ok AND y), count(*) FILTER (ok AND y AND valid)
+FROM (SELECT Importe IS NOT NULL AND Fecha IS NOT NULL AS ok, coalesce(year(Fecha) = {v.YEAR_A}, false) AS y,
+  regexp_matches({norm_eco('ECO')}, '^(AU|CA)-\d{{3}}$') AS valid FROM batch WHERE Sistema <> 'Pase')""")
+def _(spark, sf):
+    """A batch loaded twice into a stored ledger, with the counts of its own pass."""
+    table, batch = _versioned(spark, "loaded"), v.batch(spark, sf).filter("Sistema <> 'Pase'")
+    for _ in range(2):
+        counts = ingest.load(batch, table, year=v.YEAR_A)
+    names = ("leidas", "completas", "en_periodo", "eco_valido")
+    told = spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
+    return table.read().unionByName(told, allowMissingColumns=True)
+
+
 @query("agg_stage_counts", rf"""
 SELECT count(*) AS leidas, count(*) FILTER (ok) AS completas, count(*) FILTER (ok AND y) AS en_periodo,
   count(*) FILTER (ok AND y AND valid) AS eco_valido

@@ -93,6 +93,21 @@ def _(spark, sf):
     return _mapped(df, "name", key=text.header_key(F.col("name")))
 
 
+#: Characters that a header may hold, and what is left of each.
+_FORMS = [("ế", "e"), ("Ǆ", "dz"), ("ﬁ", "fi"), ("½", "12"), ("㎏", "kg"), ("Ⅷ", "viii"), ("№", "no"), ("ẞ", ""), ("ｅ", "e"), ("𝐄", "e"), ("漢", ""), ("ĳ", "ij")]
+
+
+@query("fn_norm_header_forms", f"""
+SELECT conv_id, turn, regexp_replace(lower(strip_accents(text)), '[^a-z0-9]', '', 'g') ||
+  CASE (conv_id + turn) % {len(_FORMS)} {' '.join(f"WHEN {k} THEN '{plain}'" for k, (_, plain) in enumerate(_FORMS))} END || 'x' AS key
+FROM conversations WHERE text IS NOT NULL""")
+def _(spark, sf):
+    """Headers with ligatures, unit signs, full-width letters and stacked accents."""
+    rows = v.table(spark, sf, "conversations").filter("text IS NOT NULL")
+    form = F.get(F.array(*[F.lit(f) for f, _ in _FORMS]), ((F.col("conv_id") + F.col("turn")) % len(_FORMS)).cast("int"))
+    return rows.select("conv_id", "turn", text.header_key(F.concat("text", form, F.lit(" X"))).alias("key"))
+
+
 @query("fn_parse_money", _sql("ledger_raw", "importe_raw", amount=(
     "abs(TRY_CAST(replace(replace(importe_raw, '$', ''), ',', '') AS DOUBLE))")))
 def _(spark, sf):

@@ -1,5 +1,6 @@
 """Text clean-up: Column in, Column out."""
 
+import json
 import unicodedata
 
 from pyspark.sql import functions as F
@@ -68,23 +69,39 @@ def sanitize_path(c, default=NO_COMPANY):
     return F.when(text == "", F.lit(default)).otherwise(text)
 
 
-def _ascii_pairs():
-    """Accented letters below U+0250 and the ASCII letter each decomposes to."""
-    source, target = [], []
-    for code in range(0x80, 0x250):
+def _decompositions():
+    """What every character beyond ASCII leaves of its compatibility decomposition in ASCII:
+    (characters with one letter, those letters, {character: several letters})."""
+    source, target, several = [], [], {}
+    for code in range(0x80, 0x20000):  # no character beyond leaves any ASCII
+        if 0xD800 <= code < 0xE000:
+            continue
         plain = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
-        if len(plain) == 1:
+        if len(plain) == 1 and code < 0x10000:
             source.append(chr(code))
             target.append(plain)
-    return "".join(source), "".join(target)
+        elif plain:
+            several[chr(code)] = plain
+    return "".join(source), "".join(target), several
 
 
-_ACCENTED, _PLAIN = _ascii_pairs()
+_ACCENTED, _PLAIN, _SEVERAL = _decompositions()
+
+
+def _spelled_out(c):
+    """Ligatures, fractions, unit signs and letters beyond the basic plane as their letters. Only
+    texts that may hold one are taken apart."""
+    table = F.from_json(F.lit(json.dumps(_SEVERAL)), "map<string,string>")
+    letters = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
+    spelled = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    held = "[\\u00BC-\\u00BE\\u0132\\u0133\\u01C4-\\u01CC\\u01F1-\\u01F3]|[^\\x00-\\u024F]"
+    return F.when(c.rlike(held), spelled).otherwise(c)
 
 
 def header_key(c):
-    """Column name reduced to ``[a-z0-9]``: accents, case and signs do not matter."""
-    return F.regexp_replace(F.lower(F.translate(c, _ACCENTED, _PLAIN)), "[^a-z0-9]", "")
+    """Column name reduced to ``[a-z0-9]``: accents, case, signs and compatibility forms do not
+    matter."""
+    return F.regexp_replace(F.lower(F.translate(_spelled_out(c), _ACCENTED, _PLAIN)), "[^a-z0-9]", "")
 
 
 def loose_header(c):

@@ -7,7 +7,7 @@ from ..functions.dates import in_kpi, is_ytd, month_label, week_of_month
 from ..functions.eco import eco_key, normalize_eco_lzc
 from ..functions.keys import signature_expense
 from ..operators.filters import required, valid_eco
-from ..operators.joins import alias_table, full_outer_with_catalog, resolve_alias
+from ..operators.joins import alias_map, alias_table, by_alias_map, full_outer_with_catalog
 from ..operators.merge import insert_new, new_by_signature
 from ..operators.sets import union_sources
 from ..vocabulary import NO_ACTIVITY, NO_INFO, NOT_AVAILABLE
@@ -17,10 +17,12 @@ _KEY = ["ECO", "Fecha", "Concepto", "Tipo", "Importe", "Sistema", "Cantidad"]
 
 
 def standardize(source, aliases):
-    """A vendor's consolidated rows with resolved units, incomplete and unknown units
-    dropped, repeated rows removed."""
-    rows = resolve_alias(required(source.select(*_KEY)), "ECO", aliases)
-    return valid_eco(rows, lzc=True).dropDuplicates(_KEY)
+    """(rows, units): a vendor's consolidated rows with resolved units, incomplete and unknown
+    units dropped, repeated rows removed; and the units they have."""
+    rows = required(source.select(*_KEY))
+    names = alias_map(rows, "ECO", aliases)
+    units = valid_eco(names.select(F.col("eco").alias("ECO")), lzc=True).distinct()
+    return valid_eco(by_alias_map(rows, "ECO", names), lzc=True).dropDuplicates(_KEY), units
 
 
 def default_dimensions(df):
@@ -29,10 +31,11 @@ def default_dimensions(df):
         {"Importe": 0.0, "Concepto": NO_ACTIVITY, "Sistema": NOT_AVAILABLE})
 
 
-def join_master(expenses, master):
+def join_master(expenses, master, units=None):
     """Full outer join on letters and digits of the unit; the catalogue's spelling of the
     unit is shown. Missing keys share one text, so they pair up. Of columns that both sides
-    have, the catalogue's ends in ``_maestra`` and the ledger's in ``_consumo``."""
+    have, the catalogue's ends in ``_maestra`` and the ledger's in ``_consumo``. ``units`` holds the units that the
+    expenses have, where they are known."""
     def key(df):
         return F.coalesce(eco_key(F.col("ECO")), F.lit("NAN"))
 
@@ -42,7 +45,8 @@ def join_master(expenses, master):
     catalog = master.withColumn("ECO", normalize_eco_lzc(F.col("ECO")))
     catalog = catalog.withColumns({"ECO_key": key(catalog)}).withColumnRenamed("ECO", "_eco_master")
     facts = expenses.withColumns({"ECO_key": key(expenses)}).withColumnRenamed("ECO", "_eco_use")
-    joined = full_outer_with_catalog(facts, catalog, "ECO_key")
+    used = None if units is None else units.select(key(units).alias("ECO_key"))
+    joined = full_outer_with_catalog(facts, catalog, "ECO_key", used)
     rest = [c for c in master.columns if c != "ECO"] + [c for c in expenses.columns if c != "ECO"]
     return joined.select(F.coalesce("_eco_master", "_eco_use").alias("ECO"), *[f"`{c}`" for c in rest])
 
@@ -64,8 +68,9 @@ def dashboard(sources, master, position, as_of):
     """Dashboard rows from the vendors' consolidated rows and the maintenance rows.
     ``position`` orders the catalogue's rows."""
     aliases = alias_table(master, position)
-    expenses = union_sources(*[standardize(s, aliases) for s in sources])
-    table = default_dimensions(join_master(expenses, master.drop(position)))
+    rows, units = zip(*[standardize(s, aliases) for s in sources])
+    table = default_dimensions(join_master(
+        union_sources(*rows), master.drop(position), union_sources(*units)))
     table = calendar_columns(table, as_of).withColumn("Cantidad", zero_to_null(F.col("Cantidad")))
     return table.withColumnRenamed("Cantidad", "Litros")
 

@@ -1,5 +1,6 @@
 """Cleaning of a vendor batch and its merge into the ledger."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..functions.amounts import to_number
@@ -8,6 +9,8 @@ from ..functions.eco import is_unit
 from ..operators import filters
 from ..operators.dedup import dedup_batch
 from ..operators.merge import insert_new, new_in_batch
+from ..operators.versions import VersionedLedger
+from ..session import stored
 from ..vocabulary import LEDGER_SCHEMA
 
 
@@ -36,37 +39,64 @@ def coerce_types(df):
     return df.withColumns(casts)
 
 
-def clean_batch(df, year=None, month=None, late_rows=False, by_id=False, dedup=True):
+def clean_batch(df, year=None, month=None, late_rows=False, by_id=False, dedup=True, watch=None):
     """Project, coerce, drop incomplete rows, filter the period, normalise and check the
-    unit, and remove duplicates."""
-    rows = coerce_types(to_ledger_columns(df))
+    unit, and remove duplicates. An ``Observation`` as ``watch`` gets the counts of
+    ``stage_counts`` and ``unread_dates`` from the pass that reads the result."""
+    rows = to_ledger_columns(df)
+    if watch is None:
+        rows = coerce_types(rows)
+    else:
+        rows = coerce_types(rows.withColumn("_fecha", F.col("Fecha").cast("string")))
+        rows = rows.observe(watch, *_counts(year, month, late_rows), _unread()).drop("_fecha")
     rows = filters.required(filters.normalized_units(rows))
     rows = filters.in_period(rows, year, month, late_rows)
     return dedup_batch(rows, by_id) if dedup else rows
 
 
-def stage_counts(df, year=None, month=None, late_rows=False):
-    """How many rows survive each cleaning stage, in one pass over the batch."""
-    rows = coerce_types(to_ledger_columns(df))
+def _counts(year, month, late_rows):
+    """How many coerced rows survive each cleaning stage."""
     complete = F.col("Importe").isNotNull() & F.col("Fecha").isNotNull() & F.col("ECO").isNotNull()
     period = F.lit(True)
     if year is not None:
         by_month = month is not None and not late_rows
         period = in_month(F.col("Fecha"), year, month) if by_month else in_year(F.col("Fecha"), year)
     valid = is_unit(F.col("ECO"))
-    return rows.agg(
+    return [
         F.count("*").alias("leidas"),
         F.count_if(complete).alias("completas"),
         F.count_if(complete & period).alias("en_periodo"),
         F.count_if(complete & period & valid).alias("eco_valido"),
-    )
+    ]
+
+
+def _unread():
+    unread = F.col("Fecha").isNull() & F.coalesce(F.trim("_fecha") != "", F.lit(False))
+    return F.count_if(unread).alias("fecha_no_leida")
+
+
+def stage_counts(df, year=None, month=None, late_rows=False):
+    """How many rows survive each cleaning stage, in one pass over the batch."""
+    return coerce_types(to_ledger_columns(df)).agg(*_counts(year, month, late_rows))
 
 
 def unread_dates(df):
     """How many rows hold a date text that no reading understands; ``required`` drops them."""
     given = to_ledger_columns(df).withColumn("_fecha", F.col("Fecha").cast("string"))
-    unread = F.col("Fecha").isNull() & F.coalesce(F.trim("_fecha") != "", F.lit(False))
-    return coerce_types(given).agg(F.count_if(unread).alias("fecha_no_leida"))
+    return coerce_types(given).agg(_unread())
+
+
+def load(df, table, by_id=False, batch_of=None, **cleaning):
+    """Clean a batch and merge it into a stored ledger. The batch is read once: its cleaned rows
+    are written, counted on the way, and merged from there. Returns the counts of
+    ``stage_counts`` and ``unread_dates`` with ``unicas``, the rows that went into the merge."""
+    watch = Observation()
+    rows = stored(clean_batch(df, by_id=by_id, watch=watch, **cleaning), "batch")
+    if isinstance(table, VersionedLedger):
+        table.merge(rows, by_id, batch_of)
+    else:
+        table.merge(rows, by_id)
+    return {**watch.get, "unicas": rows.count()}
 
 
 def new_rows(batch, ledger, by_id=False):

@@ -72,3 +72,10 @@ def test_positions_agree_with_sorting(spark):
         assert with_positions(rows.limit(0), ["a"]).count() == 0
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_dashboard_plans_its_rows_once(spark):
+    text = plan(spark, "job_dashboard")
+    # One scan of the rows; the map of units and the catalogue have theirs.
+    assert text.count("fecha_raw") and len([x for x in text.splitlines() if "FileScan" in x and "fecha_raw" in x]) == 1
+    assert text.count("FileScan") <= 8

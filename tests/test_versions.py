@@ -9,6 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from fleetbook.operators.versions import Conflict, VersionedLedger
+from fleetbook.plans import ingest
 from fleetbook.streaming.ledger_stream import ingest_stream
 from fleetbook.vocabulary import LEDGER_COLS, LEDGER_SCHEMA
 
@@ -164,3 +165,15 @@ def test_a_stream_that_is_cut_off(spark, ledger, tmp_path, monkeypatch):
         run()
     assert units(ledger.read()) == ["AU-000", "AU-001", "AU-002", "AU-100", "AU-101", "AU-102"]
     assert list(ledger.state()["streams"].values()) == [2] and ledger.versions() == [1, 2, 3]
+
+
+def test_a_load_counts_its_own_pass(spark, ledger):
+    batch = spark.createDataFrame([
+        ("AU-1", "05/03/2025", "10.5", "Supramax"), ("AU-1", "05/03/2025", "10.5", "Supramax"), ("AU-2", "2025-03-06", "x", "Supramax"),
+        ("AU-3", "soon", "1", "Supramax"), ("AU-4", "05/04/2025", "1", "Supramax"), ("total", "05/03/2025", "1", "Supramax")],
+        "ECO string, Fecha string, Importe string, Sistema string").withColumn("Concepto", F.lit("COMBUSTIBLE"))
+    for _ in range(2):
+        counts = ingest.load(batch, ledger, year=2025, month=3, batch_of=None)
+        assert counts == {"leidas": 6, "completas": 4, "en_periodo": 3, "eco_valido": 2, "fecha_no_leida": 1, "unicas": 1}
+    assert units(ledger.read()) == ["AU-001"]
+    assert ingest.stage_counts(batch, 2025, 3).first() == (6, 4, 3, 2) and ingest.unread_dates(batch).first()[0] == 1
