@@ -7,7 +7,7 @@ from ..operators.filters import file_type, required, same_year_as_path
 from ..operators.merge import insert_new
 from ..operators.sets import combine_distinct
 from ..operators.windows import prefer_layout
-from ..sources.headers import fixed_headers, marker_headers, preamble_value, with_header
+from ..sources.headers import fixed_headers, marker_headers, preamble_value, require_header
 from ..sources.paths import company_segment, path_period
 from ..sources.vendors import CARD_MARKER, clean_edenred, clean_pase, edenred_rows, pase_consolidated, supramax_rows
 from .ingest import clean_batch, new_rows
@@ -30,14 +30,14 @@ def unify_pase(raw, year=None):
 
 def unify_supramax(raw):
     """All fuel exports as one frame of their named columns and the file name. A file without
-    a header row fails the job when the frame is read."""
-    return supramax_rows(with_header(raw, marker_headers, "PLACAS"))
+    a header row fails the job."""
+    return supramax_rows(require_header(raw, marker_headers, "PLACAS"))
 
 
 def _card_rows(raw, header_row):
     """Card exports by their own header row, or a given one; a file without it fails the job."""
     find = (marker_headers, CARD_MARKER) if header_row is None else (fixed_headers, header_row)
-    return edenred_rows(with_header(raw, *find), header_row)
+    return edenred_rows(require_header(raw, *find), header_row)
 
 
 def unify_edenred(raw, header_row=None):

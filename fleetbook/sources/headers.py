@@ -82,6 +82,15 @@ def with_header(raw, find, *args):
     return raw.join(told, ["path", "row_idx"], "left").filter("_lost is null").drop("_lost")
 
 
+def require_header(raw, find, *args):
+    """The raw rows again; fails at once, naming a file, if ``find(raw, *args)`` names no header
+    row for it. One path reaches the driver."""
+    lost = raw.select("path").distinct().join(find(raw, *args).select("path"), "path", "left_anti").first()
+    if lost:
+        raise ValueError(f"no header row in {lost['path']}")
+    return raw
+
+
 def keyword_headers(raw, plate_words=("placa",), tag_words=("tag", "identificador", "tarjeta"), rows=10):
     """Header frame with ``plate_pos`` and ``tag_pos``. The header is the first record, or
     one of the next ``rows``, that names both a plate and a tag column. In files without

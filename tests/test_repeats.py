@@ -186,14 +186,14 @@ def test_every_file_has_an_outcome(spark, tmp_path, system):
 
 def test_jobs_stop_at_a_file_without_header(spark):
     header = ["Fecha Transacción", "Mercancía", "Cantidad Mercancía", "Importe Transacción", "Núm Tarjeta", "Vehículo"]
-    good = [("2025/e/a.csv", 0, header), ("2025/e/a.csv", 1, ["05/03/2025", "MAGNA", "1", "2", "3", "AU-001"])]
+    good = [("Edenred/2025/e/a.csv", 0, header), ("Edenred/2025/e/a.csv", 1, ["05/03/2025", "MAGNA", "1", "2", "3", "AU-001"])]
     kind = "path string, row_idx bigint, cells array<string>"
     raw = spark.createDataFrame(good, kind)
     assert unify.unify_edenred(raw)[1].count() == 1
     assert unify.recover_edenred(raw, ledger(spark), 2025).count() == 1
-    lost = spark.createDataFrame(good + [("2025/e/b.csv", 0, ["x"])], kind)
+    lost = spark.createDataFrame(good + [("Edenred/2025/e/b.csv", 0, ["x"])], kind)
     for job in (lambda: unify.unify_edenred(lost)[0], lambda: unify.recover_edenred(lost, ledger(spark), 2025), lambda: unify.unify_supramax(lost)):
-        with pytest.raises(Exception, match="no header row in 2025/e/"):
+        with pytest.raises(Exception, match="no header row in Edenred/2025/e/"):
             job().collect()
 
 
