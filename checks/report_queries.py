@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from fleetbook.operators.positions import with_positions
 from fleetbook.operators import aggregates, joins
 from fleetbook.plans import cards, dashboard, recon, trips, yoy
+from fleetbook.session import scratch_dir
 from fleetbook.sources.maps import json_map
 
 from . import views as v
@@ -537,6 +538,63 @@ def _(spark, sf):
     return _dashboard(spark, sf)
 
 
+_EXPORTED = f"""
+SELECT {_RAW_UNIT} AS raw, Fecha, CASE Sistema WHEN 'Pase' THEN 'PEAJES' ELSE 'COMBUSTIBLE' END AS Concepto,
+  CASE WHEN Sistema <> 'Pase' THEN tipo_raw END AS Tipo, Importe, Sistema,
+  CASE WHEN Sistema <> 'Pase' THEN Cantidad END AS Cantidad
+FROM ({_TYPED}) WHERE Sistema <> 'Google Sheets'"""
+
+
+@query("job_dashboard_run", rf"""
+WITH alias AS ({_ALIAS}), r AS ({_resolved('Fecha, Concepto, Tipo, Importe, Sistema, Cantidad', _EXPORTED)}),
+f AS (SELECT DISTINCT ECO, Fecha, Concepto, Tipo, Importe, Sistema, Cantidad FROM r
+  WHERE Fecha IS NOT NULL AND Importe IS NOT NULL AND regexp_matches(ECO, '^(AU|CA)-\d{{3}}(\s*LZC)?$')
+  UNION ALL SELECT ECO, Fecha, 'MANTENIMIENTO', NULL, Importe, 'Excel Mantenimientos', NULL FROM (
+    SELECT DISTINCT l_orderkey, eco_raw, {norm_eco_lzc('eco_raw')} AS ECO, CAST(l_shipdate AS DATE) AS Fecha,
+      CAST(replace(replace(replace(importe_raw, '$', ''), ',', ''), '-', '') AS DOUBLE) AS Importe
+    FROM ledger_raw WHERE Sistema = 'Google Sheets') WHERE regexp_matches(ECO, '^(AU|CA)-\d{{3}}(\s*LZC)?$')),
+k AS (SELECT *, regexp_replace(ECO, '[^A-Z0-9]', '', 'g') AS k FROM f),
+m AS (SELECT * EXCLUDE (n), n AS shown, regexp_replace(n, '[^A-Z0-9]', '', 'g') AS k FROM (
+  SELECT *, {norm_eco_lzc('ECO')} AS n FROM master)),
+d AS (SELECT coalesce(shown, k.ECO) AS ECO, Empresa, Sucursal, Placas, Fecha, Concepto, Tipo, Importe, Sistema, Cantidad
+  FROM k LEFT JOIN m USING (k)
+  UNION ALL SELECT shown, Empresa, Sucursal, Placas, NULL, 'SIN ACTIVIDAD', NULL, 0, 'N/A', NULL FROM m
+    WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.k = m.k AND year(k.Fecha) < {B}))
+SELECT * REPLACE (coalesce(Empresa, 'SIN INFORMACIÓN') AS Empresa, coalesce(Sucursal, 'SIN INFORMACIÓN') AS Sucursal) RENAME (Cantidad AS Litros),
+  CAST(month(Fecha) AS INT) AS Mes, CAST(coalesce((day(Fecha) - 1) // 7 + 1, 0) AS INT) AS Semana_Mes FROM d""")
+def _(spark, sf):
+    """The whole job twice on one stored report: exports of three systems and the maintenance
+    sheet up to a year, then all of them, and all of them once more."""
+    raw = _with_aliases(spark, sf)
+    day = F.to_date(F.col("l_shipdate"))
+    amount = F.translate("importe_raw", "$,-", "")
+    columns = {
+        "Pase": [F.col("ECO").alias("No. economico"), F.col("fecha_raw").alias("Fecha de cruce"),
+                 amount.alias("Importe al 100"), F.col("tarjeta_raw").alias("Tarjeta IDMX")],
+        "Supramax": [F.col("ECO").alias("PLACAS"), F.col("fecha_raw").alias("FECHA"), amount.alias("IMPORTE"),
+                     F.col("Cantidad").alias("CANTIDAD"), F.col("tipo_raw").alias("PRODUCTO")],
+        "Edenred": [F.col("ECO").alias("Vehículo"), F.col("fecha_raw").alias("Fecha Transacción"),
+                    amount.alias("Importe Transacción"), F.col("Cantidad").alias("Cantidad Mercancía"),
+                    F.col("tipo_raw").alias("Mercancía")],
+    }
+    listed = v.master(spark, sf).select("ECO", "Empresa", "Sucursal", "Placas", "Supramax ID", "pos")
+    report = scratch_dir(spark, "dashboard")
+    for rows in (raw.filter(F.year(day) < B), raw, raw):
+        exports = {}
+        for system, names in columns.items():
+            exports[system] = scratch_dir(spark, "export") + ".csv"
+            rows.filter(F.col("Sistema") == system).select(*names).write.options(
+                header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(exports[system])
+        sheet = rows.filter("Sistema = 'Google Sheets'").select(
+            F.col("eco_raw").alias("No Eco"), F.date_format("l_shipdate", "dd/MM/yyyy").alias("Fecha servicio"),
+            amount.alias("PrecioNeto"), "l_orderkey")
+        kept, _ = dashboard.run(
+            spark, exports, sheet.union(sheet.filter("l_orderkey % 4 = 0")), listed, "pos", v.AS_OF, report)
+    return kept.read().withColumn("Fecha", F.to_date("Fecha")).select(
+        "ECO", "Empresa", "Sucursal", "Placas", "Fecha", "Concepto", "Tipo", "Importe", "Sistema", "Litros",
+        "Mes", "Semana_Mes")
+
+
 @query("join_full_dashboard", """
 SELECT coalesce(m.ECO, f.ECO) AS ECO, m.Empresa, Sucursal, f.Fecha, f.Importe
 FROM master m FULL JOIN ledger f ON regexp_replace(m.ECO, '[^A-Z0-9]', '', 'g') = regexp_replace(f.ECO, '[^A-Z0-9]', '', 'g')

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from fleetbook.functions.amounts import sum_cents
 from fleetbook.plans import consolidate, tags, unify
 from fleetbook.streaming import changed_files
-from fleetbook.session import scratch_dir
-from fleetbook.sources import archive, headers, html, maps, ragged, vendors
+from fleetbook.session import scratch_dir, stored
+from fleetbook.sources import archive, headers, html, maps, ragged, tables, vendors
 
 from . import views as v
 from .registry import query
@@ -594,6 +594,35 @@ def _(spark, sf):
         maps.pick_table(stats, ["Datos_Unidad", "N7", "N3"]).select(F.lit("preferida"), "name"))
 
 
+@query("src_best_table_files", """
+WITH c AS (SELECT l_orderkey, count(*) FILTER (l_linenumber % 3 = 0) AS n1, count(*) FILTER (l_linenumber % 2 = 0) AS n2
+  FROM ledger_raw GROUP BY 1)
+SELECT l_orderkey, CASE WHEN n1 >= n2 THEN 1 ELSE 2 END AS tbl,
+  CASE WHEN n1 >= n2 THEN fecha_raw || '|' || CASE WHEN l_linenumber % 3 = 0 THEN trim(eco_raw) ELSE '' END || '|nota'
+    ELSE CASE WHEN l_linenumber % 2 = 0 THEN trim(eco_raw) ELSE '' END || '|' || importe_raw END AS cells
+FROM ledger_raw JOIN c USING (l_orderkey)""")
+def _(spark, sf):
+    """Files with a table without units, and two with units in different columns."""
+    eco, odd, even = F.col("eco_raw"), F.col("l_linenumber") % 3 == 0, F.col("l_linenumber") % 2 == 0
+
+    def line(*cells):
+        return F.concat(F.lit("<tr><td>"), F.concat_ws("</td><td>", *cells), F.lit("</td></tr>"))
+
+    blank = F.lit("")
+    files = v.ledger_raw(spark, sf).groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+        "l_linenumber", line(F.col("fecha_raw"), F.when(odd, eco).otherwise(blank), F.lit(" nota")).alias("a"),
+        line(F.when(even, eco).otherwise(blank), F.col("importe_raw")).alias("b")))).alias("r"))
+    page = F.concat(
+        F.lit("<table><tr><th>Concepto</th><th>Total</th><th>x</th><th>y</th></tr><tr><td>a</td><td>1</td><td>AU-001</td><td>2</td></tr></table>"
+              "<table><tr><th>Fecha</th><th>No. Económico</th><th>Nota</th></tr>"), F.array_join("r.a", ""),
+        F.lit("</table><table><tr><th> ECO </th><th>Importe</th></tr>"), F.array_join("r.b", ""), F.lit("</table>"))
+    pages = files.select(F.col("l_orderkey").cast("string").alias("path"), page.alias("html"))
+    rows = tables.of_best_tables(stored(html.html_table_rows(pages, "path", "html"), "tables")).filter("row_idx > 0")
+    return rows.select(
+        F.col("path").cast("bigint").alias("l_orderkey"), F.col("table").alias("tbl"),
+        F.array_join("cells", "|").alias("cells"))
+
+
 # --- archive ---
 
 

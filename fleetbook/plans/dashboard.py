@@ -1,4 +1,5 @@
-"""The dashboard table: ledger joined with the master catalogue."""
+"""The dashboard table: ledger joined with the master catalogue, and the stored report that
+grows by the rows it does not hold yet."""
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,8 @@ from ..operators.filters import required, valid_eco
 from ..operators.joins import alias_map, alias_table, by_alias_map, full_outer_with_catalog
 from ..operators.merge import insert_new, new_by_signature
 from ..operators.sets import union_sources
+from ..session import stored
+from ..sources.vendors import clean_maintenance, read_consolidated
 from ..vocabulary import NO_ACTIVITY, NO_INFO, NOT_AVAILABLE
 
 DIMENSIONS = ["Dirección", "Empresa", "Sucursal"]
@@ -64,11 +67,15 @@ def calendar_columns(df, as_of):
     })
 
 
-def dashboard(sources, master, position, as_of):
-    """Dashboard rows from the vendors' consolidated rows and the maintenance rows.
-    ``position`` orders the catalogue's rows."""
+def dashboard(sources, master, position, as_of, maintenance=None):
+    """Dashboard rows from the vendors' consolidated rows and the maintenance rows, which
+    are complete and hold units already (``vendors.clean_maintenance``). ``position`` orders
+    the catalogue's rows."""
     aliases = alias_table(master, position)
-    rows, units = zip(*[standardize(s, aliases) for s in sources])
+    parts = [standardize(s, aliases) for s in sources]
+    if maintenance is not None:
+        parts.append((maintenance.select(*_KEY), maintenance.select("ECO").distinct()))
+    rows, units = zip(*parts)
     table = default_dimensions(join_master(
         union_sources(*rows), master.drop(position), union_sources(*units)))
     table = calendar_columns(table, as_of).withColumn("Cantidad", zero_to_null(F.col("Cantidad")))
@@ -83,3 +90,50 @@ def expense_signature(df):
 def append_unseen(existing, table):
     """The stored report with the rows it does not hold yet."""
     return insert_new(existing, new_by_signature(table, existing, expense_signature))
+
+
+PERIOD = "periodo"
+_NO_DAY = "sin fecha"
+
+
+class StoredReport:
+    """A report in a Parquet folder, partitioned by month; rows without a day have a
+    partition of their own. A report that was written before the calendar columns were
+    added is replaced by the next table, others only grow."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def exists(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
+    def read(self):
+        return self.spark.read.option("mergeSchema", True).parquet(self.path).drop(PERIOD)
+
+    def append(self, table):
+        """Add the rows of ``table`` whose signature is not stored; how many. Only the stored
+        months that the table has rows of are read. A run that failed is run again: what it
+        had added is not added twice."""
+        month = F.coalesce(F.date_format("Fecha", "yyyy-MM"), F.lit(_NO_DAY))
+        table = stored(table.withColumn(PERIOD, month), "report")
+        new, mode = table, "overwrite"
+        if self.exists():
+            held = self.spark.read.option("mergeSchema", True).parquet(self.path)
+            if "Semana_Mes" in held.columns and PERIOD in held.columns:
+                held = held.join(table.select(PERIOD).distinct(), PERIOD, "left_semi")
+                new, mode = new_by_signature(table, held, expense_signature), "append"
+        new = stored(new, "unseen")
+        new.hint("rebalance", PERIOD).write.partitionBy(PERIOD).mode(mode).parquet(self.path)
+        return new.count()
+
+
+def run(spark, exports, sheet, master, position, as_of, report):
+    """The whole job: consolidated exports by system (``{"Pase": path, ...}``), the raw
+    maintenance sheet or None, and the catalogue become dashboard rows; those that the stored
+    report at ``report`` does not hold are added. Returns (report, rows added)."""
+    sources = [read_consolidated(spark, path, system) for system, path in exports.items()]
+    maintenance = None if sheet is None else clean_maintenance(sheet, "Excel Mantenimientos")
+    kept = StoredReport(spark, report)
+    added = kept.append(dashboard(sources, master, position, as_of, maintenance))
+    return kept, added

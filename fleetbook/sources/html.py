@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.text import drop_trailing_dots, strip
 from ..operators.dedup import keep_first
+from ..session import stored
+from .tables import of_best_tables
 
+BEST = "best"
 _CHUNK = 5000
 
 
@@ -150,6 +153,7 @@ def html_table_rows(df, path, html, table=None):
 def read_html_files(spark, path, suffixes=None, year=None, table=0, files=None, since=None):
     """Raw rows ``(path, row_idx, cells)`` of one table of each HTML file below ``path``, as
     vendors give them under spreadsheet names. Text is UTF-8 where it can be, else Latin-1.
+    ``table`` is the table's number in its file, or ``BEST``: the one with most units.
     ``suffixes``, ``year`` and ``since`` (a least modification time) choose files before any is
     opened; ``files`` is a frame with the ``path`` of those that are wanted."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
@@ -164,7 +168,11 @@ def read_html_files(spark, path, suffixes=None, year=None, table=0, files=None,
         found = found.filter(F.col("_metadata.file_path").contains(f"/{year}/"))
     utf8 = F.is_valid_utf8(F.col("content").cast("string"))
     text = F.when(utf8, F.col("content").cast("string")).otherwise(F.decode("content", "ISO-8859-1"))
-    rows = html_table_rows(found.select("path", text.alias("html")), "path", "html", table)
+    pages = found.select("path", text.alias("html"))
+    if table == BEST:
+        rows = of_best_tables(stored(html_table_rows(pages, "path", "html"), "tables"))
+    else:
+        rows = html_table_rows(pages, "path", "html", table)
     return rows.select("path", "row_idx", "cells")
 
 

@@ -79,3 +79,25 @@ def test_dashboard_plans_its_rows_once(spark):
     # One scan of the rows; the map of units and the catalogue have theirs.
     assert text.count("fecha_raw") and len([x for x in text.splitlines() if "FileScan" in x and "fecha_raw" in x]) == 1
     assert text.count("FileScan") <= 8
+
+
+def test_a_stored_report_grows_by_unseen_rows(spark, tmp_path):
+    """Rows are added once, a run after a failure adds the rest, rows without a day have a
+    partition; a report without the calendar columns is replaced."""
+    from fleetbook.plans.dashboard import StoredReport
+
+    kinds = "ECO string, Fecha timestamp, Concepto string, Importe double, Sistema string, Litros double, Semana_Mes int"
+    rows = spark.sql("""SELECT 'AU-' || id AS ECO, timestamp'1998-01-30' + make_interval(0, 0, 0, CAST(id AS INT)) AS Fecha,
+        'PEAJES' AS Concepto, CAST(id AS DOUBLE) AS Importe, 'Pase' AS Sistema, CAST(NULL AS DOUBLE) AS Litros, 1 AS Semana_Mes
+        FROM range(5)""")
+    idle = spark.createDataFrame([("AU-9", None, "SIN ACTIVIDAD", 0.0, "N/A", None, 0)], kinds)
+    report = StoredReport(spark, str(tmp_path / "r"))
+    assert not report.exists()
+    assert report.append(rows.filter("Importe < 2").unionByName(idle)) == 3
+    assert report.append(rows.unionByName(idle)) == 3
+    assert report.append(rows.unionByName(idle)) == 0
+    assert report.append(idle.limit(0)) == 0
+    assert sorted(r.ECO for r in report.read().collect()) == ["AU-0", "AU-1", "AU-2", "AU-3", "AU-4", "AU-9"]
+    rows.drop("Semana_Mes").write.parquet(str(tmp_path / "old"))
+    old = StoredReport(spark, str(tmp_path / "old"))
+    assert old.append(idle) == 1 and [r.ECO for r in old.read().collect()] == ["AU-9"]

@@ -222,3 +222,32 @@ def test_manifest_and_changed_files(spark, tmp_path):
     fresh = changed_files.changed(again, registry)
     assert [r.path[-5:] for r in fresh.collect()] == ["b.csv"]
     assert changed_files.registered(registry, fresh, "u").count() == 2
+
+
+def test_the_best_of_several_html_tables(spark, tmp_path):
+    """Most units win, then most columns, then the first; a preferred table of a file that has
+    units there goes first; files without a unit column give no rows."""
+    from fleetbook.sources import tables
+
+    def table(*rows):
+        return "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
+
+    none = table(("Total", "Suma"), ("AU-001", "9"))
+    one = table(("Fecha", "No. Económico"), ("x", "AU-1"), ("y", " "))
+    two = table(("ECO", "Importe", "Nota"), ("CA-1", "1", ""), ("CA-2", "2"))
+    put(tmp_path, "a.xls", none + one + two)
+    put(tmp_path, "b.xls", two + one + two)
+    put(tmp_path, "c.xls", none)
+    put(tmp_path, "d.xls", table(("ECO",)) + none)
+    put(tmp_path, "e.xls", "")
+    raw = html.read_html_files(spark, str(tmp_path), [".xls"], table=html.BEST)
+    got = {(r.path[-5:], r.row_idx): r.cells for r in raw.collect()}
+    assert got == {
+        ("a.xls", 0): ["ECO", "Importe", "Nota"], ("a.xls", 1): ["CA-1", "1", ""], ("a.xls", 2): ["CA-2", "2"],
+        ("b.xls", 0): ["ECO", "Importe", "Nota"], ("b.xls", 1): ["CA-1", "1", ""], ("b.xls", 2): ["CA-2", "2"],
+        ("d.xls", 0): ["ECO"]}
+    rows = spark.createDataFrame(
+        [("a", 0, 0, ["ECO"]), ("a", 0, 1, ["AU-1"]), ("a", 1, 0, ["ECO"]), ("b", 1, 0, ["x"]), ("b", 0, 0, ["ECO"])],
+        "path string, table int, row_idx long, cells array<string>")
+    best = tables.best_tables(tables.table_stats(rows), preferred=(1,))
+    assert {(r.path, r.table) for r in best.collect()} == {("a", 1), ("b", 0)}
