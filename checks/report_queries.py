@@ -564,7 +564,7 @@ SELECT * REPLACE (coalesce(Empresa, 'SIN INFORMACIÓN') AS Empresa, coalesce(Suc
   CAST(month(Fecha) AS INT) AS Mes, CAST(coalesce((day(Fecha) - 1) // 7 + 1, 0) AS INT) AS Semana_Mes FROM d""")
 def _(spark, sf):
     """The whole job twice on one stored report: exports of three systems and the maintenance
-    sheet up to a year, then all of them, and all of them once more."""
+    sheet up to a year, then all of them."""
     raw = _with_aliases(spark, sf)
     day = F.to_date(F.col("l_shipdate"))
     amount = F.translate("importe_raw", "$,-", "")
@@ -579,7 +579,7 @@ def _(spark, sf):
     }
     listed = v.master(spark, sf).select("ECO", "Empresa", "Sucursal", "Placas", "Supramax ID", "pos")
     report = scratch_dir(spark, "dashboard")
-    for rows in (raw.filter(F.year(day) < B), raw, raw):
+    for rows in (raw.filter(F.year(day) < B), raw):
         exports = {}
         for system, names in columns.items():
             exports[system] = scratch_dir(spark, "export") + ".csv"
