@@ -16,7 +16,9 @@ over the shard. Tables of one row a block have at most ``MOST_BLOCKS`` rows, so
 broadcast; texts are shuffled once, when the old layout is written.
 
 Defined cases: a null text has size 1; null doc_ids are placed like others and come first
-in a block; repeated rows are separate documents; no rows give no rows and an empty plan.
+in a block; repeated rows are separate documents, those equal in doc_id and text share a
+block; no rows give no rows and an empty plan. Columns may have any names; a ``shard`` or
+``slot`` of the input is replaced.
 """
 
 import heapq
@@ -105,15 +107,20 @@ def store(docs, old=None, shards=OLD):
     """Write ``docs`` as a table of block files below a folder per old shard; its path.
 
     ``old`` is a column with the present shard (0 to ``shards`` - 1); the default deals by
-    the checksum of doc_id. A row's block depends on its doc_id and the number of rows."""
+    the checksum of doc_id. A row's block depends on its doc_id, its text and the number of
+    rows; a task has one block or a few. The columns of ``docs`` are kept in one, ``row``,
+    so that none of their names can clash."""
     if old is None:
         old = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % shards, F.lit(0))
     blocks = min(MOST_BLOCKS // shards, max(1, -(-docs.count() // (BLOCK_ROWS * shards))))
-    inside = Window.partitionBy("__old", "__block").orderBy(F.desc("__size"), "doc_id", "text")
+    text = F.col("text").cast("string")
+    rows = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), old.cast("int").alias("__old"),
+        F.pmod(F.xxhash64(F.col("doc_id"), text, F.lit(11)), F.lit(blocks)).cast("int").alias("__block"),
+        size_of(text).alias("__size"))
+    inside = Window.partitionBy("__old", "__block").orderBy(F.desc("__size"), "row.doc_id", "row.text")
     table = (
-        docs.withColumn("__old", old.cast("int"))
-        .withColumn("__block", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(blocks)).cast("int"))
-        .withColumn("__size", size_of(F.col("text").cast("string")))
+        rows.repartition(min(MOST_BLOCKS, 2 * blocks * shards), "__old", "__block")
         .withColumn("__place", F.row_number().over(inside))
         .withColumn("__upto", F.sum("__size").over(inside.rowsBetween(Window.unboundedPreceding, 0))))
     path = scratch_dir(docs.sparkSession, "sharded")
@@ -147,8 +154,7 @@ def _placed(table, pieces):
         F.col("__old").alias("o"), F.col("__block").alias("b"), "shard", "from", "to", "first"))
     at = F.col("__place")
     joined = table.join(pieces, (F.col("__old") == F.col("o")) & (F.col("__block") == F.col("b")) & at.between(F.col("from"), F.col("to")))
-    keep = [c for c in table.columns if not c.startswith("__")]
-    return joined.select(*keep, "shard", (F.col("first") + at - F.col("from")).cast("long").alias("slot"))
+    return joined.select("row", "shard", (F.col("first") + at - F.col("from")).cast("long").alias("slot"))
 
 
 def rewrite(table, pieces):
@@ -161,8 +167,9 @@ def rewrite(table, pieces):
     spark, path = table.sparkSession, scratch_dir(table.sparkSession, "resharded")
     anew = _placed(table.join(moved, ["__old", "__block"], "left_semi"), pieces)
     anew.write.partitionBy("shard").parquet(path)
-    return _placed(table.join(kept, ["__old", "__block"], "left_semi"), pieces).unionByName(
+    placed = _placed(table.join(kept, ["__old", "__block"], "left_semi"), pieces).unionByName(
         spark.read.schema(anew.schema).parquet(path))
+    return placed.select("row.*", "shard", "slot")
 
 
 def reshard(docs, old=None, shards=OLD, new=NEW):
