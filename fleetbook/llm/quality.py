@@ -124,12 +124,20 @@ def held_out(doc_id):
 
 
 def train(docs, labels, sample=SAMPLE):
-    """Weights as an array, learned from at most ``sample`` rows outside the held-out part."""
+    """Weights as an array, learned from at most ``sample`` different rows of ``docs`` outside
+    the held-out part. Labels of absent documents spend none of the sample, and a doc_id on
+    very many rows gives no more than its share of it."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
-        .filter("label IN (0, 1) AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
-        .withColumn("h", F.xxhash64("doc_id", F.lit(3))).orderBy("h", "doc_id", "label").limit(sample))
-    rows = stage(texts(docs).join(stage(known, "labels"), "doc_id").select("h", "label", "text"), "sample")
+        .filter("label IN (0, 1) AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id"))).distinct())
+    named = texts(docs).withColumn("th", F.xxhash64("text"))
+    # Only short rows are ordered; the texts of those chosen are fetched after.
+    chosen = (
+        named.select("doc_id", "th").join(known, "doc_id").distinct()
+        .withColumn("h", F.xxhash64("doc_id", F.lit(3))).orderBy("h", "doc_id", "th", "label").limit(sample))
+    chosen = stage(chosen, "labels")
+    found = named.join(F.broadcast(chosen.select("doc_id", "th").distinct()), ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
+    rows = stage(found.join(F.broadcast(chosen), ["doc_id", "th"]).select("h", "label", "text"), "sample")
     weights = np.zeros((1 << BITS) + 1)
     for row in rows.coalesce(1).mapInArrow(_train, "place long, weight double").collect():
         weights[row["place"]] = row["weight"]
