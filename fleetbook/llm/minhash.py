@@ -10,7 +10,8 @@ Copies (equal sets) then count once, as a class; ``linking`` finds the links of
 
 Defined cases: null or empty texts have an empty set and link with nothing, not even with
 each other; rows without a doc_id are returned as their own (component null, kept); rows
-that share a doc_id are judged each by its own text; no rows give no rows.
+that share a doc_id are judged each by its own text, and kept is true for all of them where
+the smallest doc_id of their component is theirs; no rows give no rows.
 """
 
 import numpy as np
@@ -57,37 +58,47 @@ def _grouped(docs, scheme):
     docs = texts(docs).withColumn("th", F.xxhash64("text"))
     signed = stage(docs.mapInArrow(_sign(scheme), _SIGNED), "signed")
     known = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stage(
+    sets = stage(
         known.groupBy("f1", "f2", "n_shingles").agg(
-            F.min(F.struct("doc_id", "th")).alias("low"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-        .select("f1", "f2", F.col("n_shingles").alias("n"), F.col("low.doc_id").alias("rep"),
-                F.col("low.th").alias("th"), "bands", "sig"), "classes")
+            F.min(F.struct("doc_id", "th")).alias("low"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "sets")
+    # A class is named by its smallest doc_id; where several classes have the same one, all
+    # but one of them by a hash.
+    owner = sets.groupBy("low.doc_id").agg(F.min(F.struct("f1", "f2", "n_shingles")).alias("o")).select(
+        F.struct("doc_id").alias("own"), "o.*")
+    classes = stage(
+        sets.join(owner, ["f1", "f2", "n_shingles"], "left").select(
+            "f1", "f2", F.col("n_shingles").alias("n"), F.col("low.doc_id").alias("doc_id"), F.col("low.th").alias("th"),
+            F.when(F.col("own.doc_id") == F.col("low.doc_id"), F.col("low.doc_id"))
+            .otherwise(F.xxhash64("f1", "f2", "n_shingles")).alias("rep"), "bands", "sig"), "classes")
 
     def fetch(reps):
         # The list grows with the input, so it is joined by a merge at every size.
-        wanted = classes.join(reps, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "th")
-        return docs.join(wanted.hint("merge"), ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id"]).select(
-            F.col("doc_id").alias("rep"), "text")
+        wanted = classes.join(reps, "rep", "left_semi").select("rep", "doc_id", "th")
+        return docs.join(wanted.hint("merge"), ["doc_id", "th"]).select("rep", "text").dropDuplicates(["rep"])
 
     links, found = linking.link(scheme, classes, fetch)
     degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    linked = found.withColumnRenamed("node", "rep").join(classes.select("rep", "doc_id", "th"), "rep")
+    low = linked.groupBy("component").agg(F.min(F.struct("doc_id", "th")).alias("low"))
+    linked = linked.select("rep", "component").join(low, "component").select("rep", "low")
+    own = F.struct(classes["doc_id"], classes["th"])
     of_class = (
-        classes.select("f1", "f2", F.col("n").alias("n_shingles"), "rep", F.col("th").alias("rep_th"))
-        .join(found.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left")
-        .select("f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("component"), "n_links", "rep", "rep_th"))
+        classes.join(linked, "rep", "left").join(degree, "rep", "left")
+        .select("f1", "f2", F.col("n").alias("n_shingles"), F.coalesce("low", own).alias("low"), "n_links"))
     alone = signed.filter("n_shingles = 0 OR doc_id IS NULL").select(
         "doc_id", "th", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"),
         F.lit(True).alias("first"))
     rows = known.join(of_class, ["f1", "f2", "n_shingles"]).select(
-        "doc_id", "th", "n_shingles", F.col("component").alias("component_id"),
+        "doc_id", "th", "n_shingles", F.col("low.doc_id").alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.expr("rep = component AND doc_id = rep AND th = rep_th").alias("first"))
+        F.expr("doc_id = low.doc_id AND th = low.th").alias("first"))
     return rows.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def near_duplicates(docs, scheme=SCHEME):
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, n_links (the
-    confirmed links of its class with other classes)."""
+    links of its class with other classes that were confirmed; pairs inside a component that
+    is known already are not looked at)."""
     return _grouped(docs, scheme).select("doc_id", "n_shingles", "component_id", "kept", "n_links")
 
 
