@@ -24,6 +24,8 @@ from fleetbook.llm import linking, words
 from fleetbook.llm.tables import stage, texts
 
 CHARS = 8
+PIECE = 1 << 15                  # code points hashed at a time
+EXACT = 1 << 12                  # larger sets are counted by whole hashes
 _U = np.uint64
 _LINE_KIND = np.ones(256, np.uint8)
 _LINE_KIND[10] = 0
@@ -36,7 +38,13 @@ def _code_points(raw):
 
 
 def _shingle_hashes(points):
-    """Hashes of all runs of eight code points, by doubling: 2, 4, 8."""
+    """Hashes of all runs of eight code points, by doubling: 2, 4, 8; a piece at a time,
+    which stays in the processor's cache."""
+    pieces = [_piece_hashes(points[at:at + PIECE + CHARS - 1]) for at in range(0, max(1, len(points) - CHARS + 1), PIECE)]
+    return pieces[0] if len(pieces) == 1 else np.concatenate(pieces)
+
+
+def _piece_hashes(points):
     h = _CHAR_TABLE[points & 0xFFFF] + points.astype(_U)
     for width, odd in ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F), (4, 0x165667B19E3779F9)):
         if len(h) <= width:
@@ -77,15 +85,19 @@ def line_sets(column):
     """The sets of an Arrow column of trimmed lines, each sorted."""
     raw, offsets = words.buffers(column)
     points, before = _code_points(raw), np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-    out = []
-    for a, b in zip(before[offsets[:-1]], before[offsets[1:]]):
-        out.append(np.unique(_shingle_hashes(points[a:b])))
+    hashes, out = _shingle_hashes(points), []
+    for a, b in zip(before[offsets[:-1]].tolist(), before[offsets[1:]].tolist()):
+        one = hashes[a:max(a, b - CHARS + 1)].copy()
+        one.sort()
+        fresh = np.ones(len(one), bool)
+        np.not_equal(one[1:], one[:-1], out=fresh[1:])
+        out.append(one[fresh])
     return out
 
 
 #: A pair at 0.8 shares none of the 8 bands of 3 with probability 0.003, at 0.9 3e-5.
-SCHEME = linking.Scheme(sets=line_sets, percent=80, hashes=32, bands=8, rows=3, seed=80)
-_SIGNED = "doc_id long, th long, place int, line long, n long, items long, bands array<long>, sig array<long>"
+SCHEME = linking.Scheme(sets=line_sets, percent=80, hashes=32, bands=8, rows=3, seed=80, narrow=True)
+_SIGNED = "doc_id long, th long, place int, line long, times long, n long, items long, bands array<long>, sig array<long>"
 _PLAIN = "doc_id long, th long, n_lines int, lines array<struct<place: int, line: long>>"
 
 
@@ -100,13 +112,15 @@ def _cut(part):
 
 
 def _distinct(hashes, sizes):
-    """How many distinct hashes each of the sets has that lie one after the other."""
+    """How many distinct hashes each of the sets has that lie one after the other; those of
+    a small set are told apart by their leading bits, 47 or more of them."""
     bits = int(max(1, len(sizes) - 1)).bit_length()
     # One sort for all: the set's number above the leading bits of the hash.
     key = np.repeat(np.arange(len(sizes), dtype=_U) << _U(64 - bits), sizes) | hashes >> _U(bits)
     key.sort()
-    out, starts = sizes.copy(), np.cumsum(sizes) - sizes
-    for k in np.unique(key[1:][key[1:] == key[:-1]] >> _U(64 - bits)).astype(np.int64):
+    again = (key[1:][key[1:] == key[:-1]] >> _U(64 - bits)).astype(np.int64)
+    out, starts = sizes - np.bincount(again, minlength=len(sizes)), np.cumsum(sizes) - sizes
+    for k in np.flatnonzero((sizes > EXACT) & (out < sizes)):
         out[k] = len(np.unique(hashes[starts[k]:starts[k] + sizes[k]]))
     return out
 
@@ -120,8 +134,10 @@ def _sign(batches):
             named = part["doc_id"].is_valid().to_numpy(zero_copy_only=False)
             ids, th = part["doc_id"].fill_null(0).to_numpy(), part["th"].to_numpy()
             order = np.lexsort((place, th[row], ids[row], ~named[row]))
-            _, at = np.unique(line[order], return_index=True)
-            at = np.sort(order[at])
+            _, at, times = np.unique(line[order], return_index=True, return_counts=True)
+            at = order[at]
+            by_place = np.argsort(at)
+            at, times = at[by_place], times[by_place]
             starts, ends, row, place, line = starts[at], ends[at], row[at], place[at], line[at]
             hashes = _shingle_hashes(_code_points(raw))
             a, n = before[starts], before[ends] - before[starts] - CHARS + 1
@@ -130,8 +146,8 @@ def _sign(batches):
             distinct = _distinct(hashes[index], n)
             yield pa.RecordBatch.from_arrays(
                 [part["doc_id"].take(pa.array(row)), part["th"].take(pa.array(row)), pa.array(place.astype(np.int32)),
-                 pa.array(line.view(np.int64)), pa.array(distinct.astype(np.int64)), pa.array(n.astype(np.int64)), bands, sig],
-                ["doc_id", "th", "place", "line", "n", "items", "bands", "sig"])
+                 pa.array(line.view(np.int64)), pa.array(times.astype(np.int64)), pa.array(distinct.astype(np.int64)), pa.array(n.astype(np.int64)), bands, sig],
+                ["doc_id", "th", "place", "line", "times", "n", "items", "bands", "sig"])
 
 
 def _number(batches):
@@ -168,23 +184,24 @@ def decisions(docs):
     where = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th", "place"))
     classes = stage(
         signed.groupBy(F.col("line").alias("rep")).agg(
-            where.alias("at"), F.first("n").alias("n"), F.first("items").alias("items"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "lines")
+            where.alias("at"), F.sum("times").alias("times"), F.first("n").alias("n"), F.first("items").alias("items"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "lines")
 
     def fetch(reps):
         wanted = classes.join(reps, "rep", "left_semi").groupBy("at.doc_id", "at.th").agg(
             F.collect_list(F.col("at.place")).alias("places"), F.collect_list("rep").alias("names"))
-        named = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63)))).dropDuplicates(["doc_id", "th"])
+        named = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
         wanted = wanted.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
+        # Rows that repeat doc_id and text give their lines again.
         return named.join(wanted.hint("merge"), ["doc_id", "th"]).select("text", "places", "names").mapInArrow(
-            _extract, "rep long, text string")
+            _extract, "rep long, text string").dropDuplicates(["rep"])
 
     _, found = linking.link(SCHEME, classes.select("rep", "n", "items", "bands", "sig"), fetch)
-    # The line that stays, for every class: the first occurrence in its component.
-    first = (
-        classes.select("rep", "at").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-        .withColumn("component", F.coalesce("component", "rep")))
-    stays = first.join(first.groupBy("component").agg(F.min("at").alias("stay")), "component").select(
-        F.col("rep").alias("line"), "stay")
+    # The line that stays, for every class that has links or occurs again: the first
+    # occurrence in its component. All other lines stay.
+    linked = classes.select("rep", "at").join(found.withColumnRenamed("node", "rep"), "rep")
+    again = classes.filter("times > 1").select("rep", "at").join(found.select(F.col("node").alias("rep")), "rep", "left_anti")
+    stays = linked.join(linked.groupBy("component").agg(F.min("at").alias("stay")), "component").select(
+        F.col("rep").alias("line"), "stay").union(again.select("rep", "at"))
     numbered = stage(docs.mapInArrow(_number, _PLAIN), "numbered")
     rows = numbered.select("doc_id", "th", "n_lines", F.explode("lines").alias("l")).select("doc_id", "th", "l.place", "l.line")
     stay = F.col("stay")

@@ -40,6 +40,7 @@ class Scheme:
     bands: int
     rows: int
     seed: int
+    narrow: bool = False         # minima of 32 bits: cheaper, for sets of some thousand hashes
 
     @property
     def longs(self):
@@ -65,8 +66,11 @@ def minima(scheme, flat, sizes):
     full = np.flatnonzero(sizes)
     if len(full):
         starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
+        factors = scheme.factors
+        if scheme.narrow:
+            flat, factors = (flat >> np.uint64(32)).astype(np.uint32), factors.astype(np.uint32)
         buffer = np.empty_like(flat)
-        for k, odd in enumerate(scheme.factors):
+        for k, odd in enumerate(factors):
             np.multiply(flat, odd, out=buffer)
             out[full, k] = np.minimum.reduceat(buffer, starts)
     return words.mix(out)
@@ -120,7 +124,9 @@ def similarity(scheme, a, b):
 
 
 def _reaches(scheme, x, y):
-    both = len(np.intersect1d(x, y, assume_unique=True))
+    both = np.concatenate((x, y))
+    both.sort()
+    both = np.count_nonzero(both[1:] == both[:-1])
     return 100 * both >= scheme.percent * (len(x) + len(y) - both)
 
 
@@ -147,7 +153,7 @@ def _tiles(scheme):
 
     def pairs_of(lo, hi, c):
         """Rows (k, m) of one tile that may link."""
-        i, j, band = c["i"][lo], c["j"][lo], c["band"][lo]
+        i, j, band = c["i"][lo], c["j"][lo], (c["bands"][lo] == c["key"][lo]).argmax()
         rows = np.arange(lo, hi)
         left, right = rows[c["block"][lo:hi] == i], rows[c["block"][lo:hi] == j]
         for at in range(0, len(left), max(1, 65536 // max(1, len(right)))):
@@ -165,7 +171,7 @@ def _tiles(scheme):
             yield k[once], m[once]
 
     def links_of(table):
-        c = {x: table[x].to_numpy() for x in ("key", "i", "j", "band", "block", "n", "rep", "component")}
+        c = {x: table[x].to_numpy() for x in ("key", "i", "j", "block", "n", "rep", "component")}
         c["sig"], c["bands"] = _matrix(table["sig"]).view(np.uint64), _matrix(table["bands"])
         edge = np.flatnonzero((np.diff(c["key"]) != 0) | (np.diff(c["i"]) != 0) | (np.diff(c["j"]) != 0)) + 1
         found = []
@@ -215,21 +221,22 @@ def link(scheme, classes, fetch):
     ``classes`` has rep (long, unique), n (the size of the set), bands, sig, and may have
     items, which bounds tiles in place of n where texts hold more than their sets; ``fetch``
     gets a frame of the reps whose texts are needed and returns (rep, text)."""
-    items = F.col("items" if "items" in classes.columns else "n").alias("items")
-    entries = classes.select("rep", "n", items, F.posexplode("bands").alias("band", "key"))
-    # Small rows per bucket with several members: its size and the centre of its star.
+    # Rows of the buckets are narrow, as all bands of all sets are shuffled: what else a set
+    # has is joined to the few that share a bucket. A bucket's centre is its least name under
+    # a mask of the bucket's own, which a minimum over plain longs finds.
+    entries = classes.select("rep", F.explode("bands").alias("key"))
+    mask = F.xxhash64("key")
     buckets = entries.groupBy("key").agg(
-        F.count("*").alias("size"), F.min(F.struct(F.xxhash64("rep", "key").alias("h"), "rep", "n")).alias("c")
-    ).filter("size > 1").select("key", "size", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n"))
+        F.count("*").alias("size"), F.min(F.col("rep").bitwiseXOR(mask)).alias("low")
+    ).filter("size > 1").select("key", "size", F.col("low").bitwiseXOR(mask).alias("centre"))
     shared = stage(entries.join(buckets, "key"), "buckets")
     have = stage(fetch(shared.select("rep").distinct()), "texts")
-    sig = classes.select("rep", "sig")
+    a, b = (classes.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("sig").alias(f"s{c}")) for c in "ab")
     star = (
         shared.filter("rep <> centre")
-        .filter(F.expr(f"100 * least(n, centre_n) >= {scheme.percent} * greatest(n, centre_n)"))
         .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
-        .join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
-        .join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
+        .join(a, "a").join(b, "b")
+        .filter(F.expr(f"100 * least(na, nb) >= {scheme.percent} * greatest(na, nb)"))
         .filter(agreeing(scheme, F.col("sa"), F.col("sb")) >= scheme.least_agreeing).select("a", "b"))
     links = stage(_confirmed(scheme, star, have), "links")
     found = components(links)
@@ -238,14 +245,18 @@ def link(scheme, classes, fetch):
     labelled = shared.filter("size > 2").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep"))
     open_ = labelled.groupBy("key").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"),
-        F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("items") / TILE_ITEMS)).cast("int").alias("blocks")
-    ).filter("x <> y").select("key", "blocks")
+        F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
+    items = F.col("items" if "items" in classes.columns else "n").alias("items")
+    inside = stage(
+        labelled.select("key", "rep", "component").join(open_, "key")
+        .join(classes.select("rep", "n", items, "sig", "bands"), "rep"), "open")
+    blocks = inside.groupBy("key").agg(
+        F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("items") / TILE_ITEMS)).cast("int").alias("blocks"))
     members = (
-        labelled.join(open_, "key").join(classes.select("rep", "sig", "bands"), "rep").join(have, "rep")
+        inside.join(blocks, "key").join(have, "rep")
         .withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", "band", "rep", "n", "component", "sig", "bands", "text", "block",
+        .select("key", "rep", "n", "component", "sig", "bands", "text", "block",
                 F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
     tiles = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
     extra = stage(tiles.mapInArrow(_tiles(scheme), "a long, b long").distinct(), "links")
