@@ -25,6 +25,7 @@ from fleetbook.llm.tables import stage, texts
 
 CHARS = 8
 PIECE = 1 << 15                  # code points hashed at a time
+STEPS = 16                       # bytes taken off an end one by one
 EXACT = 1 << 12                  # larger sets are counted by whole hashes
 _U = np.uint64
 _LINE_KIND = np.ones(256, np.uint8)
@@ -56,16 +57,22 @@ def _piece_hashes(points):
 def _trim(raw, starts, ends):
     """Byte ranges without spaces at both ends."""
     starts, ends = starts.copy(), ends.copy()
-    space = words._SPACE[raw]
-    solid = np.flatnonzero(~space)
-    if not len(solid):
-        return starts, starts.copy()
-    lo = np.searchsorted(solid, starts)
-    hi = np.searchsorted(solid, ends)
-    has = hi > lo
-    new_starts = np.where(has, solid[np.minimum(lo, len(solid) - 1)], starts)
-    new_ends = np.where(has, solid[np.maximum(hi - 1, 0)] + 1, new_starts)
-    return new_starts, new_ends
+    for _ in range(STEPS):
+        open_ = np.flatnonzero(starts < ends)
+        left = open_[words._SPACE[raw[starts[open_]]]]
+        starts[left] += 1
+        open_ = open_[starts[open_] < ends[open_]]
+        right = open_[words._SPACE[raw[ends[open_] - 1]]]
+        ends[right] -= 1
+        if not len(left) and not len(right):
+            return starts, ends
+    # Long runs of spaces: by the places of all other bytes.
+    solid = np.flatnonzero(~words._SPACE[raw])
+    lo, hi = np.searchsorted(solid, starts), np.searchsorted(solid, ends)
+    full = np.flatnonzero(hi > lo)
+    ends = starts.copy()
+    starts[full], ends[full] = solid[lo[full]], solid[hi[full] - 1] + 1
+    return starts, ends
 
 
 def lines_of(column):
@@ -74,8 +81,8 @@ def lines_of(column):
     raw, offsets = words.buffers(column)
     starts, ends = words.runs(raw, offsets, _LINE_KIND)
     row = np.searchsorted(offsets, starts, side="right") - 1
-    feeds = np.concatenate([[0], np.cumsum(raw == 10)])
-    place = feeds[starts] - feeds[offsets[row]]
+    feeds = np.flatnonzero(raw == 10)
+    place = np.searchsorted(feeds, starts) - np.searchsorted(feeds, offsets)[row]
     starts, ends = _trim(raw, starts, ends)
     keep = ends > starts
     return raw, starts[keep], ends[keep], row[keep], place[keep]
@@ -102,11 +109,15 @@ _PLAIN = "doc_id long, th long, n_lines int, lines array<struct<place: int, line
 
 
 def _cut(part):
-    """Long enough lines of a batch: raw, ranges, row, place, hash, and the number of code
-    points before each byte."""
+    """Long enough lines of a batch: raw, ranges, row, place, hash, and a function from
+    byte places to the number of code points before them."""
     raw, starts, ends, row, place = lines_of(part["text"])
-    before = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-    keep = before[ends] - before[starts] >= CHARS
+    inner = np.flatnonzero((raw & 0xC0) == 0x80)
+
+    def before(at):
+        return at - np.searchsorted(inner, at)
+
+    keep = before(ends) - before(starts) >= CHARS
     starts, ends, row, place = starts[keep], ends[keep], row[keep], place[keep]
     return raw, starts, ends, row, place, words.hash_runs(raw, starts, ends, lower=False), before
 
@@ -140,10 +151,14 @@ def _sign(batches):
             at, times = at[by_place], times[by_place]
             starts, ends, row, place, line = starts[at], ends[at], row[at], place[at], line[at]
             hashes = _shingle_hashes(_code_points(raw))
-            a, n = before[starts], before[ends] - before[starts] - CHARS + 1
-            index = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
-            bands, sig = linking.sign(SCHEME, hashes[index], n)
-            distinct = _distinct(hashes[index], n)
+            # The runs that lie within one of the lines, which ascend and do not touch.
+            a = before(starts)
+            n = before(ends) - a - CHARS + 1
+            marks = np.zeros(len(hashes) + 1, np.int8)
+            marks[a], marks[a + n] = 1, -1
+            within = hashes[np.cumsum(marks[:-1], dtype=np.int8).view(bool)]
+            bands, sig = linking.sign(SCHEME, within, n)
+            distinct = _distinct(within, n)
             yield pa.RecordBatch.from_arrays(
                 [part["doc_id"].take(pa.array(row)), part["th"].take(pa.array(row)), pa.array(place.astype(np.int32)),
                  pa.array(line.view(np.int64)), pa.array(times.astype(np.int64)), pa.array(distinct.astype(np.int64)), pa.array(n.astype(np.int64)), bands, sig],
@@ -157,8 +172,8 @@ def _number(batches):
             raw, starts, ends, row, place, line, _ = _cut(part)
             bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
             _, offsets = words.buffers(part["text"])
-            feeds = np.concatenate([[0], np.cumsum(raw == 10)])
-            n_lines = np.where(part["text"].is_null().to_numpy(zero_copy_only=False), 0, feeds[offsets[1:]] - feeds[offsets[:-1]] + 1)
+            feeds = np.diff(np.searchsorted(np.flatnonzero(raw == 10), offsets))
+            n_lines = np.where(part["text"].is_null().to_numpy(zero_copy_only=False), 0, feeds + 1)
             rows = pa.StructArray.from_arrays([pa.array(place.astype(np.int32)), pa.array(line.view(np.int64))], ["place", "line"])
             yield pa.RecordBatch.from_arrays(
                 [part["doc_id"], part["th"], pa.array(n_lines.astype(np.int32)),
