@@ -24,7 +24,7 @@ from fleetbook.llm import linking, words
 from fleetbook.llm.tables import stage, texts
 
 CHARS = 8
-PIECE = 1 << 15                  # code points hashed at a time
+PIECE = 1 << 15                  # code points hashed or counted at a time
 STEPS = 16                       # bytes taken off an end one by one
 EXACT = 1 << 12                  # larger sets are counted by whole hashes
 _U = np.uint64
@@ -125,14 +125,21 @@ def _cut(part):
 def _distinct(hashes, sizes):
     """How many distinct hashes each of the sets has that lie one after the other; those of
     a small set are told apart by their leading bits, 47 or more of them."""
-    bits = int(max(1, len(sizes) - 1)).bit_length()
-    # One sort for all: the set's number above the leading bits of the hash.
-    key = np.repeat(np.arange(len(sizes), dtype=_U) << _U(64 - bits), sizes) | hashes >> _U(bits)
-    key.sort()
-    again = (key[1:][key[1:] == key[:-1]] >> _U(64 - bits)).astype(np.int64)
-    out, starts = sizes - np.bincount(again, minlength=len(sizes)), np.cumsum(sizes) - sizes
+    out, ends = sizes.copy(), np.cumsum(sizes)
+    starts, at = ends - sizes, 0
+    while at < len(sizes):
+        # One sort for all sets of a block that stays in the processor's cache: the set's
+        # number above the leading bits of the hash.
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + PIECE, side="right")))
+        own = sizes[at:to]
+        bits = _U(max(1, len(own) - 1).bit_length())
+        key = np.repeat(np.arange(len(own), dtype=_U) << _U(64) - bits, own) | hashes[starts[at]:ends[to - 1]] >> bits
+        key.sort()
+        again = (key[1:][key[1:] == key[:-1]] >> _U(64) - bits).astype(np.int64)
+        out[at:to] -= np.bincount(again, minlength=len(own))
+        at = to
     for k in np.flatnonzero((sizes > EXACT) & (out < sizes)):
-        out[k] = len(np.unique(hashes[starts[k]:starts[k] + sizes[k]]))
+        out[k] = len(np.unique(hashes[starts[k]:ends[k]]))
     return out
 
 
