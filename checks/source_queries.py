@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from fleetbook.functions.amounts import sum_cents
 from fleetbook.plans import consolidate, tags, unify
 from fleetbook.streaming import changed_files
-from fleetbook.session import scratch_dir, stored
-from fleetbook.sources import archive, headers, html, maps, ragged, tables, vendors
+from fleetbook.session import scratch_dir
+from fleetbook.sources import archive, headers, html, maps, ragged, vendors
 
 from . import views as v
 from .registry import query
@@ -617,7 +617,7 @@ def _(spark, sf):
               "<table><tr><th>Fecha</th><th>No. Económico</th><th>Nota</th></tr>"), F.array_join("r.a", ""),
         F.lit("</table><table><tr><th> ECO </th><th>Importe</th></tr>"), F.array_join("r.b", ""), F.lit("</table>"))
     pages = files.select(F.col("l_orderkey").cast("string").alias("path"), page.alias("html"))
-    rows = tables.of_best_tables(stored(html.html_table_rows(pages, "path", "html"), "tables")).filter("row_idx > 0")
+    rows = html.html_table_rows(pages, "path", "html", table=html.BEST).filter("row_idx > 0")
     return rows.select(
         F.col("path").cast("bigint").alias("l_orderkey"), F.col("table").alias("tbl"),
         F.array_join("cells", "|").alias("cells"))
