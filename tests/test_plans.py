@@ -1,5 +1,7 @@
 """What the physical plans must and must not hold."""
 
+import datetime as dt
+
 import pytest
 
 import __spark_entry__ as entry
@@ -101,3 +103,28 @@ def test_a_stored_report_grows_by_unseen_rows(spark, tmp_path):
     rows.drop("Semana_Mes").write.parquet(str(tmp_path / "old"))
     old = StoredReport(spark, str(tmp_path / "old"))
     assert old.append(idle) == 1 and [r.ECO for r in old.read().collect()] == ["AU-9"]
+
+
+def test_rows_of_the_report_are_written_once(spark, tmp_path, monkeypatch):
+    """Of a run only expenses, maps of units and months go to scratch tables: rows that the catalogue
+    multiplies are written into the report and nowhere else."""
+    from fleetbook.plans import dashboard
+
+    kept = []
+
+    def stored(df, label):
+        out = kept_stored(df, label)
+        kept.append((label, out.count()))
+        return out
+
+    kept_stored = dashboard.stored
+    monkeypatch.setattr(dashboard, "stored", stored)
+    columns = "`No. economico` string, `Fecha de cruce` string, `Importe al 100` string"
+    place, report = str(tmp_path / "toll"), str(tmp_path / "report")
+    master = spark.sql("SELECT 'AU-001' AS ECO, 'E' || id AS Empresa, 'P' || id AS Placas, 'S' || id AS `Supramax ID`, id AS pos FROM range(50)")
+    for days, added in ((2, 100), (3, 50)):
+        rows = spark.createDataFrame([("AU 1", f"1997/01/0{d}", "5.5") for d in range(1, days + 1)], columns)
+        rows.write.mode("overwrite").parquet(place)
+        table, n = dashboard.run(spark, {"Pase": place}, None, master, "pos", dt.date(1998, 6, 15), report)
+        assert n == added and max(size for _, size in kept) <= days
+    assert table.read().count() == 150 and table.read().distinct().count() == 150
