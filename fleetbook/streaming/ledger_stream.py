@@ -1,7 +1,8 @@
 """Continuous ingest: every micro-batch is cleaned and merged into the ledger."""
 
-from ..operators.versions import VersionedLedger
+from ..operators.versions import Folder, VersionedLedger
 from ..plans.ingest import clean_batch
+from ..session import scratch_dir
 
 
 def ingest_stream(stream, table, checkpoint, by_id=False, trigger=None, query=None, **cleaning):
@@ -12,15 +13,23 @@ def ingest_stream(stream, table, checkpoint, by_id=False, trigger=None, query=No
     the batch number with the rows, under the name ``query`` (the checkpoint's folder): a
     batch counts once even where its rows have neither id nor fixed amounts, and of two
     drivers that run the same query only one commits a batch.
+
+    A merge reads its batch several times (rows with an id, those without, their months), so
+    the cleaned rows are written once and merged from there; the folder goes with the batch.
     """
     name = query or checkpoint
 
     def merge(batch, number):
-        rows = clean_batch(batch, by_id=by_id, **cleaning)
-        if isinstance(table, VersionedLedger):
-            table.merge(rows, by_id=by_id, batch_of=(name, number))
-        else:
-            table.merge(rows, by_id=by_id)
+        place, clean = scratch_dir(batch.sparkSession, "batch"), clean_batch(batch, by_id=by_id, **cleaning)
+        try:
+            clean.write.parquet(place)
+            rows = table.spark.read.schema(clean.schema).parquet(place)
+            if isinstance(table, VersionedLedger):
+                table.merge(rows, by_id=by_id, batch_of=(name, number))
+            else:
+                table.merge(rows, by_id=by_id)
+        finally:
+            Folder(table.spark, place).remove("")
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -99,6 +99,27 @@ def test_stream_merges_each_row_once(spark, tmp_path):
     assert sorted(r.ECO for r in ledger.read().collect()) == ["AU-001", "AU-002"]
 
 
+def test_stream_cleans_a_batch_once(spark, tmp_path):
+    """Every pass of a merge over the batch once repeated its cleaning."""
+    seen = []
+
+    class Table:
+        def __init__(self):
+            self.spark = spark
+
+        def merge(self, batch, by_id=False):
+            seen.append((batch._jdf.queryExecution().optimizedPlan().toString(), batch.inputFiles(), batch.count()))
+
+    folder = str(tmp_path / "in")
+    rows(spark, ("au 1", D1, 1.0), ("total", D2, 3.0)).write.parquet(folder)
+    stream = spark.readStream.schema(LEDGER_SCHEMA).parquet(folder)
+    ingest_stream(stream, Table(), str(tmp_path / "c")).awaitTermination()
+    (plan, files, n), = seen
+    assert "regexp" not in plan.lower() and "rlike" not in plan.lower() and n == 1
+    import os
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)  # they go with the batch
+
+
 def test_text_batch_is_coerced(spark):
     df = spark.createDataFrame([
         ("AU-1", "05/03/2025", "10.5", "Supramax"), ("AU-2", "2025-03-06", "x", "Supramax"),
