@@ -58,9 +58,10 @@ def first_row_headers(raw):
 
 
 def marker_headers(raw, marker):
-    """Header frame: the first row with a cell equal to ``marker``."""
-    names = F.transform("cells", strip)
-    found = raw.filter(F.array_contains(names, marker)).select("path", "row_idx", names.alias("header"))
+    """Header frame: the first row with a cell equal to ``marker``. Only rows whose text holds it
+    have their cells stripped one by one."""
+    names, held = F.transform("cells", strip), F.array_join("cells", " ").contains(marker)
+    found = raw.filter(held & F.array_contains(names, marker)).select("path", "row_idx", names.alias("header"))
     first = found.groupBy("path").agg(F.min("row_idx").alias("row_idx"))
     return found.join(first, ["path", "row_idx"]).select(
         "path", F.col("row_idx").alias("header_row"), "header")

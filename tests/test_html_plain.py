@@ -30,6 +30,29 @@ def test_same_rows_as_the_full_parser():
     assert _plain(long) == _full(long)
 
 
+ROW_PIECES = [
+    "<table>", "</table>", "<tr><td>", "<tr><th>", "</td></tr>", "</th></tr>", "</td></tr>\n x", "</td><td>", "</th><td>", "</td><th>",
+    "<b>", "</b>", "<span>", "<i", "x", " y ", "&amp;", "&am", "p;", "&", "th>", "<t", "<tr>", "<td>", "</td>", "<!-- ", "-->", "<a href=x>",
+    "<title>", "</title>", "\n", "<TR><td>", "<td >"]
+
+
+def test_rows_taken_whole_are_those_of_the_full_parser():
+    rng, whole = random.Random(7), 0
+    for _ in range(40_000):
+        document = "".join(rng.choice(ROW_PIECES) for _ in range(rng.randint(1, 25)))
+        whole += bool(html._PLAIN_ROW.search(document))
+        assert _plain(document) == _full(document), document
+    assert whole > 2000
+
+
+def test_a_plain_row_takes_no_handler(monkeypatch):
+    """Twelve tags of a row of five cells once took a call each."""
+    calls = []
+    monkeypatch.setattr(html._Tables, "handle_data", lambda self, data: calls.append(data))
+    page = "<table>" + "<tr><td>AU-1</td><td><b>1</b> &amp; c</td><td> z</td></tr>\n" * 50 + "</table>"
+    assert _plain(page) == [(0, ["AU-1", "1 & c", "z"])] * 50 and not calls
+
+
 def test_plain_documents_never_reach_the_full_parser(monkeypatch):
     monkeypatch.setattr(html._Tables, "feed", None)
     page = '<html><table border=0 class="a b"><tr><th> A</th></tr><tr><td><b>1</b> &amp; c</td></tr></table></html>'
