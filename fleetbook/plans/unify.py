@@ -7,9 +7,10 @@ from ..operators.filters import file_type, required, same_year_as_path
 from ..operators.merge import insert_new
 from ..operators.sets import combine_distinct
 from ..operators.windows import prefer_layout
-from ..sources.headers import fixed_headers, marker_headers, preamble_value, require_header
+from ..session import stored
+from ..sources.headers import marker_headers, preamble_value, required_headers
 from ..sources.paths import company_segment, path_period
-from ..sources.vendors import CARD_MARKER, clean_edenred, clean_pase, edenred_rows, pase_consolidated, supramax_rows
+from ..sources.vendors import card_headers, clean_edenred, clean_pase, edenred_rows, pase_consolidated, supramax_rows
 from .ingest import clean_batch, new_rows
 
 
@@ -31,13 +32,12 @@ def unify_pase(raw, year=None):
 def unify_supramax(raw):
     """All fuel exports as one frame of their named columns and the file name. A file without
     a header row fails the job."""
-    return supramax_rows(require_header(raw, marker_headers, "PLACAS"))
+    return supramax_rows(raw, required_headers(raw, marker_headers, "PLACAS"))
 
 
 def _card_rows(raw, header_row):
     """Card exports by their own header row, or a given one; a file without it fails the job."""
-    find = (marker_headers, CARD_MARKER) if header_row is None else (fixed_headers, header_row)
-    return edenred_rows(require_header(raw, *find), header_row)
+    return edenred_rows(raw, header_row, required_headers(raw, card_headers, header_row))
 
 
 def unify_edenred(raw, header_row=None):
@@ -66,7 +66,7 @@ def recover_edenred(raw, ledger, year, header_row=None):
     """The ledger after all card files of a year. The company stands in the preamble, else
     in the path. A file without a header row fails the job."""
     files = file_type(raw, [".csv"], year)
-    stated = preamble_value(files, "Cliente:").select("path", F.col("value").alias("_company"))
+    stated = stored(preamble_value(files, "Cliente:").select("path", F.col("value").alias("_company")), "companies")
     rows = _card_rows(files, header_row).join(stated, "path", "left")
     company = F.coalesce("_company", company_segment(F.col("path"), unless=year))
     cleaned = clean_edenred(rows, company)

@@ -1,7 +1,9 @@
 """Header discovery and column resolution on raw rows ``(path, row_idx, cells)``.
 
 A header frame has one row per file: ``path``, ``header_row``, ``header`` and the
-positions of the columns found. Rows then read their cells by position.
+positions of the columns found. Rows then read their cells by position. Header frames are
+written once (``session.stored``) before rows are joined with them: Spark then knows how small
+they are, and the raw rows are neither shuffled by path (a task per file) nor searched again.
 """
 
 from functools import reduce
@@ -9,6 +11,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions.text import header_key, loose_header, strip
+from ..session import stored
 
 
 def dedupe_headers(header):
@@ -28,43 +31,47 @@ def extend_header(header, width):
     return F.when(width > F.size(header), F.concat(header, extra)).otherwise(header)
 
 
+def own_headers(raw):
+    """Header frame of files whose first record is the header: its unique, stripped names."""
+    own = raw.filter("row_idx = 0").groupBy("path").agg(F.first("cells", ignorenulls=True).alias("own"))
+    return own.filter("own is not null").select(
+        "path", F.lit(0).cast("bigint").alias("header_row"),
+        F.transform(dedupe_headers(F.col("own")), strip).alias("header"))
+
+
 def first_row_headers(raw):
     """Header frame of files whose first record is the header: unique, stripped names,
     and ``kept``, the positions of all columns except extra ones that are blank in
-    every row. Reading ``raw`` three times is cheap where it is stored (see
-    ``ragged.land``)."""
-    first = F.when(F.col("row_idx") == 0, F.col("cells"))
-    files = raw.groupBy("path").agg(
-        F.get(F.collect_list(first), F.lit(0)).alias("own"), F.max(F.size("cells")).alias("width"))
-    names = F.transform(extend_header(dedupe_headers(F.col("own")), F.col("width")), strip)
-    headers = files.filter("own is not null").select(
-        "path", F.lit(0).cast("bigint").alias("header_row"), names.alias("header"),
-        F.size("own").alias("own_width"))
-    # Only rows longer than their header hold extra cells; the distinct positions of the
-    # filled ones are at most the file's width.
-    filled = (
+    every row. Reading ``raw`` twice is cheap where it is stored (see ``ragged.land``)."""
+    headers = stored(own_headers(raw), "headers").withColumn("own_width", F.size("header"))
+    # Only rows longer than their header hold extra cells, and only those cells are looked at;
+    # their distinct positions are at most the file's width.
+    extra = F.slice("cells", F.col("own_width") + 1, F.size("cells"))
+    beyond = (
         raw.join(headers.select("path", "own_width"), "path")
         .filter("row_idx > 0 and size(cells) > own_width")
-        .select("path", "own_width", F.posexplode("cells").alias("pos", "cell"))
-        .filter((F.col("pos") >= F.col("own_width")) & (strip(F.col("cell")) != ""))
-        .select("path", "pos").distinct()
-        .groupBy("path").agg(F.sort_array(F.collect_list("pos")).alias("filled"))
+        .select("path", "own_width", F.posexplode(extra).alias("pos", "cell"))
+        .groupBy("path", (F.col("own_width") + F.col("pos")).alias("pos"))
+        .agg(F.max(strip(F.col("cell")) != "").alias("filled"))
+        .groupBy("path").agg(
+            (F.max("pos") + 1).alias("width"),
+            F.sort_array(F.collect_list(F.when(F.col("filled"), F.col("pos")))).alias("filled"))
     )
+    found = headers.join(beyond, "path", "left")
+    names = extend_header(F.col("header"), F.coalesce("width", "own_width"))
     own = F.when(F.col("own_width") > 0, F.sequence(F.lit(0), F.col("own_width") - 1))
-    kept = F.concat(
-        F.coalesce(own, F.array().cast("array<int>")),
-        F.coalesce("filled", F.array().cast("array<int>")))
-    return headers.join(filled, "path", "left").select("path", "header_row", "header", kept.alias("kept"))
+    none = F.array().cast("array<int>")
+    return found.select(
+        "path", "header_row", names.alias("header"), F.concat(F.coalesce(own, none), F.coalesce("filled", none)).alias("kept"))
 
 
 def marker_headers(raw, marker):
-    """Header frame: the first row with a cell equal to ``marker``. Only rows whose text holds it
-    have their cells stripped one by one."""
+    """Header frame: the first row with a cell equal to ``marker``, found in one pass. Only rows
+    whose text holds it have their cells stripped one by one."""
     names, held = F.transform("cells", strip), F.array_join("cells", " ").contains(marker)
     found = raw.filter(held & F.array_contains(names, marker)).select("path", "row_idx", names.alias("header"))
-    first = found.groupBy("path").agg(F.min("row_idx").alias("row_idx"))
-    return found.join(first, ["path", "row_idx"]).select(
-        "path", F.col("row_idx").alias("header_row"), "header")
+    return found.groupBy("path").agg(F.min(F.struct("row_idx", "header")).alias("h")).select(
+        "path", F.col("h.row_idx").alias("header_row"), "h.header")
 
 
 def fixed_headers(raw, row):
@@ -83,13 +90,14 @@ def with_header(raw, find, *args):
     return raw.join(told, ["path", "row_idx"], "left").filter("_lost is null").drop("_lost")
 
 
-def require_header(raw, find, *args):
-    """The raw rows again; fails at once, naming a file, if ``find(raw, *args)`` names no header
-    row for it. One path reaches the driver."""
-    lost = raw.select("path").distinct().join(find(raw, *args).select("path"), "path", "left_anti").first()
+def required_headers(raw, find, *args):
+    """The header frame ``find(raw, *args)``, written once; fails at once, naming a file, if a
+    file has no row in it. One path reaches the driver."""
+    headers = stored(find(raw, *args), "headers")
+    lost = raw.select("path").distinct().join(headers.select("path"), "path", "left_anti").first()
     if lost:
         raise ValueError(f"no header row in {lost['path']}")
-    return raw
+    return headers
 
 
 def keyword_headers(raw, plate_words=("placa",), tag_words=("tag", "identificador", "tarjeta"), rows=10):

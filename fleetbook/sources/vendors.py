@@ -8,10 +8,11 @@ from ..functions.eco import normalize_eco_lzc
 from ..functions.keys import base_name, row_id
 from ..functions.text import drop_trailing_dots, product_type, strip
 from ..operators.filters import required, valid_eco
+from ..session import stored
 from ..vocabulary import CONCEPT_BY_SYSTEM
 from .headers import (
     cell, find_contains, find_either, find_equal, first_row_headers, fixed_headers, marker_headers,
-    rows_below,
+    own_headers, rows_below,
 )
 
 
@@ -29,9 +30,10 @@ def clean_supramax(df, empresa=None):
         F.lit("Supramax").alias("Sistema"), _company(empresa).alias("Empresa"))
 
 
-def supramax_rows(raw):
-    """Named columns of raw fuel exports, whose header row holds PLACAS, with the file."""
-    headers = marker_headers(raw, "PLACAS")
+def supramax_rows(raw, headers=None):
+    """Named columns of raw fuel exports, whose header row holds PLACAS, with the file. A header
+    frame that is stored already may be given, here and below."""
+    headers = stored(marker_headers(raw, "PLACAS"), "headers") if headers is None else headers
     names = ["PLACAS", "FECHA", "PRODUCTO", "CANTIDAD", "IMPORTE", "IDENTIFICADOR"]
     positions = headers.select(
         "path", "header_row", *[find_equal(F.col("header"), n).alias(f"p_{n}") for n in names])
@@ -52,7 +54,7 @@ def _pase_positions(headers):
 def clean_pase(raw, empresa=None):
     """Toll rows of raw exports, columns found per file by name. The id of a row is a
     hash over its file, number and cells, so loading it again changes nothing."""
-    rows = rows_below(raw, _pase_positions(first_row_headers(raw)))
+    rows = rows_below(raw, stored(_pase_positions(first_row_headers(raw)).drop("header"), "positions"))
     cells = F.transform("kept", lambda i: F.get("cells", i))
     file_name = base_name(F.col("path"))
     return rows.select(
@@ -79,10 +81,11 @@ def pase_consolidated_positions(headers):
     })
 
 
-def pase_consolidated(raw):
+def pase_consolidated(raw, headers=None):
     """Toll rows as kept in the consolidated export: unit, date, amount, card, file. Columns
     that a file does not name are null."""
-    rows = rows_below(raw, pase_consolidated_positions(first_row_headers(raw)))
+    headers = stored(own_headers(raw), "headers") if headers is None else headers
+    rows = rows_below(raw, pase_consolidated_positions(headers))
     return rows.select(
         strip(cell(F.col("p_eco"), "")).alias("ECO"),
         parse_date_ladder(cell(F.col("p_fecha"))).alias("Fecha"),
@@ -96,11 +99,16 @@ _EDENRED_UNIT = "Vehículo"
 _EDENRED_UNIT_POSITION = 7
 
 
-def edenred_rows(raw, header_row=None):
+def card_headers(raw, header_row=None):
+    return marker_headers(raw, CARD_MARKER) if header_row is None else fixed_headers(raw, header_row)
+
+
+def edenred_rows(raw, header_row=None, headers=None):
     """Named columns of raw card exports. The header is, per file, the first row that names
     the transaction date (row 0 of text exports, row 5 of converted sheets), or the given
     row. The unit stands in *Vehículo*, or in the eighth column of files without it."""
-    headers = marker_headers(raw, CARD_MARKER) if header_row is None else fixed_headers(raw, header_row)
+    if headers is None:
+        headers = stored(card_headers(raw, header_row), "headers")
     names = ["Fecha Transacción", "Mercancía", "Cantidad Mercancía", "Importe Transacción", "Núm Tarjeta"]
     unit = F.coalesce(find_equal(F.col("header"), _EDENRED_UNIT), F.lit(_EDENRED_UNIT_POSITION))
     positions = headers.select(
