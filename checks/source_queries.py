@@ -394,7 +394,7 @@ def _(spark, sf):
     out = []
     for system, (header, line) in kinds.items():
         folder = f"{place}/{system}"
-        lines = raw.select(line.alias("line"), (F.col("l_suppkey") % 4).alias("key")).repartition("key")
+        lines = raw.select(line.alias("line"), (F.col("l_suppkey") % 4).alias("key"))
         bad = raw.select(line.alias("line")).limit(20).coalesce(1)
         bad.write.option("quote", "\x02").option("sep", "\x01").csv(f"{folder}/bare")
         bad.select(F.concat("line", F.lit(";\x00;")).alias(header)).write.option("header", True).option("quote", "\x02").option(
@@ -403,7 +403,9 @@ def _(spark, sf):
         registry = spark.createDataFrame([], changed_files.REGISTRY)
         for run in range(3):
             if run < 2:
-                _write_lines(lines.filter(F.floor(F.col("key") / 2) == run), header, f"{folder}/entrega={run}", "key")
+                # One file a key, each written by a task of its own.
+                delivery = lines.filter(F.floor(F.col("key") / 2) == run).repartitionById(2, (F.col("key") % 2).cast("int"))
+                _write_lines(delivery, header, f"{folder}/entrega={run}", "key")
             rows, seen = consolidate.consolidate(spark, system, folder, store, registry, dt.datetime(2000, 1, 1 + run))
             rows.write.parquet(f"{old}/{system}/rows{run}")
             seen.write.parquet(f"{old}/{system}/files{run}")

@@ -3,23 +3,23 @@
 from pyspark.sql import functions as F
 
 from ..operators.filters import required
-from ..session import scratch_dir
+from ..session import scratch_dir, stored as written
 from ..sources import html, ragged
-from ..sources.headers import first_row_headers, marker_headers
-from ..sources.vendors import CARD_MARKER, edenred_rows, pase_consolidated, pase_consolidated_positions, supramax_rows
+from ..sources.headers import marker_headers, own_headers
+from ..sources.vendors import card_headers, edenred_rows, pase_consolidated, pase_consolidated_positions, supramax_rows
 from ..streaming.changed_files import READ, changed, listing, outcomes, registered
 from .unify import extend_consolidated
 
 
 def _toll_headers(raw):
     """Files whose first row names unit, date and amount."""
-    found = pase_consolidated_positions(first_row_headers(raw))
+    found = pase_consolidated_positions(own_headers(raw))
     return found.filter("p_eco IS NOT NULL AND p_fecha IS NOT NULL AND p_importe IS NOT NULL")
 
 
 class Export:
     """How the exports of a system are read: the names of its files, their raw rows, the header
-    frame of the files that have one, and the rows of those files."""
+    frame of the files that have one, and the rows of the files of a header frame."""
 
     def __init__(self, glob, read, headers, rows):
         self.glob, self.read, self.headers, self.rows = glob, read, headers, rows
@@ -40,10 +40,9 @@ def _sheets(spark, folder, glob, files, since):
 
 
 SYSTEMS = {
-    "Pase": Export("*.csv", _texts(True), _toll_headers, lambda raw: required(pase_consolidated(raw)).drop("path")),
+    "Pase": Export("*.csv", _texts(True), _toll_headers, lambda raw, headers: required(pase_consolidated(raw, headers)).drop("path")),
     "Supramax": Export("*.xls", _sheets, lambda raw: marker_headers(raw, "PLACAS"), supramax_rows),
-    "Edenred": Export("*.csv", _texts(False), lambda raw: marker_headers(raw, CARD_MARKER),
-                      lambda raw: edenred_rows(raw).drop("path")),
+    "Edenred": Export("*.csv", _texts(False), card_headers, lambda raw, headers: edenred_rows(raw, headers=headers).drop("path")),
 }
 
 
@@ -64,9 +63,11 @@ def consolidate(spark, system, folder, stored, registry, at):
     if not n:
         return stored, registry
     raw = ragged.land(spark, export.read(spark, folder, export.glob, fresh, since))
-    place = scratch_dir(spark, "outcomes")
-    outcomes(fresh, raw, export.headers, ragged.PROBLEM).write.parquet(place)
-    told = spark.read.parquet(place)
+    headers = written(export.headers(raw.filter(raw["row_idx"] != ragged.PROBLEM)), "headers")
+    told = written(outcomes(fresh, raw, headers, ragged.PROBLEM), "outcomes")
     good = told.filter(told["state"] == READ).select(told["uri"].alias("path"))
-    rows = export.rows(raw.join(good, "path", "left_semi"))
+    rows = export.rows(raw, headers.join(good, "path", "left_semi"))
+    if good.isEmpty():  # nothing to add but columns: what is stored is not read again
+        rows = rows.filter("false")
+        return stored.unionByName(rows, allowMissingColumns=True), registered(registry, told, at)
     return extend_consolidated(stored, rows), registered(registry, told, at)

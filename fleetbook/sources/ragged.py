@@ -8,6 +8,7 @@ lines are packed into pieces. Per piece it is found how many records start in it
 a quoted cell is open at its end, both for a start outside and inside a quoted cell. Running
 sums over these few numbers give each piece its true start and first row number, and a record
 that runs on past its piece the text that completes it. Then every piece is parsed alone.
+Pieces without a quote are cut at their line ends and delimiters, all lines at once.
 """
 
 import csv
@@ -16,6 +17,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ _HEAD_BYTES = 4 * _SAMPLE  # a character has at most four bytes
 _CHUNK = 5000
 _PIECE = 1 << 20
 _CELL_LIMIT = 131072
+_NAMED = 10_000  # files that are named to the scan, so that it opens no others
 PROBLEM = -1  # row number of what is wrong with a file, where problems do not fail the job
 
 
@@ -158,8 +161,27 @@ def _counts(cells, lines, still_open, skip_blank):
     return not skip_blank or lines > 1 or still_open or not _is_blank(cells)
 
 
+def _plain_lines(text, dialect, skip_blank):
+    """The records of a text as lines, where no line needs the parser: without a quote every
+    line is a record and every delimiter ends a cell. Else None."""
+    delimiter, quotechar, skipspace = dialect
+    if skipspace or quotechar in text or "\r" in text or not text.endswith("\n"):
+        return None
+    lines = text.split("\n")
+    lines.pop()
+    if skip_blank:
+        lines = [line for line in lines if line and (not line.isspace() or delimiter in line)]
+    elif "" in lines:  # a record without cells
+        return None
+    return lines if max(map(len, lines), default=0) <= _CELL_LIMIT else None
+
+
 def _outside(text, dialect, skip_blank):
-    """(records, open at the end, cell too long, records up to each line that ends one)."""
+    """(records, open at the end, cell too long, records up to each line that ends one). The
+    last is empty for texts without a quote, whose lines all end one."""
+    lines = _plain_lines(text, dialect, skip_blank)
+    if lines is not None:
+        return len(lines), False, False, {}
     n, ends, still_open = 0, {}, False
     try:
         for cells, line, lines, still_open in _records(text, False, *dialect):
@@ -258,31 +280,42 @@ def _starts(counted):
         "path", "block", "piece", "latin", *_DIALECT, "inside", "first", "too_long", rest.alias("rest"), "problem")
 
 
+def _plain_batch(path, number, lines, delimiter):
+    cells = pc.split_pattern(pa.array(lines, pa.string()), delimiter)
+    numbers = pa.array(np.arange(number, number + len(lines), dtype=np.int64))
+    return pa.record_batch([pa.repeat(pa.scalar(path, pa.string()), len(lines)), numbers, cells.cast(_ARROW.field("cells").type)], schema=_ARROW)
+
+
 def _parse(skip_blank, strict):
+    def rows(path, number, text, inside, dialect):
+        records = _records(text, inside, *dialect)
+        if inside:
+            next(records, None)
+        for cells, _, lines, still_open in records:
+            if _counts(cells, lines, still_open, skip_blank):
+                yield path, number, cells
+                number += 1
+
     def parse(batches):
         csv.field_size_limit(_CELL_LIMIT)
-
-        def rows():
-            names = ("path", "block", "piece", "data", "latin", "inside", "first", "too_long", "rest", "problem", *_DIALECT)
-            for batch in batches:
-                for values in zip(*(batch.column(c) for c in names)):
-                    path, block, piece, data, latin, inside, number, too_long, rest, problem, *dialect = (
-                        x.as_py() for x in values)
-                    if too_long and not problem:
-                        problem = f"a cell of more than {_CELL_LIMIT} characters"
-                        if strict:
-                            raise ValueError(f"{path}: {problem}")
-                    if problem:
-                        yield path, PROBLEM, [problem]
-                        continue
-                    records = _records(_text(path, block, piece, data, latin) + rest, inside, *dialect)
-                    if inside:
-                        next(records, None)
-                    for cells, _, lines, still_open in records:
-                        if _counts(cells, lines, still_open, skip_blank):
-                            yield path, number, cells
-                            number += 1
-        yield from _batches(rows(), _ARROW)
+        names = ("path", "block", "piece", "data", "latin", "inside", "first", "too_long", "rest", "problem", *_DIALECT)
+        for batch in batches:
+            for values in zip(*(batch.column(c) for c in names)):
+                path, block, piece, data, latin, inside, number, too_long, rest, problem, *dialect = (
+                    x.as_py() for x in values)
+                if too_long and not problem:
+                    problem = f"a cell of more than {_CELL_LIMIT} characters"
+                    if strict:
+                        raise ValueError(f"{path}: {problem}")
+                if problem:
+                    yield from _batches(iter([(path, PROBLEM, [problem])]), _ARROW)
+                    continue
+                text = _text(path, block, piece, data, latin) + rest
+                lines = None if inside else _plain_lines(text, dialect, skip_blank)
+                if lines is None:
+                    yield from _batches(rows(path, number, text, inside, dialect), _ARROW)
+                else:
+                    yield _plain_batch(path, number, lines, dialect[0])
     return parse
 
 
@@ -292,7 +325,8 @@ def read_ragged(spark, path, skip_blank=True, suffixes=None, year=None, files=No
 
     ``suffixes`` (such as ``[".csv"]``) and ``year`` (a folder of that name) choose files
     before any is opened, as ``since`` does, a least modification time. ``files`` is a frame
-    with the ``path`` of those whose rows are wanted, as ``_metadata.file_path`` has it.
+    with the ``path`` of those whose rows are wanted, as ``_metadata.file_path`` has it. Up to
+    10,000 are named to the scan, which leaves the others closed; of more it drops what it read.
 
     A quoted cell may hold line breaks; one of more than 131,072 characters, as an unclosed
     quote makes it, and a file that is not text fail the job. Where they shall not (``strict``
@@ -306,15 +340,20 @@ def read_ragged(spark, path, skip_blank=True, suffixes=None, year=None, files=No
         lines = lines.filter(F.col("_metadata.file_path").contains(f"/{year}/"))
     if since is not None:
         lines = lines.filter(F.col("_metadata.file_modification_time") >= F.lit(since))
+    if files is not None:
+        names = [r.path for r in files.select("path").limit(_NAMED + 1).collect()]
+        if len(names) <= _NAMED:
+            lines = lines.filter(F.col("_metadata.file_path").isin(names))
     lines = lines.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
     keys = ["path", "block", "piece"]
-    # One shuffle of the bytes in even pieces, which all three passes read again.
+    # One shuffle of the bytes in even pieces, which all three passes read again: the joins on
+    # the keys would otherwise test them below the shuffle, and make it another one.
     pieces = lines.mapInArrow(_pack, "path string, block bigint, piece bigint, data binary")
-    if files is not None:
+    if files is not None and len(names) > _NAMED:
         pieces = pieces.join(files.select("path"), "path", "left_semi")
-    pieces = pieces.repartition(*keys)
+    pieces = pieces.filter("path is not null and block is not null and piece is not null").repartition(*keys)
     described = pieces.mapInArrow(
         _describe(strict), "path string, block bigint, piece bigint, latin boolean, head binary, problem string")
     # Heads come from the first 32 KB of a file only; of every piece its two numbers.

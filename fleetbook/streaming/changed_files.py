@@ -33,11 +33,11 @@ def registered(registry, processed, at):
 
 def outcomes(files, raw, headers, problem_row):
     """The files with ``state`` and ``problem``. A file is
-    ``READ`` where ``headers(raw)`` finds its header; it is ``TORN`` where a raw row of the number
+    ``READ`` where the header frame ``headers`` has it; it is ``TORN`` where a raw row of the number
     ``problem_row`` says what is wrong, and ``BARE`` where it has no header, or no rows."""
     torn = raw.filter(F.col("row_idx") == problem_row).groupBy(F.col("path").alias("uri")).agg(
         F.min(F.get("cells", F.lit(0))).alias("torn"))
-    good = headers(raw.filter(F.col("row_idx") != problem_row)).select(F.col("path").alias("uri"), F.lit(True).alias("named")).distinct()
+    good = headers.select(F.col("path").alias("uri"), F.lit(True).alias("named")).distinct()
     state = F.when(F.col("torn").isNotNull(), TORN).when(F.col("named"), READ).otherwise(BARE)
     told = files.join(torn, "uri", "left").join(good, "uri", "left").select(
         *files.columns, state.alias("state"),
