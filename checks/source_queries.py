@@ -29,6 +29,14 @@ def _write_lines(lines, header, path, *by):
      .option("emptyValue", "").csv(path))
 
 
+def _arrive(spark, written, place):
+    """A folder that was written elsewhere, in its place."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (written, place))
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.rename(source, target):
+        raise OSError(f"{written} does not go to {place}")
+
+
 def _ragged_files(spark, sf):
     """Toll exports of uneven width: every third row has an extra cell, some cells are
     quoted and hold the delimiter."""
@@ -399,13 +407,15 @@ def _(spark, sf):
         bad.write.option("quote", "\x02").option("sep", "\x01").csv(f"{folder}/bare")
         bad.select(F.concat("line", F.lit(";\x00;")).alias(header)).write.option("header", True).option("quote", "\x02").option(
             "sep", "\x01").csv(f"{folder}/torn")
+        # One file a key, each written by a task of its own, and put in place when its delivery comes.
+        coming = f"{place}-coming/{system}"
+        _write_lines(lines.repartitionById(4, F.col("key").cast("int")).withColumn("entrega", F.floor(F.col("key") / 2)),
+                     header, coming, "entrega", "key")
         store = spark.createDataFrame([], "Archivo_Origen string")
         registry = spark.createDataFrame([], changed_files.REGISTRY)
         for run in range(3):
             if run < 2:
-                # One file a key, each written by a task of its own.
-                delivery = lines.filter(F.floor(F.col("key") / 2) == run).repartitionById(2, (F.col("key") % 2).cast("int"))
-                _write_lines(delivery, header, f"{folder}/entrega={run}", "key")
+                _arrive(spark, f"{coming}/entrega={run}", f"{folder}/entrega={run}")
             rows, seen = consolidate.consolidate(spark, system, folder, store, registry, dt.datetime(2000, 1, 1 + run))
             rows.write.parquet(f"{old}/{system}/rows{run}")
             seen.write.parquet(f"{old}/{system}/files{run}")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..operators.filters import required
 from ..session import scratch_dir, stored as written
 from ..sources import html, ragged
-from ..sources.headers import marker_headers, own_headers
+from ..sources.headers import marker_headers, own_headers, sought_headers
 from ..sources.vendors import card_headers, edenred_rows, pase_consolidated, pase_consolidated_positions, supramax_rows
 from ..streaming.changed_files import READ, changed, listing, outcomes, registered
 from .unify import extend_consolidated
@@ -41,8 +41,8 @@ def _sheets(spark, folder, glob, files, since):
 
 SYSTEMS = {
     "Pase": Export("*.csv", _texts(True), _toll_headers, lambda raw, headers: required(pase_consolidated(raw, headers)).drop("path")),
-    "Supramax": Export("*.xls", _sheets, lambda raw: marker_headers(raw, "PLACAS"), supramax_rows),
-    "Edenred": Export("*.csv", _texts(False), card_headers, lambda raw, headers: edenred_rows(raw, headers=headers).drop("path")),
+    "Supramax": Export("*.xls", _sheets, lambda raw: sought_headers(raw, marker_headers, "PLACAS"), supramax_rows),
+    "Edenred": Export("*.csv", _texts(False), lambda raw: sought_headers(raw, card_headers), lambda raw, headers: edenred_rows(raw, headers=headers).drop("path")),
 }
 
 

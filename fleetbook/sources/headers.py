@@ -74,6 +74,23 @@ def marker_headers(raw, marker):
         "path", F.col("h.row_idx").alias("header_row"), "h.header")
 
 
+_TOP = 100  # rows of a file in which its header nearly always stands
+_NAMED = 1000
+
+
+def sought_headers(raw, find, *args):
+    """The header frame ``find(raw, *args)``, written once, where ``find`` takes a file's first row that
+    fits. It is sought in the first rows of all files, of which stored raw rows (``ragged.land``)
+    are read by their number, then in all rows of the files that are left."""
+    top = stored(find(raw.filter(F.col("row_idx") < _TOP), *args), "headers")
+    lost = raw.select("path").distinct().join(top.select("path"), "path", "left_anti")
+    names = [r.path for r in lost.limit(_NAMED + 1).collect()]
+    if not names:
+        return top
+    rest = raw.filter(F.col("path").isin(names)) if len(names) <= _NAMED else raw.join(lost, "path", "left_semi")
+    return top.unionByName(stored(find(rest, *args), "headers"))
+
+
 def fixed_headers(raw, row):
     """Header frame: the header stands in one known row (0-based)."""
     return raw.filter(F.col("row_idx") == row).select(
